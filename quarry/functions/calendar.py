@@ -20,7 +20,7 @@ def parse_date(s: str | Column, fmt: str = MDY, strict: bool = True) -> Column:
     c = F.trim(c)
     if strict:
         return F.to_date(c, fmt)
-    return F.try_to_date(c, F.lit(fmt))
+    return F.try_to_date(c, fmt)
 
 
 def weekday_label(d: str | Column, labels: tuple[str, ...] = WEEKDAY_LABELS) -> Column:

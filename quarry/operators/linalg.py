@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import spread
+
 
 def matrix_multiply(
     a: DataFrame,
@@ -21,14 +23,17 @@ def matrix_multiply(
     (decision D10). Values are widened to bigint before multiplying (D12).
     A coordinate stored twice acts as the sum of its values, since
     ``(a1 + a2) * b = a1 * b + a2 * b`` (D11). A hot contraction index is a
-    skewed join key: AQE's skew join splits it across tasks.
+    skewed join key: AQE's skew join splits it across tasks. A side read
+    by fewer tasks than the cluster has cores is spread first, since every
+    stored entry fans out to many products.
     """
     ai, ak, av = a_cols
     bk, bj, bv = b_cols
     left = a.select(F.col(ai).alias("i"), F.col(ak).alias("k"), F.col(av).cast("bigint").alias("av"))
     right = b.select(F.col(bk).alias("k"), F.col(bj).alias("j"), F.col(bv).cast("bigint").alias("bv"))
     return (
-        left.join(right, "k")
+        spread(left)
+        .join(spread(right), "k")
         .groupBy("i", "j")
         .agg(F.sum(F.col("av") * F.col("bv")).alias("v"))
     )

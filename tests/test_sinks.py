@@ -1,0 +1,51 @@
+from __future__ import annotations
+
+import glob
+import os
+
+import pytest
+
+from quarry.sinks.text import write_kv, write_lines
+
+
+def read_out(path):
+    out = []
+    for f in sorted(glob.glob(os.path.join(path, "part-*"))):
+        with open(f, encoding="utf-8") as fh:
+            out.extend(fh.read().splitlines())
+    return out
+
+
+@pytest.fixture
+def totals(spark):
+    return spark.createDataFrame(
+        [("B1", "THR", 300, 30), ("B1", "FRI", 2, 1)], "base string, day string, trips long, vehicles long"
+    )
+
+
+def test_write_kv_tab(spark, tmp_path, totals):
+    p = str(tmp_path / "o")
+    write_kv(totals, p, ["base", "day"], ["trips", "vehicles"], sort_output="total")
+    assert read_out(p) == ["B1,FRI\t2,1", "B1,THR\t300,30"]
+
+
+def test_write_kv_space_and_pair(spark, tmp_path, totals):
+    p = str(tmp_path / "o")
+    write_kv(totals, p, ["base", "day"], ["trips", "vehicles"], sep=" ", sort_output="total")
+    assert read_out(p) == ["B1,FRI 2,1", "B1,THR 300,30"]
+    q = str(tmp_path / "q")
+    write_kv(totals.select("day", "trips"), q, "day", "trips", style="pair", sort_output="total")
+    assert read_out(q) == ["(FRI,2)", "(THR,300)"]
+
+
+def test_write_lines_and_modes(spark, tmp_path):
+    df = spark.createDataFrame([(2, "D2", 500, "lee")], "id long, dept string, salary long, info string")
+    p = str(tmp_path / "o")
+    write_lines(df, p, ["id", "dept", "salary", "info"])
+    assert read_out(p) == ["2|D2|500|lee"]
+    write_lines(df, p, ["id", "info"], mode="overwrite")
+    assert read_out(p) == ["2|lee"]
+    with pytest.raises(Exception):
+        write_lines(df, p, ["id"], mode="errorifexists")
+    with pytest.raises(ValueError):
+        write_lines(df, p, ["id"], mode="bogus")
