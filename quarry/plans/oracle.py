@@ -125,3 +125,47 @@ order by avg_rating desc, id
 limit 10
 """,
 }
+
+_MOVIE_FILTER = "list_contains(string_split(p_name, ' '), 'ring')"
+
+TEXT_ORACLE_SQL = {
+    "top_k_text": """
+select c_custkey as emp_id, c_mktsegment as dept_id,
+       round(c_acctbal * 100.0)::bigint as salary, c_name as emp_info
+from customer
+order by salary desc, emp_id
+limit 10
+""",
+    "equi_join_text": """
+select o.o_custkey::varchar as join_key, o.o_orderkey::varchar as id,
+       round(o.o_totalprice * 100.0)::bigint::varchar as price, c.c_name as description
+from orders o join customer c on o.o_custkey = c.c_custkey
+""",
+    "matrix_multiply_text": ORACLE_SQL["matrix_multiply"],
+    "page_rank_text": ORACLE_SQL["page_rank"],
+    "list_item_count_text": ORACLE_SQL["list_item_count"],
+    "weekday_totals_text": """
+select l_suppkey::varchar as base,
+       ['MON','TUE','WED','THR','FRI','SAT','SUN'][isodow(l_shipdate)] as day,
+       sum(l_quantity::bigint)::bigint as trips,
+       sum(l_linenumber)::bigint as vehicles
+from lineitem
+group by 1, 2
+""",
+    "group_avg_top_k_text": """
+select 's' || l_suppkey::varchar as category, avg(l_quantity::bigint::double) as avg_rating
+from lineitem
+group by 1
+order by avg_rating desc, category
+limit 3
+""",
+    "filtered_join_avg_top_k_text": f"""
+select p_partkey::varchar as id, p_name as title, avg(l_quantity::bigint::double) as avg_rating
+from part join lineitem on p_partkey = l_partkey
+where {_MOVIE_FILTER}
+group by p_partkey, p_name
+having sum(l_quantity::bigint) <> 0
+order by avg_rating desc, id
+limit 10
+""",
+}
