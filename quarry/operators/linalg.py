@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import spread
+from quarry.operators.joins import equi_join
 
 
 def matrix_multiply(
@@ -13,6 +13,8 @@ def matrix_multiply(
     b: DataFrame,
     a_cols: tuple[str, str, str] = ("i", "j", "v"),
     b_cols: tuple[str, str, str] = ("i", "j", "v"),
+    strategy: str = "shuffle",
+    broadcast_max_rows: int = 1_000_000,
 ) -> DataFrame:
     """``C = A x B`` for matrices given as ``(row, col, value)`` triples.
 
@@ -22,18 +24,22 @@ def matrix_multiply(
     ``(i, j)``. Missing entries are zeros, so only stored pairs meet
     (decision D10). Values are widened to bigint before multiplying (D12).
     A coordinate stored twice acts as the sum of its values, since
-    ``(a1 + a2) * b = a1 * b + a2 * b`` (D11). A hot contraction index is a
-    skewed join key: AQE's skew join splits it across tasks. A side read
-    by fewer tasks than the cluster has cores is spread first, since every
-    stored entry fans out to many products.
+    ``(a1 + a2) * b = a1 * b + a2 * b`` (D11).
+
+    The products outnumber the stored entries, so by default both sides are
+    hash-partitioned on the contraction index (sort-merge join): product
+    generation is spread over all tasks by ``k``, whatever the input layout,
+    and AQE's skew join splits a hot ``k``. With ``strategy="broadcast"`` a
+    small ``B`` (at most ``broadcast_max_rows`` entries, counted first) is
+    shipped to the tasks of ``A`` instead, so ``A`` is never shuffled;
+    ``"auto"`` leaves the choice to Spark's size statistics.
     """
     ai, ak, av = a_cols
     bk, bj, bv = b_cols
     left = a.select(F.col(ai).alias("i"), F.col(ak).alias("k"), F.col(av).cast("bigint").alias("av"))
     right = b.select(F.col(bk).alias("k"), F.col(bj).alias("j"), F.col(bv).cast("bigint").alias("bv"))
     return (
-        spread(left)
-        .join(spread(right), "k")
+        equi_join(left, right, "k", "inner", strategy, broadcast_max_rows)
         .groupBy("i", "j")
         .agg(F.sum(F.col("av") * F.col("bv")).alias("v"))
     )

@@ -26,11 +26,15 @@ from quarry.plans.tables import (
     _embedding_entries,
     table,
 )
+from quarry.session import spread
 from quarry.sources.records import parse_adjacency, parse_matrix
 
 
 def _lines(df: DataFrame, sep: str, *cols: Column) -> DataFrame:
-    return df.select(F.concat_ws(sep, *[c.cast("string") for c in cols]).alias("value"))
+    """Render rows as ``sep``-joined lines. A narrow scan is spread first so
+    rendering and parsing run on every core, as they would on the many splits
+    of a large text input."""
+    return spread(df).select(F.concat_ws(sep, *[c.cast("string") for c in cols]).alias("value"))
 
 
 def _cents(c: str) -> Column:

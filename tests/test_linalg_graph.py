@@ -121,3 +121,14 @@ def test_page_rank_against_brute_force(spark):
     assert got.keys() == want.keys()
     for k in want:
         assert got[k] == pytest.approx(want[k], abs=1e-12)
+
+
+@pytest.mark.parametrize("strategy", ["shuffle", "auto", "broadcast"])
+def test_matrix_strategies_agree(spark, strategy):
+    a = spark.createDataFrame(coo([[1, 2], [3, 4]]), "i long, j long, v long")
+    b = spark.createDataFrame(coo([[5, 6], [7, 8]]), "i long, j long, v long")
+    out = matrix_multiply(a, b, strategy=strategy)
+    assert rows(out) == [(0, 0, 19), (0, 1, 22), (1, 0, 43), (1, 1, 50)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    if strategy == "shuffle":
+        assert "SortMergeJoin" in plan
