@@ -85,6 +85,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     nothing is added. With ``keys`` the rows are hash-partitioned on them, so a
     later window or aggregate on the same keys needs no further exchange.
     """
+    if df.isStreaming:  # micro-batches are planned by the stream's source
+        return df
     spark = df.sparkSession
     target = spark.sparkContext.defaultParallelism
     if keys:

@@ -1,0 +1,41 @@
+from __future__ import annotations
+
+from quarry.streaming.files import start_counts, weekday_totals_stream, word_count_stream
+
+
+def _collect_latest(store, n_keys=1):
+    """foreachBatch sink keeping the latest value per key (update mode)."""
+
+    def sink(batch, batch_id):
+        for r in batch.collect():
+            key = r[0] if n_keys == 1 else tuple(r[:n_keys])
+            val = r[n_keys] if len(r) == n_keys + 1 else tuple(r[n_keys:])
+            store[key] = val
+
+    return sink
+
+
+def test_word_count_stream_updates(spark, write_files, tmp_path):
+    d = write_files({"a.txt": "a b a\n"}, sub="words")
+    latest = {}
+    ck = str(tmp_path / "ck")
+    q = start_counts(word_count_stream(spark, d), _collect_latest(latest), ck, available_now=True)
+    q.awaitTermination(120)
+    assert latest == {"a": 2, "b": 1}
+    write_files({"b.txt": " b\tc\n"}, sub="words")
+    q = start_counts(word_count_stream(spark, d), _collect_latest(latest), ck, available_now=True)
+    q.awaitTermination(120)
+    assert latest == {"a": 2, "b": 2, "c": 1}  # same as the batch fixture W
+
+
+def test_weekday_totals_stream(spark, write_files, tmp_path):
+    d = write_files(
+        {"u1.txt": "B1,1/1/2015,10,100\nB1,1/2/2015,1,2\n", "u2.txt": "B1,1/8/2015,20,200\n"},
+        sub="uber",
+    )
+    latest = {}
+    q = start_counts(
+        weekday_totals_stream(spark, d), _collect_latest(latest, 2), str(tmp_path / "ck"), available_now=True
+    )
+    q.awaitTermination(120)
+    assert latest == {("B1", "THR"): (300, 30), ("B1", "FRI"): (2, 1)}
