@@ -8,22 +8,32 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.text import delimited_tokens, is_gap, token_or_gap_runs, tokens
+from quarry.functions.text import (
+    WHITESPACE,
+    delimited_tokens,
+    is_gap,
+    sep_regex,
+    token_or_gap_runs,
+)
 from quarry.session import spread
 
 
 def explode_tokens(
     df: DataFrame, col: str = "value", out: str = "word", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per whitespace token of ``col``."""
-    return df.select(*keep, F.explode(tokens(F.col(col))).alias(out))
+    """One row per whitespace token of ``col``. Empty pieces (from leading or
+    trailing blanks) are dropped by a row filter after the explode, which
+    stays in generated code, rather than by an array lambda."""
+    parts = F.explode(F.split(F.col(col), WHITESPACE)).alias(out)
+    return df.select(*keep, parts).filter(F.col(out) != F.lit(""))
 
 
 def explode_list(
     df: DataFrame, col: str, sep: str = "|", out: str = "item", keep: Sequence[str] = ()
 ) -> DataFrame:
     """One row per non-empty item of a ``sep``-separated list field."""
-    return df.select(*keep, F.explode(delimited_tokens(F.col(col), sep)).alias(out))
+    parts = F.explode(F.split(F.col(col), sep_regex(sep))).alias(out)
+    return df.select(*keep, parts).filter(F.col(out) != F.lit(""))
 
 
 def list_contains(df: DataFrame, col: str, item: str, sep: str = "|") -> DataFrame:

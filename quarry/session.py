@@ -82,7 +82,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     A scan yields one task per file split; a single large file (or a single
     parquet row group) would otherwise run the whole tokenise/explode stage in
     one task. When the scan already has at least the cluster's parallelism
-    nothing is added. With ``keys`` the rows are hash-partitioned on them, so a
+    nothing is added; otherwise rows are dealt round-robin into twice that
+    many partitions, so rows of very different sizes even out. With ``keys`` the rows are hash-partitioned on them, so a
     later window or aggregate on the same keys needs no further exchange.
     """
     if df.isStreaming:  # micro-batches are planned by the stream's source
@@ -93,4 +94,4 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
         return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return df.repartition(2 * target)
