@@ -98,12 +98,12 @@ def inverted_index(
     posting line. Postings from ``token_offsets`` are already clustered by
     document, so this aggregate adds no shuffle.
     """
-    pair = F.concat(F.col(doc_col).cast("string"), F.lit(":"), F.col(off_col).cast("string"))
+    doc = F.col(doc_col).cast("string")
     return postings.groupBy(word_col, doc_col).agg(
         F.array_join(
             F.transform(
-                F.array_sort(F.collect_list(F.struct(F.col(off_col).alias("o"), pair.alias("p")))),
-                lambda s: s["p"],
+                F.sort_array(F.collect_list(off_col)),
+                lambda o: F.concat(doc, F.lit(":"), o.cast("string")),
             ),
             " ",
         ).alias(out)
