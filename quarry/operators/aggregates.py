@@ -29,6 +29,12 @@ def sum_by(
     return df.groupBy(*_keys(key)).agg(*[F.sum(c).alias(o) for o, c in sums.items()])
 
 
+def product_by(df: DataFrame, key: str | Sequence[str], value: str, out: str = "product") -> DataFrame:
+    """Product of ``value`` per key (AGG-6), as a double. Inside a matrix
+    product the pairwise product is part of the join instead."""
+    return df.groupBy(*_keys(key)).agg(F.product(value).alias(out))
+
+
 def group_avg(
     df: DataFrame,
     key: str | Sequence[str],

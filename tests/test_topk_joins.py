@@ -84,3 +84,30 @@ def test_assert_unique(spark):
     assert_unique(spark.createDataFrame([(1,), (2,)], "k int"), "k")
     with pytest.raises(ValueError):
         assert_unique(spark.createDataFrame([(1,), (1,)], "k int"), "k")
+
+
+def test_product_by(spark):
+    from quarry.operators.aggregates import product_by
+
+    df = spark.createDataFrame([("a", 2), ("a", 3), ("b", 5)], "k string, v long")
+    assert rows(product_by(df, "k", "v")) == [("a", 6.0), ("b", 5.0)]
+
+
+def test_secondary_sort_groups_and_orders(spark):
+    from quarry.operators.sort import secondary_sort
+
+    df = spark.createDataFrame(
+        [("k2", "Ratings", 3), ("k1", "Ratings", 5), ("k1", "Movies", 0), ("k2", "Movies", 0)] * 3,
+        "k string, tag string, v int",
+    )
+    out = secondary_sort(df, "k", ["tag", "v"], partitions=3)
+    parts = out.rdd.glom().collect()
+    seen = set()
+    for part in parts:
+        keys = [r["k"] for r in part]
+        assert keys == sorted(keys)
+        for k in set(keys):
+            assert k not in seen  # a key lives in one partition only
+            rows_k = [(r["tag"], r["v"]) for r in part if r["k"] == k]
+            assert rows_k == sorted(rows_k) and rows_k[0][0] == "Movies"
+        seen |= set(keys)
