@@ -137,3 +137,18 @@ def test_parse_adjacency_blank_line(spark):
     edges, vertices = parse_adjacency(lines(spark, "0 1", "  ", "x 1"), mode="drop")
     assert rows(edges) == [(0, 1)]
     assert rows(vertices) == [(0,), (1,)]
+
+
+def test_tune_for_input(spark):
+    from quarry.session import tune_for_input
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert tune_for_input(spark, 100 * 2**40) == 200_000  # 100 TiB: clamped
+        assert tune_for_input(spark, 10 * 2**40) == 40_960  # 10 TiB / 256 MiB
+        assert tune_for_input(spark, 2**30) == 200
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(256 * 2**20)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 2**20))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(64 * 2**20))
