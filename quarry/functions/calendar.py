@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quarry.functions.text import trim_controls
+
 # Weekday labels, Monday first. The default set spells Thursday
 # "THR"; the alternative set uses the upper-cased US short names.
 WEEKDAY_LABELS = ("MON", "TUE", "WED", "THR", "FRI", "SAT", "SUN")
@@ -16,8 +18,7 @@ MDY = "M/d/yyyy"
 
 def parse_date(s: str | Column, fmt: str = MDY, strict: bool = True) -> Column:
     """String -> date. ``strict`` raises on a bad date, otherwise gives null."""
-    c = F.col(s) if isinstance(s, str) else s
-    c = F.trim(c)
+    c = trim_controls(F.col(s) if isinstance(s, str) else s)
     if strict:
         return F.to_date(c, fmt)
     return F.try_to_date(c, fmt)

@@ -46,3 +46,13 @@ def token_or_gap_runs(text: str | Column) -> Column:
 
 def is_gap(run: str | Column) -> Column:
     return F.substring(_col(run), 1, 1).rlike(WHITESPACE)
+
+
+# Characters U+0000..U+0020: what a Java-style trim() strips from both ends.
+CONTROL_AND_SPACE = "".join(chr(c) for c in range(0x21))
+
+
+def trim_controls(s: str | Column) -> Column:
+    """Strip spaces and control characters (U+0000..U+0020) from both ends,
+    not only spaces as SQL ``trim`` does."""
+    return F.btrim(_col(s), F.lit(CONTROL_AND_SPACE))

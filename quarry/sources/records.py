@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.calendar import MDY, parse_date
-from quarry.functions.text import delimited_tokens, positional_fields, tokens
+from quarry.functions.text import delimited_tokens, positional_fields, tokens, trim_controls
 
 MODES = ("fail", "drop")
 
@@ -96,7 +96,7 @@ def parse_delimited(
         pos = positions[f.name] if positions and f.name in positions else i
         raw = _field(F.col(tmp), pos, mode)
         if trim:
-            raw = F.trim(raw)
+            raw = trim_controls(raw)
         out.append(_convert(raw, f.dataType, mode, date_format).alias(f.name))
     res = staged.select(*keep, *out)
     return _finish(res, [f.name for f in st.fields], mode)

@@ -152,3 +152,13 @@ def test_tune_for_input(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 2**20))
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(64 * 2**20))
+
+
+def test_trim_strips_tabs_and_controls(spark):
+    df = parse_delimited(
+        lines(spark, "\t7 |\r D1\x0b|300\t|kim\n"),
+        "|",
+        "emp_id bigint, dept_id string, salary bigint, emp_info string",
+        empty_fields="skip",
+    )
+    assert rows(df) == [(7, "D1", 300, "kim")]
