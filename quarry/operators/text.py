@@ -75,6 +75,36 @@ def token_offsets(
     )
 
 
+def file_token_offsets(
+    lines: DataFrame, word_col: str = "word", doc_col: str = "file", off_col: str = "off"
+) -> DataFrame:
+    """``(word, file, off)`` for lines from ``read_lines_with_offsets``: each
+    token's byte offset in its file, for files too large for one row.
+
+    The token offset inside a line is the running byte length of the
+    token / blank runs before it; the window groups by line inside the
+    ``(path, block)`` partitioning the lines already have, so no further
+    shuffle happens."""
+    runs = lines.select(
+        F.col(doc_col),
+        "path",
+        "block",
+        F.col("off").alias("line_off"),
+        F.posexplode(token_or_gap_runs(F.col("value"))).alias("pos", "run"),
+    )
+    before = (
+        Window.partitionBy("path", "block", "line_off")
+        .orderBy("pos")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    inside = F.coalesce(F.sum(F.octet_length("run")).over(before), F.lit(0))
+    return (
+        runs.withColumn(off_col, (F.col("line_off") + inside).cast("bigint"))
+        .filter(~is_gap("run"))
+        .select(F.col("run").alias(word_col), F.col(doc_col), F.col(off_col))
+    )
+
+
 def inverted_index_postings(
     df: DataFrame, doc_col: str = "doc", text_col: str = "text"
 ) -> DataFrame:

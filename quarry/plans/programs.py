@@ -17,6 +17,7 @@ from quarry.operators.linalg import matrix_multiply
 from quarry.operators.text import (
     explode_list,
     explode_tokens,
+    file_token_offsets,
     inverted_index,
     list_contains,
     token_offsets,
@@ -41,6 +42,12 @@ def inverted_index_lines(docs: DataFrame, doc: str = "doc", text: str = "text")
     return inverted_index(token_offsets(docs, doc, text), doc_col=doc)
 
 
+def inverted_index_files(lines_with_offsets: DataFrame) -> DataFrame:
+    """``(word, file, postings)`` from ``read_lines_with_offsets``: the index
+    of text files of any size, offsets counted in bytes from the file start."""
+    return inverted_index(file_token_offsets(lines_with_offsets), doc_col="file")
+
+
 def top_k_employees(emps: DataFrame, k: int = 3, distinct: bool = False) -> DataFrame:
     """The ``k`` best-paid employees, ties by ``emp_id``."""
     return top_k(emps, k, "salary", ties=["emp_id"], distinct=distinct)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -33,6 +33,64 @@ def read_documents(
     )
 
 
+def read_lines_with_offsets(
+    spark: SparkSession, path: str | list[str], file_col: str = "file"
+) -> DataFrame:
+    """``(file, path, block, off, value)``: every line of every file with the
+    byte offset of its first byte in its file, for files of any size (each
+    read in many splits).
+
+    Lines are cut at ``\n`` only, so a ``\r`` before it stays in the line
+    and every line occupies exactly ``octet_length(value) + 1`` bytes. The
+    offset is the sum of the sizes of the lines before it, in two levels:
+    within a split, a running sum over the lines in read order (a window
+    group is one split, so bounded by the split size); plus the split's base
+    offset, a running sum over the per-split totals (one small row per
+    split). Both levels come out of one window over one shuffle of the
+    lines, which the per-split branch reuses, so the input is read once. The
+    result is hash-partitioned on ``(path, block)``.
+    """
+    raw = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("value"),
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"),  # read order inside a task
+    )
+    nbytes = (F.octet_length("value") + F.lit(1)).cast("bigint")
+    in_split = Window.partitionBy("path", "block").orderBy("seq")
+    lines = raw.repartition("path", "block").select(
+        "value",
+        "path",
+        "block",
+        F.coalesce(
+            F.sum(nbytes).over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ).alias("local"),
+        F.sum(nbytes)
+        .over(in_split.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        .alias("size"),
+    )
+    per_split = lines.groupBy("path", "block").agg(F.max("size").alias("size"))
+    bases = per_split.select(
+        "path",
+        "block",
+        F.coalesce(
+            F.sum("size").over(
+                Window.partitionBy("path")
+                .orderBy("block")
+                .rowsBetween(Window.unboundedPreceding, -1)
+            ),
+            F.lit(0),
+        ).alias("base"),
+    )
+    return lines.join(bases, ["path", "block"]).select(
+        F.substring_index("path", "/", -1).alias(file_col),
+        "path",
+        "block",
+        (F.col("base") + F.col("local")).alias("off"),
+        "value",
+    )
+
+
 def route_by_file(
     df: DataFrame,
     routes: Mapping[str, str],

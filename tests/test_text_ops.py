@@ -91,3 +91,59 @@ def test_explode_list_and_contains(spark):
         ("3", "Fantasy Noir"),
     ]
     assert rows(list_contains(df, "g", "Fantasy").select("id")) == [("1",)]
+
+
+def test_file_offsets_across_many_splits(spark, write_files):
+    """Files read in many splits: offsets equal the token's byte position,
+    with CRLF and LF line ends and multi-byte characters; the text is
+    scanned once (the per-split branch reuses the line shuffle)."""
+    import random
+    import re
+
+    from quarry.operators.text import file_token_offsets
+    from quarry.sources.text import read_lines_with_offsets
+
+    rnd = random.Random(5)
+    words = ["ab", "é", "x", "long_word", "ß∂", "q"]
+    files = {}
+    for name in ("f1.txt", "f2.txt"):
+        parts = []
+        for _ in range(200):
+            k = rnd.randint(0, 7)
+            parts.append(
+                "".join(rnd.choice(words) + rnd.choice([" ", "  ", "\t", " \f "]) for _ in range(k))
+                + rnd.choice(["\n", "\r\n"])
+            )
+        files[name] = "".join(parts)
+    d = write_files(files, sub="big")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        assert spark.read.text(d).rdd.getNumPartitions() > 10
+        df = file_token_offsets(read_lines_with_offsets(spark, d))
+        got = sorted((r["file"], r["off"], r["word"]) for r in df.collect())
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = sorted(
+        (n, m.start(), m.group().decode())
+        for n, t in files.items()
+        for m in re.finditer(rb"[^ \t\n\r\f]+", t.encode())
+    )
+    assert got == want
+    assert "ReusedExchange" in plan
+
+
+def test_inverted_index_files_fixture_i(spark, write_files):
+    from quarry.sources.text import read_lines_with_offsets
+
+    d = write_files({"d1": "ab cd\nab\n", "d2": "é ab"}, sub="idx")
+    idx = P.inverted_index_files(read_lines_with_offsets(spark, d))
+    assert rows(idx, "word", "file", "postings") == [
+        ("ab", "d1", "d1:0 d1:6"),
+        ("ab", "d2", "d2:3"),
+        ("cd", "d1", "d1:3"),
+        ("é", "d2", "d2:0"),
+    ]
