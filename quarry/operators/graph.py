@@ -14,7 +14,7 @@ def page_rank(
     vertices: DataFrame | None = None,
     n_iter: int = 3,
     damping: float = 0.85,
-    checkpoint_every: int = 1,
+    checkpoint_every: int = 2,
     src: str = "src",
     dst: str = "dst",
 ) -> DataFrame:
@@ -32,8 +32,8 @@ def page_rank(
     zero to itself inside that same aggregate, so pages without in-links keep
     a row without a second join. Repeated edges are merged into one weighted
     edge up front. Ranks are checkpointed to ``spark.checkpoint.dir`` every
-    ``checkpoint_every`` rounds, cutting the lineage so a lost executor
-    recomputes at most those rounds.
+    ``checkpoint_every`` rounds (0: never), cutting the lineage so a lost
+    executor recomputes at most those rounds.
     """
     if n_iter < 0:
         raise ValueError("n_iter must be >= 0")

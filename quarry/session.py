@@ -85,6 +85,9 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     nothing is added; otherwise rows are dealt round-robin into twice that
     many partitions, so rows of very different sizes even out. With ``keys`` the rows are hash-partitioned on them, so a
     later window or aggregate on the same keys needs no further exchange.
+
+    Apply it right after a scan (or narrow steps on one): counting the
+    partitions of a plan that already holds a shuffle would run that shuffle.
     """
     if df.isStreaming:  # micro-batches are planned by the stream's source
         return df
