@@ -126,6 +126,18 @@ limit 10
 """,
 }
 
+ORACLE_SQL["product_by_key"] = """
+select l_orderkey, product(l_linenumber) as product
+from lineitem
+group by l_orderkey
+"""
+ORACLE_SQL["top_k_distinct"] = """
+select nation, segment
+from (select distinct c_nationkey as nation, c_mktsegment as segment from customer) t
+order by nation desc, segment
+limit 10
+"""
+
 _MOVIE_FILTER = "list_contains(string_split(p_name, ' '), 'ring')"
 
 TEXT_ORACLE_SQL = {

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.aggregates import avg_partials, merge_avg
+from quarry.operators.aggregates import avg_partials, merge_avg, product_by
 from quarry.operators.topk import top_k
 from quarry.plans import programs as P
 
@@ -144,6 +144,21 @@ def filtered_join_avg_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.filtered_join_avg_top_k(movies, ratings, FILTER_WORD, TOP_K_FILTERED, sep=" ")
 
 
+def product_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product of the line numbers of each order (the per-key product of the
+    matrix program's first reducer, as a general aggregate)."""
+    li = table(spark, sf_dir, "lineitem")
+    return product_by(li, "l_orderkey", "l_linenumber", "product")
+
+
+def top_k_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-k over distinct rows: equal (nation, segment) rows count once."""
+    pairs = table(spark, sf_dir, "customer").select(
+        F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment")
+    )
+    return top_k(pairs, TOP_K_ROWS, "nation", ties=["segment"], distinct=True)
+
+
 QUERIES = {
     "word_count": word_count,
     "inverted_index_postings": inverted_index_postings,
@@ -156,4 +171,6 @@ QUERIES = {
     "weekday_totals": weekday_totals,
     "group_avg_top_k": group_avg_top_k,
     "filtered_join_avg_top_k": filtered_join_avg_top_k,
+    "product_by_key": product_by_key,
+    "top_k_distinct": top_k_distinct,
 }
