@@ -44,17 +44,30 @@ def weekday_totals_stream(spark: SparkSession, path: str) -> DataFrame:
     return P.weekday_totals(formats.dispatches(read_line_stream(spark, path)))
 
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def start_counts(
     counts: DataFrame,
     sink: Callable[[DataFrame, int], None] | str,
     checkpoint: str,
     available_now: bool = False,
     name: str | None = None,
+    rocksdb_state: bool = True,
 ) -> StreamingQuery:
     """Start a running count. ``sink`` is a ``foreachBatch`` function (each
     micro-batch gets the updated keys and the batch id, so a sink can merge
     them idempotently) or the name of a built-in sink format. With
-    ``available_now`` the query processes what is there and stops."""
+    ``available_now`` the query processes what is there and stops.
+
+    The count state holds one entry per distinct key ever seen, so by default
+    it is kept in RocksDB (off the JVM heap, spilling to local disk and
+    snapshotted to the checkpoint) unless the session already names a state
+    store provider."""
+    spark = counts.sparkSession
+    if rocksdb_state and not spark.conf.get(STATE_PROVIDER, None):
+        spark.conf.set(STATE_PROVIDER, ROCKSDB)
     w = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)

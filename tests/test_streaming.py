@@ -22,6 +22,7 @@ def test_word_count_stream_updates(spark, write_files, tmp_path):
     q = start_counts(word_count_stream(spark, d), _collect_latest(latest), ck, available_now=True)
     q.awaitTermination(120)
     assert latest == {"a": 2, "b": 1}
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     write_files({"b.txt": " b\tc\n"}, sub="words")
     q = start_counts(word_count_stream(spark, d), _collect_latest(latest), ck, available_now=True)
     q.awaitTermination(120)
