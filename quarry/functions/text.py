@@ -24,13 +24,25 @@ def sep_regex(sep: str) -> str:
     return re.escape(sep)
 
 
+def _split_runs(text: Column, strip: str, runs_regex: str) -> Column:
+    """Strip separator characters from both ends, then split on separator
+    runs: no empty token can remain, and no array lambda is needed (plain
+    expressions stay in generated code)."""
+    core = F.btrim(text, F.lit(strip))
+    return F.when(core == F.lit(""), F.array().cast("array<string>")).otherwise(
+        F.split(core, runs_regex)
+    )
+
+
 def tokens(text: str | Column) -> Column:
     """Whitespace tokens of ``text``; empty tokens never appear (FN-1)."""
-    return F.filter(F.split(_col(text), WHITESPACE), lambda t: t != F.lit(""))
+    return _split_runs(_col(text), WHITESPACE_CHARS, WHITESPACE)
 
 
 def delimited_tokens(text: str | Column, sep: str) -> Column:
     """Tokens between occurrences of ``sep``, empty ones dropped (FN-2)."""
+    if len(sep) == 1:
+        return _split_runs(_col(text), sep, f"(?:{sep_regex(sep)})+")
     return F.filter(F.split(_col(text), sep_regex(sep)), lambda t: t != F.lit(""))
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import (
     WHITESPACE,
-    delimited_tokens,
     is_gap,
     sep_regex,
     token_or_gap_runs,
@@ -37,8 +36,11 @@ def explode_list(
 
 
 def list_contains(df: DataFrame, col: str, item: str, sep: str = "|") -> DataFrame:
-    """Rows whose ``sep``-separated list field holds exactly ``item`` (FLT-1)."""
-    return df.filter(F.array_contains(delimited_tokens(F.col(col), sep), F.lit(item)))
+    """Rows whose ``sep``-separated list field holds exactly ``item`` (FLT-1).
+    Empty pieces never equal a non-empty item, so a plain split suffices."""
+    if item == "":
+        return df.filter(F.lit(False))  # a tokenizer never yields an empty item
+    return df.filter(F.array_contains(F.split(F.col(col), sep_regex(sep)), F.lit(item)))
 
 
 def token_offsets(
