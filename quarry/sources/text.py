@@ -104,8 +104,9 @@ def route_by_file(
     ``"contains"`` (substring) or ``"exact"``; the first matching route takes
     the line. With ``rest`` every line that
     matches no pattern goes to that relation, otherwise such lines are ignored.
-    Each relation is a filter on the same lazy scan, so nothing is read twice
-    unless both relations are consumed by separate jobs.
+    Each relation is a filter on the file-name metadata column, which Spark
+    applies when listing files: each relation's scan opens only its own files
+    (tested), so the folder is not read once per relation.
     """
     if match not in ("contains", "exact"):
         raise ValueError("match must be 'contains' or 'exact'")

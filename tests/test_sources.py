@@ -162,3 +162,21 @@ def test_trim_strips_tabs_and_controls(spark):
         empty_fields="skip",
     )
     assert rows(df) == [(7, "D1", 300, "kim")]
+
+
+def test_route_by_file_prunes_files(spark, write_files):
+    """Each relation's scan lists only its own files (metadata filter)."""
+    d = write_files({"relation_a": "1|1|k1\n", "relation_b": "k1|pen\n", "relation_c": "k2|ink\n"})
+    routed = route_by_file(read_lines(spark, d, with_file=True), {"a": "relation_a"}, rest="b")
+
+    def files_read(df):
+        df.collect()
+        leaves = df._jdf.queryExecution().executedPlan().collectLeaves().iterator()
+        total = 0
+        while leaves.hasNext():
+            m = leaves.next().metrics().get("numFiles")
+            total += m.get().value() if m.isDefined() else 0
+        return total
+
+    assert files_read(routed["a"]) == 1
+    assert files_read(routed["b"]) == 2
