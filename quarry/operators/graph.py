@@ -17,6 +17,7 @@ def page_rank(
     checkpoint_every: int = 2,
     src: str = "src",
     dst: str = "dst",
+    hot_fanout: int = 100_000,
 ) -> DataFrame:
     """Ranks ``(id, rank)`` after ``n_iter`` synchronous rounds.
 
@@ -34,6 +35,13 @@ def page_rank(
     edge up front. Ranks are checkpointed to ``spark.checkpoint.dir`` every
     ``checkpoint_every`` rounds (0: never), cutting the lineage so a lost
     executor recomputes at most those rounds.
+
+    Hub pages are salted: a source with more than ``hot_fanout`` distinct
+    targets has its edges dealt into ``ceil(fanout / hot_fanout)`` buckets by
+    target, and its rank row is copied once per bucket, so no join group
+    holds more than about ``hot_fanout`` edges even when one page links to a
+    third of the graph. The copies are bounded: every bucket carries at least
+    ``hot_fanout`` edges, so there are at most ``|E| / hot_fanout`` of them.
     """
     if n_iter < 0:
         raise ValueError("n_iter must be >= 0")
@@ -50,24 +58,51 @@ def page_rank(
         return pages.withColumn("rank", F.lit(None).cast("double"))
 
     multi = e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("c"))
-    degree = multi.groupBy("src").agg(F.sum("c").alias("deg"))
+    degree = multi.groupBy("src").agg(
+        F.sum("c").alias("deg"),
+        F.ceil(F.count(F.lit(1)) / F.lit(hot_fanout)).cast("int").alias("salts"),
+    )
     weighted = (
         multi.join(degree, "src")
-        .select("src", "dst", (F.col("c") / F.col("deg")).alias("w"))
+        .select(
+            "src",
+            F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt"),
+            "dst",
+            (F.col("c") / F.col("deg")).alias("w"),
+        )
+        .repartition("src", "salt")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     base = (1.0 - damping) / n
-    zeros = pages.select(F.col("id"), F.lit(0.0).alias("c"))
-    ranks = pages.select("id", F.lit(1.0 / n).alias("rank"))
+    # every page carries its bucket count (0: no out-edges) through the rounds,
+    # so sending a rank to its buckets needs no join
+    page_salts = pages.join(
+        degree.select(F.col("src").alias("id"), "salts"), "id", "left"
+    ).select("id", F.coalesce("salts", F.lit(0)).alias("salts"))
+    page_salts = page_salts.persist(StorageLevel.MEMORY_AND_DISK)
+    zeros = page_salts.select("id", F.lit(0.0).alias("c"), "salts")
+    ranks = page_salts.select("id", F.lit(1.0 / n).alias("rank"), "salts")
     for it in range(1, n_iter + 1):
-        sent = weighted.join(ranks, weighted["src"] == ranks["id"]).select(
-            F.col("dst").alias("id"), (F.col("rank") * F.col("w")).alias("c")
+        out_ranks = ranks.filter(F.col("salts") > 0).select(
+            F.col("id").alias("src"),
+            F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+            "rank",
+        )
+        sent = weighted.join(out_ranks, ["src", "salt"]).select(
+            F.col("dst").alias("id"),
+            (F.col("rank") * F.col("w")).alias("c"),
+            F.lit(None).cast("int").alias("salts"),
         )
         ranks = (
             sent.unionByName(zeros)
             .groupBy("id")
-            .agg((F.lit(base) + F.lit(damping) * F.sum("c")).alias("rank"))
+            .agg(
+                (F.lit(base) + F.lit(damping) * F.sum("c")).alias("rank"),
+                F.max("salts").alias("salts"),
+            )
         )
         if checkpoint_every and it % checkpoint_every == 0 and it < n_iter:
-            ranks = ranks.checkpoint(eager=True)
-    return ranks
+            # cached first, so writing the checkpoint does not compute the
+            # round a second time
+            ranks = ranks.persist(StorageLevel.MEMORY_AND_DISK).checkpoint(eager=True)
+    return ranks.select("id", "rank")

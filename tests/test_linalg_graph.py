@@ -132,3 +132,17 @@ def test_matrix_strategies_agree(spark, strategy):
     plan = out._jdf.queryExecution().executedPlan().toString()
     if strategy == "shuffle":
         assert "SortMergeJoin" in plan
+
+
+def test_page_rank_salts_hub_sources(spark):
+    """A hub linking to most pages: the result equals the unsalted one and
+    the brute force, with the hub's edges split into several buckets."""
+    el = [(0, t) for t in range(1, 60)] + [(t, (t * 7) % 60) for t in range(1, 60)]
+    edges = spark.createDataFrame(el, "src long, dst long")
+    pages = sorted({x for e in el for x in e})
+    salted = dict(rows(page_rank(edges, None, 3, hot_fanout=8)))
+    plain = dict(rows(page_rank(edges, None, 3)))
+    want = brute_page_rank(el, pages, 3)
+    for k in want:
+        assert salted[k] == pytest.approx(want[k], abs=1e-12)
+        assert plain[k] == pytest.approx(want[k], abs=1e-12)
