@@ -46,8 +46,8 @@ def page_rank(
     if n_iter < 0:
         raise ValueError("n_iter must be >= 0")
     spark = edges.sparkSession
-    if checkpoint_every:
-        ensure_checkpoint_dir(spark)
+    if checkpoint_every and ensure_checkpoint_dir(spark) is None:
+        checkpoint_every = 0  # Spark Connect without a checkpoint folder: lineage only
     e = edges.select(F.col(src).cast("bigint").alias("src"), F.col(dst).cast("bigint").alias("dst"))
     if vertices is None:
         vertices = e.select(F.col("src").alias("id")).union(e.select(F.col("dst").alias("id")))

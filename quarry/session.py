@@ -41,23 +41,39 @@ def build_session(
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     return spark
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    sc = _context(spark)
+    return sc is not None and sc.master.startswith("local")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session (no driver-side
+    context there: the server owns it)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Make sure reliable checkpoints have a shared folder to go to.
 
     The folder named by ``spark.checkpoint.dir`` wins. Only a local session
     (tests, benches) may fall back to a fresh temporary folder; on a cluster a
     machine-local folder would not survive the loss of that machine, so the
-    setting is required there.
+    setting is required there. On a Spark Connect session the server's setting
+    is returned as is (None when unset: callers then skip checkpoints and
+    rely on lineage).
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -92,9 +108,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.isStreaming:  # micro-batches are planned by the stream's source
         return df
     spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
     if keys:
         return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+    sc = _context(spark)
+    if sc is None:  # Spark Connect: the partition count is not visible here
+        return df
+    target = sc.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(2 * target)
