@@ -39,7 +39,7 @@ U_LINES = "B1,1/1/2015,10,100\nB1,1/8/2015,20,200\nB1,1/2/2015,1,2\nB2,01/01/201
 
 
 def test_weekday_totals_fixture_u(spark, write_files):
-    trips = formats.dispatches(read_lines(spark, write_files({"uber.txt": U_LINES})))
+    trips = formats.dispatches(read_lines(spark, write_files({"trips.txt": U_LINES})))
     assert rows(P.weekday_totals(trips)) == [
         ("B1", "FRI", 2, 1),
         ("B1", "THR", 300, 30),
@@ -50,7 +50,7 @@ def test_weekday_totals_fixture_u(spark, write_files):
 
 
 def test_weekday_totals_header_raises_or_drops(spark, write_files):
-    d = write_files({"uber.txt": "base,date,vehicles,trips\n" + U_LINES})
+    d = write_files({"trips.txt": "base,date,vehicles,trips\n" + U_LINES})
     with pytest.raises(Exception):
         P.weekday_totals(formats.dispatches(read_lines(spark, d))).collect()
     dropped = formats.dispatches(read_lines(spark, d), mode="drop")

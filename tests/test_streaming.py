@@ -32,7 +32,7 @@ def test_word_count_stream_updates(spark, write_files, tmp_path):
 def test_weekday_totals_stream(spark, write_files, tmp_path):
     d = write_files(
         {"u1.txt": "B1,1/1/2015,10,100\nB1,1/2/2015,1,2\n", "u2.txt": "B1,1/8/2015,20,200\n"},
-        sub="uber",
+        sub="trips",
     )
     latest = {}
     q = start_counts(
