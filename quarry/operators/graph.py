@@ -9,6 +9,32 @@ from pyspark.sql import functions as F
 from quarry.session import ensure_checkpoint_dir
 
 
+def weighted_edges(edges: DataFrame, hot_fanout: int = 100_000) -> tuple[DataFrame, DataFrame]:
+    """``(src, salt, dst, w)`` edges and ``(src, deg, salts)`` per source.
+
+    Repeated edges are merged into one with weight ``count / outdegree``.
+    A source with more than ``hot_fanout`` distinct targets gets
+    ``ceil(fanout / hot_fanout)`` salt buckets, its edges dealt into them by
+    target; the edges are hash-partitioned on ``(src, salt)``, so a hub's
+    edges spread over several partitions instead of filling one."""
+    multi = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("c"))
+    degree = multi.groupBy("src").agg(
+        F.sum("c").alias("deg"),
+        F.ceil(F.count(F.lit(1)) / F.lit(hot_fanout)).cast("int").alias("salts"),
+    )
+    weighted = (
+        multi.join(degree, "src")
+        .select(
+            "src",
+            F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt"),
+            "dst",
+            (F.col("c") / F.col("deg")).alias("w"),
+        )
+        .repartition("src", "salt")
+    )
+    return weighted, degree
+
+
 def page_rank(
     edges: DataFrame,
     vertices: DataFrame | None = None,
@@ -57,22 +83,8 @@ def page_rank(
     if n == 0:
         return pages.withColumn("rank", F.lit(None).cast("double"))
 
-    multi = e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("c"))
-    degree = multi.groupBy("src").agg(
-        F.sum("c").alias("deg"),
-        F.ceil(F.count(F.lit(1)) / F.lit(hot_fanout)).cast("int").alias("salts"),
-    )
-    weighted = (
-        multi.join(degree, "src")
-        .select(
-            "src",
-            F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt"),
-            "dst",
-            (F.col("c") / F.col("deg")).alias("w"),
-        )
-        .repartition("src", "salt")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    weighted, degree = weighted_edges(e, hot_fanout)
+    weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
     base = (1.0 - damping) / n
     # every page carries its bucket count (0: no out-edges) through the rounds,
     # so sending a rank to its buckets needs no join
