@@ -111,3 +111,35 @@ def test_secondary_sort_groups_and_orders(spark):
             rows_k = [(r["tag"], r["v"]) for r in part if r["k"] == k]
             assert rows_k == sorted(rows_k) and rows_k[0][0] == "Movies"
         seen |= set(keys)
+
+
+def test_equi_join_hot_key_is_split_by_aqe(spark):
+    """A key holding a third of the left rows: AQE splits its partition
+    (the executed sort-merge join is marked skewed) and the result is whole."""
+    from pyspark.sql import functions as F
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        left = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("k"),
+            F.col("id").alias("x"),
+        )
+        right = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("y"))
+        out = equi_join(left, right, "k", strategy="auto")
+        n = len(out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert n == 30000
+    assert "isFinalPlan=true" in plan
+    assert "skew=true" in plan.replace(" ", "").lower() or "isskewjoin=true" in plan.lower(), plan
