@@ -69,13 +69,15 @@ def write_kv(
     style: str = "plain",
     mode: str = "overwrite",
     sort_output: str | None = None,
+    sort_by: Sequence[str] | None = None,
 ) -> None:
     """Write ``key<TAB>value`` lines (SNK-1, SNK-3 with ``sep=" "``, SNK-4).
 
     ``mode="overwrite"`` replaces the output folder; ``"errorifexists"`` fails
-    when it exists (SNK-5).
+    when it exists (SNK-5). ``sort_output`` orders lines by ``sort_by``
+    (default: the key) inside each file or in total (SRT-2).
     """
-    ordered = _order(df, _cols(key), sort_output)
+    ordered = _order(df, list(sort_by or _cols(key)), sort_output)
     _write(ordered.select(format_kv(key, value, sep, part_sep, style).alias("value")), path, mode)
 
 

@@ -1,0 +1,109 @@
+"""End to end: text files in, program, text files out (fixtures of
+FIXTURES.md), through the same entry point a user runs."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import pytest
+
+from quarry.cli import PROGRAMS, run
+from tests.test_programs import MOVIES, RATINGS, U_LINES, Y_LINES
+from tests.test_topk_joins import EMP, J_A, J_B
+
+
+def out_lines(path):
+    lines = []
+    for f in sorted(glob.glob(os.path.join(path, "part-*"))):
+        with open(f, encoding="utf-8") as fh:
+            lines.extend(fh.read().splitlines())
+    return lines
+
+
+@pytest.fixture
+def job(spark, write_files, tmp_path):
+    def _job(program, files, k=None, **opts):
+        d = write_files(files, sub=f"in_{program}")
+        out = str(tmp_path / f"out_{program}")
+        run(spark, program, d, out, k, **opts)
+        return out_lines(out)
+
+    return _job
+
+
+def test_wordcount(job):
+    assert sorted(job("wordcount", {"w.txt": "a b a\n b\tc\n"})) == ["a\t2", "b\t2", "c\t1"]
+
+
+def test_invertedindex(job):
+    got = sorted(job("invertedindex", {"d1": "ab cd\nab\n", "d2": "é ab"}))
+    assert got == ["ab\td1:0 d1:6", "ab\td2:3", "cd\td1:3", "é\td2:0"]
+
+
+def test_topk_written_smallest_first(job):
+    assert job("topk", {"emp.txt": EMP}, 3) == ["3|D1|400|park", "4|D3|400|choi", "2|D2|500|lee"]
+
+
+def test_join(job):
+    got = sorted(job("join", {"relation_a": J_A, "relation_b": J_B}))
+    assert got == ["k1\t1,1000,pen", "k1\t3,2000,pen", "k2\t2,1200,ink"]
+
+
+def test_matrixmul(job):
+    a = "0 0 1\n0 1 2\n1 0 3\n1 1 4\n"
+    b = "0 0 5\n0 1 6\n1 0 7\n1 1 8\n"
+    got = sorted(job("matrixmul", {"matrix_a": a, "matrix_b": b}))
+    assert got == ["0,0\t19", "0,1\t22", "1,0\t43", "1,1\t50"]
+
+
+def test_pagerank(job):
+    got = dict(line.split("\t") for line in job("pagerank", {"links": "0 1 2\n1 2\n2 0\n3 0 2\n"}))
+    want = {"0": 0.3314140625, "1": 0.2272890625, "2": 0.403796875, "3": 0.0375}
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert float(got[k]) == pytest.approx(v, abs=1e-12)
+
+
+def test_genrecount_both_formats(job):
+    assert sorted(job("genrecount", {"movies.dat": MOVIES})) == ["Comedy\t1", "Drama\t2", "Fantasy\t4"]
+    assert sorted(job("genrecount", {"movies.dat": MOVIES}, pairs=True)) == [
+        "(Comedy,1)",
+        "(Drama,2)",
+        "(Fantasy,4)",
+    ]
+
+
+def test_weekdaytotals_both_formats(job):
+    assert sorted(job("weekdaytotals", {"trips.txt": U_LINES})) == [
+        "B1,FRI\t2,1",
+        "B1,THR\t300,30",
+        "B2,THR\t4,3",
+    ]
+    assert sorted(job("weekdaytotals", {"trips.txt": U_LINES}, space=True, us_labels=True)) == [
+        "B1,FRI 2,1",
+        "B1,THU 300,30",
+        "B2,THU 4,3",
+    ]
+
+
+def test_categorytopk_written_smallest_first(job):
+    assert job("categorytopk", {"yt.txt": Y_LINES}, 2) == ["Games\t4.0", "Music\t4.5"]
+
+
+def test_genretopk_written_smallest_first(job):
+    got = job("genretopk", {"movies.dat": MOVIES, "ratings.dat": RATINGS}, 2)
+    assert got == ['"Delta" (2002)\t3.0', "Alpha (1999)\t4.5"]
+
+
+def test_every_program_is_covered():
+    tested = {n[len("test_"):].split("_")[0] for n in globals() if n.startswith("test_")}
+    assert set(PROGRAMS) <= tested
+
+
+def test_errorifexists(job, spark, write_files, tmp_path):
+    d = write_files({"w.txt": "a\n"}, sub="again")
+    out = str(tmp_path / "o")
+    run(spark, "wordcount", d, out)
+    with pytest.raises(Exception):
+        run(spark, "wordcount", d, out, mode="errorifexists")
