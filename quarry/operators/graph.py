@@ -59,8 +59,11 @@ def page_rank(
     zero to itself inside that same aggregate, so pages without in-links keep
     a row without a second join. Repeated edges are merged into one weighted
     edge up front. Ranks are checkpointed to ``spark.checkpoint.dir`` every
-    ``checkpoint_every`` rounds (0: never), cutting the lineage so a lost
-    executor recomputes at most those rounds.
+    ``checkpoint_every`` rounds and after the last one (0: never), cutting
+    the lineage so a lost executor recomputes at most those rounds. With
+    checkpoints on, the result is read back from the checkpoint and every
+    cached intermediate (pages, weighted edges, earlier ranks) is released
+    before returning; with them off, the result stays lazy and cached.
 
     Hub pages are salted: a source with more than ``hot_fanout`` distinct
     targets has its edges dealt into ``ceil(fanout / hot_fanout)`` buckets by
@@ -79,12 +82,14 @@ def page_rank(
         vertices = e.select(F.col("src").alias("id")).union(e.select(F.col("dst").alias("id")))
     pages = vertices.select(F.col("id").cast("bigint").alias("id")).distinct()
     pages = pages.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = [pages]  # released once the result no longer needs them
     n = pages.count()
     if n == 0:
         return pages.withColumn("rank", F.lit(None).cast("double"))
 
     weighted, degree = weighted_edges(e, hot_fanout)
     weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.append(weighted)
     base = (1.0 - damping) / n
     # every page carries its bucket count (0: no out-edges) through the rounds,
     # so sending a rank to its buckets needs no join
@@ -92,6 +97,7 @@ def page_rank(
         degree.select(F.col("src").alias("id"), "salts"), "id", "left"
     ).select("id", F.coalesce("salts", F.lit(0)).alias("salts"))
     page_salts = page_salts.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.append(page_salts)
     zeros = page_salts.select("id", F.lit(0.0).alias("c"), "salts")
     ranks = page_salts.select("id", F.lit(1.0 / n).alias("rank"), "salts")
     for it in range(1, n_iter + 1):
@@ -113,8 +119,17 @@ def page_rank(
                 F.max("salts").alias("salts"),
             )
         )
-        if checkpoint_every and it % checkpoint_every == 0 and it < n_iter:
+        if checkpoint_every and (it % checkpoint_every == 0 or it == n_iter):
             # cached first, so writing the checkpoint does not compute the
-            # round a second time
-            ranks = ranks.persist(StorageLevel.MEMORY_AND_DISK).checkpoint(eager=True)
-    return ranks.select("id", "rank")
+            # round a second time; between rounds the checkpoint is lazy (the
+            # next round's job computes the ranks, then Spark writes them from
+            # the cache), the last one is eager so the result is on storage
+            kept = ranks.persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(kept)
+            ranks = kept.checkpoint(eager=(it == n_iter))
+    result = ranks.select("id", "rank")
+    if checkpoint_every:
+        # the final ranks live in checkpoint files: nothing cached is needed
+        for df in cached:
+            df.unpersist(blocking=False)
+    return result
