@@ -9,19 +9,31 @@ from pyspark.sql import functions as F
 from quarry.session import ensure_checkpoint_dir
 
 
-def weighted_edges(edges: DataFrame, hot_fanout: int = 100_000) -> tuple[DataFrame, DataFrame]:
+def weighted_edges(
+    edges: DataFrame, hot_fanout: int = 100_000, cached: list[DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """``(src, salt, dst, w)`` edges and ``(src, deg, salts)`` per source.
 
     Repeated edges are merged into one with weight ``count / outdegree``.
     A source with more than ``hot_fanout`` distinct targets gets
     ``ceil(fanout / hot_fanout)`` salt buckets, its edges dealt into them by
     target; the edges are hash-partitioned on ``(src, salt)``, so a hub's
-    edges spread over several partitions instead of filling one."""
+    edges spread over several partitions instead of filling one.
+
+    With ``cached`` (a list), the merged edges and the per-source table are
+    persisted and appended to it: both feed several later steps, and without
+    a cache each of those would derive the edges from the input again."""
     multi = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("c"))
+    if cached is not None:
+        multi = multi.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(multi)
     degree = multi.groupBy("src").agg(
         F.sum("c").alias("deg"),
         F.ceil(F.count(F.lit(1)) / F.lit(hot_fanout)).cast("int").alias("salts"),
     )
+    if cached is not None:
+        degree = degree.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(degree)
     weighted = (
         multi.join(degree, "src")
         .select(
@@ -87,7 +99,7 @@ def page_rank(
     if n == 0:
         return pages.withColumn("rank", F.lit(None).cast("double"))
 
-    weighted, degree = weighted_edges(e, hot_fanout)
+    weighted, degree = weighted_edges(e, hot_fanout, cached)
     weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
     cached.append(weighted)
     base = (1.0 - damping) / n
