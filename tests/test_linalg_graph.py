@@ -198,3 +198,38 @@ def test_filtered_join_with_hot_movie(spark):
     means = [(mid, sum(v) / len(v)) for mid, v in sums.items() if sum(v) != 0]
     want = sorted(means, key=lambda t: (-t[1], t[0]))[:10]
     assert got == want
+
+
+def test_matrix_hot_contraction_index_is_split(spark):
+    """One contraction index holds a third of A's entries: AQE splits that
+    join partition, and the product equals the brute force."""
+    from pyspark.sql import functions as F
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        a = spark.range(6000).select(
+            (F.col("id") % 50).alias("i"),
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 40).alias("j"),
+            F.lit(1).cast("long").alias("v"),
+        )
+        b = spark.range(40).select(F.col("id").alias("i"), F.lit(0).cast("long").alias("j"), F.lit(2).cast("long").alias("v"))
+        out = matrix_multiply(a, b)
+        got = {(r["i"], r["j"]): r["v"] for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want: dict[tuple[int, int], int] = {}
+    for x in range(6000):  # every contraction index 0..39 has one B entry (value 2)
+        want[(x % 50, 0)] = want.get((x % 50, 0), 0) + 2
+    assert got == want
+    assert "skew=true" in plan.replace(" ", "").lower() or "isskewjoin=true" in plan.lower()

@@ -180,3 +180,41 @@ def test_route_by_file_prunes_files(spark, write_files):
 
     assert files_read(routed["a"]) == 1
     assert files_read(routed["b"]) == 2
+
+
+def test_checkpoint_dir_policy():
+    """A cluster session needs spark.checkpoint.dir; only a local one may use
+    a temporary folder; a configured folder is always used."""
+    from quarry.session import ensure_checkpoint_dir
+
+    class Conf(dict):
+        def get(self, k, d=None):
+            return dict.get(self, k, d)
+
+        def set(self, k, v):
+            self[k] = v
+
+    class Ctx:
+        def __init__(self, master, conf):
+            self.master, self._dir, self._conf = master, None, conf
+
+        def getCheckpointDir(self):
+            return self._dir
+
+        def setCheckpointDir(self, d):
+            self._dir = d
+
+        def getConf(self):
+            return self._conf
+
+    class Session:
+        def __init__(self, master, conf=None):
+            self.conf = Conf(conf or {})
+            self.sparkContext = Ctx(master, Conf())
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session("yarn"))
+    shared = Session("yarn", {"spark.checkpoint.dir": "hdfs:///shared/ckpt"})
+    assert ensure_checkpoint_dir(shared) == "hdfs:///shared/ckpt"
+    local = Session("local[2]")
+    assert ensure_checkpoint_dir(local).startswith("/")
