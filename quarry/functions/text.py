@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 # space, tab, line feed, carriage return and form feed.
 WHITESPACE_CHARS = " \t\n\r\f"
 WHITESPACE = "[ \\t\\n\\r\\f]+"
-# One run of non-blank characters or one run of blanks, in text order.
-TOKEN_OR_GAP = "[^ \\t\\n\\r\\f]+|[ \\t\\n\\r\\f]+"
 
 
 def _col(c: str | Column) -> Column:
@@ -51,13 +49,18 @@ def positional_fields(text: str | Column, sep: str) -> Column:
     return F.split(_col(text), sep_regex(sep))
 
 
-def token_or_gap_runs(text: str | Column) -> Column:
-    """Alternating token and blank runs; concatenated they rebuild the text."""
-    return F.regexp_extract_all(_col(text), F.lit(TOKEN_OR_GAP), 0)
+# One token with the blanks before it: concatenated, these pieces rebuild the
+# text up to its last token.
+GAP_THEN_TOKEN = "[ \\t\\n\\r\\f]*[^ \\t\\n\\r\\f]+"
 
 
-def is_gap(run: str | Column) -> Column:
-    return F.substring(_col(run), 1, 1).rlike(WHITESPACE)
+def gap_token_pieces(text: str | Column) -> Column:
+    """Pieces ``blanks + token``, one per token, in text order."""
+    return F.regexp_extract_all(_col(text), F.lit(GAP_THEN_TOKEN), 0)
+
+
+def strip_leading_blanks(piece: str | Column) -> Column:
+    return F.ltrim(_col(piece), F.lit(WHITESPACE_CHARS))
 
 
 # Characters U+0000..U+0020: what a Java-style trim() strips from both ends.

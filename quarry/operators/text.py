@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import (
     WHITESPACE,
-    is_gap,
+    gap_token_pieces,
     sep_regex,
-    token_or_gap_runs,
+    strip_leading_blanks,
 )
 from quarry.session import spread
 
@@ -53,27 +53,36 @@ def token_offsets(
     """``(word, doc, off)``: every whitespace token with the byte offset of its
     first byte inside its document's text (SRC-7, decision D8).
 
-    The text is cut into alternating token / blank runs; a token's offset is
-    the running byte length of the runs before it (WIN-1). The documents are
-    hash-partitioned on ``doc`` *before* the runs are exploded, so the window
-    needs no exchange of its own and the shuffle moves compact text, not one
-    row per token. A window group is one document, bounded by its row.
+    The text is cut into pieces of "blanks, then one token", one piece per
+    token. A token's offset is the running byte length of the pieces before
+    it (WIN-1) plus the length of its own leading blanks. The documents are
+    hash-partitioned on ``doc`` *before* the pieces are exploded, so the
+    window needs no exchange of its own and the shuffle moves compact text,
+    not one row per token. A window group is one document, bounded by its row.
     """
     docs = spread(df.select(F.col(doc_col), F.col(text_col)), doc_col)
-    runs = docs.select(
-        F.col(doc_col), F.posexplode(token_or_gap_runs(F.col(text_col))).alias("pos", "run")
+    pieces = docs.select(
+        F.col(doc_col), F.posexplode(gap_token_pieces(F.col(text_col))).alias("pos", "piece")
     )
     before = (
         Window.partitionBy(doc_col)
         .orderBy("pos")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return (
-        runs.withColumn(
-            off_col, F.coalesce(F.sum(F.octet_length("run")).over(before), F.lit(0)).cast("bigint")
-        )
-        .filter(~is_gap("run"))
-        .select(F.col("run").alias(word_col), F.col(doc_col), F.col(off_col))
+    return _piece_offsets(pieces, before, F.lit(0), word_col, doc_col, off_col)
+
+
+def _piece_offsets(pieces, before, base, word_col, doc_col, off_col) -> DataFrame:
+    """Word and byte offset of each ``blanks + token`` piece: ``base`` plus the
+    bytes of the earlier pieces (window ``before``) plus its own blanks."""
+    word = strip_leading_blanks("piece")
+    earlier = F.coalesce(F.sum(F.octet_length("piece")).over(before), F.lit(0))
+    return pieces.select(
+        word.alias(word_col),
+        F.col(doc_col),
+        (base + earlier + F.octet_length("piece") - F.octet_length(word))
+        .cast("bigint")
+        .alias(off_col),
     )
 
 
@@ -83,28 +92,23 @@ def file_token_offsets(
     """``(word, file, off)`` for lines from ``read_lines_with_offsets``: each
     token's byte offset in its file, for files too large for one row.
 
-    The token offset inside a line is the running byte length of the
-    token / blank runs before it; the window groups by line inside the
-    ``(path, block)`` partitioning the lines already have, so no further
-    shuffle happens."""
-    runs = lines.select(
+    Inside a line, a token's offset is the running byte length of the
+    ``blanks + token`` pieces before it plus its own blanks; the window groups
+    by line inside the ``(path, block)`` partitioning the lines already have,
+    so no further shuffle happens."""
+    pieces = lines.select(
         F.col(doc_col),
         "path",
         "block",
         F.col("off").alias("line_off"),
-        F.posexplode(token_or_gap_runs(F.col("value"))).alias("pos", "run"),
+        F.posexplode(gap_token_pieces(F.col("value"))).alias("pos", "piece"),
     )
     before = (
         Window.partitionBy("path", "block", "line_off")
         .orderBy("pos")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    inside = F.coalesce(F.sum(F.octet_length("run")).over(before), F.lit(0))
-    return (
-        runs.withColumn(off_col, (F.col("line_off") + inside).cast("bigint"))
-        .filter(~is_gap("run"))
-        .select(F.col("run").alias(word_col), F.col(doc_col), F.col(off_col))
-    )
+    return _piece_offsets(pieces, before, F.col("line_off"), word_col, doc_col, off_col)
 
 
 def inverted_index_postings(
