@@ -2,6 +2,22 @@
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+OP1 = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, length(text) + length(regexp_replace(text, '[^\\\\\\[<]', '', 'g')) + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 4
+    ELSE 14 + length(role) + length(regexp_replace(role, '[^\\\\\\[<\\]]', '', 'g')) END AS chars FROM turns
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (3 + sum(chars))::BIGINT AS formatted_chars, 0::BIGINT AS rewrites
+FROM sized GROUP BY conv_id
+"""
+
 OP2 = f"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
@@ -56,4 +72,4 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(s.n, 0)::BIGINT AS n_hit,
 FROM words w LEFT JOIN spots s USING (doc_id) LEFT JOIN names m USING (doc_id)
 """
 
-ORACLE_SQL = {"op2_jaccard_join": OP2, "op3_substring_dedup": OP3, "op10_decontamination": OP10}
+ORACLE_SQL = {"op1_chat_formatting": OP1, "op2_jaccard_join": OP2, "op3_substring_dedup": OP3, "op10_decontamination": OP10}

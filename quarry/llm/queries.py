@@ -6,12 +6,20 @@ parameters of the operator's module and returns the whole result.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, jaccard_join, substrings
+from quarry.llm import chat, decontaminate, jaccard_join, packing, sharding, substrings
 from quarry.llm.shared import table
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], turns.schema)
+    return chat.digest(chat.rendered(turns.union(more)))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked(table(spark, sf_dir, "documents"))
 
@@ -20,9 +28,17 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.documents_packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
 
 
-QUERIES = {f.__name__: f for f in (op2_jaccard_join, op3_substring_dedup, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_jaccard_join, op3_substring_dedup, op7_best_fit_packing, op9_sharding, op10_decontamination)}
