@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import chat, decontaminate, jaccard_join, packing, sharding, substrings
+from quarry.llm import chat, decontaminate, jaccard_join, language, licenses, neighbours, packing, quality, sharding, substrings
 from quarry.llm.shared import table
 
 
@@ -28,10 +28,26 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.documents_packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.notices(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
@@ -41,4 +57,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_jaccard_join, op3_substring_dedup, op7_best_fit_packing, op9_sharding, op10_decontamination)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_chat_formatting,
+        op2_jaccard_join,
+        op3_substring_dedup,
+        op4_language_id,
+        op5_nearest_neighbours,
+        op6_quality_classifier,
+        op7_best_fit_packing,
+        op8_license_scans,
+        op9_sharding,
+        op10_decontamination,
+    )
+}
