@@ -10,13 +10,15 @@ long as that saves sequences.
 
 Cases: a null or empty text is ``END`` alone; repeated rows and null ids are
 packed like any other; an empty table gives no pieces; extra columns are
-ignored. A word is tokenised once a task and then looked up, for this
+ignored. A word is tokenised once a worker process and then looked up, for this
 tokenizer's words never reach over white space.
 """
 
 from __future__ import annotations
 
 import os
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -37,6 +39,21 @@ ROUNDS = 4
 REMEMBERED = 1 << 20
 
 
+_LETTER = np.zeros(256, bool)
+_LETTER[0x30:0x3A] = _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
+_MARK = ~_LETTER
+_MARK[0x80:] = _MARK[0x27] = _MARK[0x20] = _MARK[0x09:0x0E] = False
+
+
+def _between(data: np.ndarray) -> np.ndarray:
+    """Where an ASCII letter or digit meets ASCII punctuation other than the
+    apostrophe: the tokenizer always starts a token there."""
+    out = np.zeros(len(data), bool)
+    a, b = data[:-1], data[1:]
+    out[1:] = (_LETTER[a] & _MARK[b]) | (_MARK[a] & _LETTER[b])
+    return out
+
+
 class Vocabulary:
     """Ids of words, remembered by the word's hash."""
 
@@ -57,7 +74,7 @@ class Vocabulary:
         new = [k for k, h in enumerate(unique.tolist()) if h not in self.place]
         if new:
             texts = [w.data[w.start[i] : w.end[i]].tobytes().decode() for i in at[new].tolist()]
-            for k, one in zip(new, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+            for k, one in zip(new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
                 ids, end = one.ids, self.bounds[-1]
                 while end + len(ids) > len(self.ids):
                     self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
@@ -80,11 +97,15 @@ def pieces(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, with_ids:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        vocabulary = Vocabulary(tokenizer)
+        # one vocabulary a worker process: its later tasks know the words of the earlier ones
+        kept = sys.modules.setdefault("_quarry_vocabularies", types.ModuleType("_quarry_vocabularies")).__dict__
+        if tokenizer_path not in kept:
+            tokenizer = Tokenizer.from_file(tokenizer_path)
+            tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+            kept[tokenizer_path] = Vocabulary(tokenizer)
+        vocabulary = kept[tokenizer_path]
         for batch in batches:
-            for rows, w in word_batches(batch, SPACED, False):
+            for rows, w in word_batches(batch, SPACED, True, cuts=_between):  # the tokenizer lower-cases as well
                 ids, size = vocabulary.ids_of(w)
                 total = np.concatenate([[0], np.cumsum(size)])
                 out: list[tuple] = []

@@ -90,12 +90,15 @@ def gram_hash(h: np.ndarray, at: np.ndarray, k: int, seed: int = 0) -> np.ndarra
     return mix(total)
 
 
-def split(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray, lower: bool) -> Words:
+def split(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray, lower: bool, cuts=None) -> Words:
     """Words of the texts ``data[offsets[d]:offsets[d + 1]]``. Long buffers are
-    hashed in chunks cut between words, so work memory stays near ``CHUNK``."""
+    hashed in chunks cut between words, so work memory stays near ``CHUNK``.
+    ``cuts`` flags the positions of ``data`` at which a word is cut as well."""
     n = len(data)
     is_word = word_bytes[data]
     edge = np.zeros(n + 1, bool)
+    if cuts is not None:
+        edge[:n] = cuts(data)
     edge[offsets] = True  # a text's first byte starts a word whatever stands before it
     before = np.zeros(n, bool)
     before[1:] = is_word[:-1]
@@ -134,10 +137,10 @@ def slices(texts: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, np.ndarra
         at = to
 
 
-def word_batches(batch: pa.RecordBatch, word_bytes: np.ndarray, lower: bool, column: str = "text"):
+def word_batches(batch: pa.RecordBatch, word_bytes: np.ndarray, lower: bool, column: str = "text", cuts=None):
     """(rows of the slice as a record batch, its Words) for slices of a batch."""
     for at, data, offsets in slices(batch.column(column)):
-        yield batch.slice(at, len(offsets) - 1), split(data, offsets, word_bytes, lower)
+        yield batch.slice(at, len(offsets) - 1), split(data, offsets, word_bytes, lower, cuts)
 
 
 def distinct_per_doc(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,3 +157,35 @@ def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.
     offsets = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+
+def flushed(arrays, limit: int = 1 << 20):
+    """Tuples of equally long arrays, gathered into tuples of about ``limit``
+    rows: what a task looks at together before it shuffles anything."""
+    held, size = [], 0
+    for one in arrays:
+        held.append(one)
+        size += len(one[0])
+        if size >= limit:
+            yield tuple(np.concatenate(x) for x in zip(*held))
+            held, size = [], 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held))
+
+
+def first_of_key(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row, in the order given: the smallest doc of its key, and
+    whether its key has several docs. Rows stay in text order, in which their
+    docs and positions compress well in a shuffle."""
+    order = np.lexsort((doc, key))
+    by_key, by_doc = key[order], doc[order]
+    new = np.ones(len(key), bool)
+    new[1:] = by_key[1:] != by_key[:-1]
+    at = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    last = np.append(at[1:], len(key)) - 1
+    low, several = np.empty_like(doc), np.empty(len(key), bool)
+    if len(at):
+        low[order] = by_doc[at][group]
+        several[order] = (by_doc[last] != by_doc[at])[group]
+    return low, several
