@@ -79,12 +79,13 @@ class Matcher:
             if alone - size < REDUCTION * alone:
                 return None
             name, wanted, _ = self.known[i]
-            added, missing = [], []
+            added, missing, apart = [], [], 0
             for kind, a, b, c, d in difflib.SequenceMatcher(None, wanted, words, autojunk=False).get_opcodes():
                 if kind != "equal":
                     missing += wanted[a:b]
                     added += words[c:d]
-            if len(missing) + len(added) <= DIFFERENT * len(wanted):
+                    apart += max(b - a, d - c)  # a word for another is one difference
+            if apart <= DIFFERENT * len(wanted):
                 return {"license": name, "reduction": (alone - size) / alone, "missing": missing, "added": added}
         return None
 
