@@ -29,7 +29,7 @@ def _inverted_index(spark, inp, out, k, mode, opts):
 
 
 def _top_k(spark, inp, out, k, mode, opts):
-    best = P.top_k_employees(formats.employees(read_lines(spark, inp)), k or 3)
+    best = P.top_k_employees(formats.employees(read_lines(spark, inp)), 3 if k is None else k)
     cols = ["emp_id", "dept_id", "salary", "emp_info"]
     # smallest first, as a drained min-heap writes them; k rows, so one task
     write_lines(
@@ -53,7 +53,7 @@ def _matrix(spark, inp, out, k, mode, opts):
 
 def _page_rank(spark, inp, out, k, mode, opts):
     edges, vertices = parse_adjacency(read_lines(spark, inp))
-    ranks = P.rank_pages(edges, vertices, n_iter=k or 3)
+    ranks = P.rank_pages(edges, vertices, n_iter=3 if k is None else k)
     write_kv(ranks, out, "id", "rank", mode=mode, sort_output="partition")
 
 
@@ -71,7 +71,7 @@ def _weekday_totals(spark, inp, out, k, mode, opts):
 
 
 def _category_top_k(spark, inp, out, k, mode, opts):
-    best = P.group_avg_top_k(formats.videos(read_lines(spark, inp)), k=k or 3)
+    best = P.group_avg_top_k(formats.videos(read_lines(spark, inp)), k=3 if k is None else k)
     write_kv(
         best.coalesce(1), out, "category", "avg_rating",
         mode=mode, sort_output="partition", sort_by=["avg_rating", "category"],
@@ -81,7 +81,7 @@ def _category_top_k(spark, inp, out, k, mode, opts):
 def _genre_top_k(spark, inp, out, k, mode, opts):
     rel = route_by_file(read_lines(spark, inp, with_file=True), {"movies": "movies.dat"}, rest="ratings")
     best = P.filtered_join_avg_top_k(
-        formats.movies(rel["movies"]), formats.ratings(rel["ratings"]), opts.get("genre", "Fantasy"), k or 10
+        formats.movies(rel["movies"]), formats.ratings(rel["ratings"]), opts.get("genre", "Fantasy"), 10 if k is None else k
     )
     write_kv(
         best.coalesce(1), out, "title", "avg_rating",

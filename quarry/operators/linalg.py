@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators.joins import equi_join
 
 
+def _value(df: DataFrame, name: str) -> Column:
+    """A matrix value: integers are widened to bigint, other numbers stay as they are."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.col(name).cast("bigint")
+    if isinstance(kind, T.NumericType):
+        return F.col(name)
+    raise TypeError(f"matrix values must be numbers, {name} is {kind.simpleString()}")
+
+
 def matrix_multiply(
     a: DataFrame,
     b: DataFrame,
@@ -22,7 +33,8 @@ def matrix_multiply(
     ``B[k,j]`` (no replication of either side), then ``C[i,j]`` is the sum of
     the products; Spark pre-sums products per task before the shuffle on
     ``(i, j)``. Missing entries are zeros, so only stored pairs meet
-    (decision D10). Values are widened to bigint before multiplying (D12).
+    (decision D10). Integer values are widened to bigint before
+    multiplying (D12), other numeric types are kept.
     A coordinate stored twice acts as the sum of its values, since
     ``(a1 + a2) * b = a1 * b + a2 * b`` (D11).
 
@@ -36,8 +48,8 @@ def matrix_multiply(
     """
     ai, ak, av = a_cols
     bk, bj, bv = b_cols
-    left = a.select(F.col(ai).alias("i"), F.col(ak).alias("k"), F.col(av).cast("bigint").alias("av"))
-    right = b.select(F.col(bk).alias("k"), F.col(bj).alias("j"), F.col(bv).cast("bigint").alias("bv"))
+    left = a.select(F.col(ai).alias("i"), F.col(ak).alias("k"), _value(a, av).alias("av"))
+    right = b.select(F.col(bk).alias("k"), F.col(bj).alias("j"), _value(b, bv).alias("bv"))
     return (
         equi_join(left, right, "k", "inner", strategy, broadcast_max_rows)
         .groupBy("i", "j")

@@ -52,7 +52,7 @@ def _page_rank(rounds: int = 3, damping: float = 0.85) -> str:
     return (
         "with "
         + ",\n".join(ctes)
-        + f"\nselect id, round(rank * 1e9) / 1e9 as rank from r{rounds}"
+        + f"\nselect id, printf('%.8e', rank)::double as rank from r{rounds}"
     )
 
 

@@ -21,7 +21,7 @@ TOP_K_FILTERED = 10
 FILTER_WORD = "ring"
 PAGE_RANK_ROUNDS = 3
 DAMPING = 0.85
-RANK_SCALE = 1e9  # ranks are reported rounded to 9 decimal places
+RANK_FORMAT = "%.8e"  # ranks are reported to 9 significant digits, however many pages there are
 MATRIX_SCALE = 1000.0  # embedding floats -> integers: round(x * 1000)
 
 
@@ -106,7 +106,7 @@ def page_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges, pages = _order_links(spark, sf_dir)
     ranks = P.rank_pages(edges, pages, PAGE_RANK_ROUNDS, DAMPING)
     return ranks.select(
-        "id", (F.round(F.col("rank") * F.lit(RANK_SCALE)) / F.lit(RANK_SCALE)).alias("rank")
+        "id", F.format_string(RANK_FORMAT, "rank").cast("double").alias("rank")
     )
 
 

@@ -19,7 +19,7 @@ from quarry.plans.tables import (
     DAMPING,
     FILTER_WORD,
     PAGE_RANK_ROUNDS,
-    RANK_SCALE,
+    RANK_FORMAT,
     TOP_K_FILTERED,
     TOP_K_GROUPS,
     TOP_K_ROWS,
@@ -34,7 +34,7 @@ def _lines(df: DataFrame, sep: str, *cols: Column) -> DataFrame:
     """Render rows as ``sep``-joined lines. A narrow scan is spread first so
     rendering and parsing run on every core, as they would on the many splits
     of a large text input."""
-    return spread(df).select(F.concat_ws(sep, *[c.cast("string") for c in cols]).alias("value"))
+    return spread(df).select(F.concat_ws(sep, *[F.coalesce(c.cast("string"), F.lit("")) for c in cols]).alias("value"))
 
 
 def _cents(c: str) -> Column:
@@ -85,11 +85,13 @@ def page_rank_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     last line) from lineitem."""
     li = table(spark, sf_dir, "lineitem")
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    lines = _lines(li, " ", F.col("l_partkey"), F.lead("l_partkey").over(w))
+    part, following = F.col("l_partkey").cast("string"), F.lead("l_partkey").over(w).cast("string")
+    # the last line of an order names its part alone
+    lines = spread(li).select(F.concat(part, F.coalesce(F.concat(F.lit(" "), following), F.lit(""))).alias("value"))
     edges, vertices = parse_adjacency(lines)
     ranks = P.rank_pages(edges, vertices, PAGE_RANK_ROUNDS, DAMPING)
     return ranks.select(
-        "id", (F.round(F.col("rank") * F.lit(RANK_SCALE)) / F.lit(RANK_SCALE)).alias("rank")
+        "id", F.format_string(RANK_FORMAT, "rank").cast("double").alias("rank")
     )
 
 

@@ -124,18 +124,21 @@ def tune_for_input(
     input_bytes: int,
     partition_bytes: int = 256 * 1024 * 1024,
     min_partitions: int = 200,
-    max_partitions: int = 200_000,
+    max_partitions: int | None = None,
 ) -> int:
     """Size shuffles and scan splits for an input of ``input_bytes``.
 
     Scan splits and AQE's target shuffle partition are set to
     ``partition_bytes`` so a task's data fits executor memory with room to
     spill. The initial shuffle partition count is the input size over that
-    target, clamped to ``[min_partitions, max_partitions]``. AQE then
+    target, ``min_partitions`` at least (and ``max_partitions`` at most, if the
+    caller sets one). AQE then
     coalesces what turns out smaller (e.g. after partial aggregation) and
     splits skewed partitions. Returns the partition count set.
     """
-    n = max(min_partitions, min(max_partitions, -(-input_bytes // partition_bytes)))
+    n = max(min_partitions, -(-input_bytes // partition_bytes))
+    if max_partitions is not None:
+        n = min(max_partitions, n)
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(partition_bytes))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))

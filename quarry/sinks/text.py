@@ -15,7 +15,8 @@ def _cols(cols: str | Sequence[str]) -> list[str]:
 
 
 def _str(c: str) -> Column:
-    return F.col(c).cast("string")
+    """A field's text; a null is an empty field, so later fields keep their place."""
+    return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
 
 def format_kv(

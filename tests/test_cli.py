@@ -107,3 +107,11 @@ def test_errorifexists(job, spark, write_files, tmp_path):
     run(spark, "wordcount", d, out)
     with pytest.raises(Exception):
         run(spark, "wordcount", d, out, mode="errorifexists")
+
+
+def test_a_limit_of_zero_is_refused(spark, write_files, tmp_path):
+    from quarry import cli
+
+    folder = write_files({"a.txt": "1|2|3|x\n"})
+    with pytest.raises(ValueError):
+        cli.PROGRAMS["topk"](spark, folder, str(tmp_path / "out"), 0, "error", {})

@@ -233,3 +233,12 @@ def test_matrix_hot_contraction_index_is_split(spark):
         want[(x % 50, 0)] = want.get((x % 50, 0), 0) + 2
     assert got == want
     assert "skew=true" in plan.replace(" ", "").lower() or "isskewjoin=true" in plan.lower()
+
+
+def test_matrix_values_keep_their_type(spark):
+    from quarry.operators.linalg import matrix_multiply
+
+    m = spark.createDataFrame([(0, 0, 0.5)], "i int, j int, v double")
+    assert matrix_multiply(m, m).first().v == 0.25
+    with pytest.raises(TypeError):
+        matrix_multiply(m.withColumn("v", m.v.cast("string")), m)

@@ -25,7 +25,7 @@ FORBIDDEN = (
 NEVER_READ = ("l_extendedprice", "l_discount", "l_tax", "lang", "source", "n_chars")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.OWN_QUERIES))
 def test_plan_has_no_unscalable_parts(spark, name):
     df = E.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from quarry.sinks.text import write_kv, write_lines
+from quarry.sinks.text import format_kv, format_line, write_kv, write_lines
 
 
 def read_out(path):
@@ -49,3 +49,9 @@ def test_write_lines_and_modes(spark, tmp_path):
         write_lines(df, p, ["id"], mode="errorifexists")
     with pytest.raises(ValueError):
         write_lines(df, p, ["id"], mode="bogus")
+
+
+def test_null_fields_keep_their_place(spark):
+    df = spark.createDataFrame([(1, None, "z")], "a int, b string, c string")
+    line = df.select(format_line(["a", "b", "c"]).alias("l"), format_kv("a", ["b", "c"]).alias("k")).first()
+    assert (line.l, line.k) == ("1||z", "1\t,z")
