@@ -14,11 +14,16 @@ therefore occurs, at the same place, in every other occurrence of that window.
 Each window picks the smallest-hashed of those symbols (a window with none
 picks its own hash), so two equal windows pick the same key. Spark then
 
-1. counts the keys over all documents and keeps those found under two ids,
+1. brings equal keys together and keeps those found under two ids,
 2. takes the windows that picked such a key, and finds the smallest id of
    each window's hash,
 3. removes the words of windows whose smallest id is smaller than their own.
 
+Before both shuffles a task compares about a million of its own rows: of a key
+or window that several of them hold only the smallest id is sent to meet other
+tasks, the rest is settled already and spread. A passage that a third of all
+documents share so sends a row or two a task, not one a document.
+
 Cases: a null or empty text has no words; rows without a ``doc_id`` keep all
 words and remove none elsewhere; rows that repeat a ``doc_id`` are judged one by
 one, against other ids only; other columns pass through ``deduplicated``.
@@ -31,10 +36,10 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.words import SPACED, U64, Words, gram_hash, mix, word_batches
+from quarry.llm.words import SPACED, U64, Words, distinct_per_doc, first_of_key, flushed, gram_hash, mix, word_batches
 
 WINDOW = 13
 ROUNDS = 2
@@ -158,26 +163,39 @@ def removals(docs: DataFrame) -> DataFrame:
     """(doc_id, text, spots): every row that has a ``doc_id``, with the windows
     to remove as ``tag << 32 | first word`` (null if none)."""
     docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
+    return docs.join(_spots(docs), "doc_id", "left").select("doc_id", "text", "spots")
 
-    def emit_keys(batches):
+
+def _spots(docs: DataFrame) -> DataFrame:
+    """(doc_id, spots) of the documents that lose words."""
+
+    def picked_keys(batches):
         for batch in batches:
             for rows, w in word_batches(batch, SPACED, False):
                 at, key = keys(w)
-                doc = w.doc[at]
-                # neighbouring windows mostly pick one key: send it once a text
-                order = np.lexsort((key, doc))
-                doc, key = doc[order], key[order]
-                new = np.ones(len(doc), bool)
-                new[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[new].view(np.int64)), rows.column("doc_id").take(pa.array(doc[new]))], ["key", "doc_id"]
-                )
-
-    picked = docs.mapInArrow(emit_keys, "key long, doc_id long")
-    shared = picked.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    lists = picked.join(shared.select("key"), "key", "left_semi").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+                doc, key = distinct_per_doc(w.doc[at], key)  # neighbouring windows mostly pick one key
+                yield key, np.asarray(rows.column("doc_id"))[doc]
 
-    def emit_windows(batches):
+    def emit_keys(batches):
+        for key, doc in flushed(picked_keys(batches)):
+            low, several = first_of_key(key, doc)
+            known = several & (doc != low)  # its key is shared already: it need not meet the others
+            route = np.where(known, mix(key ^ mix(doc.view(U64))), key)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(route.view(np.int64)), pa.array(key.view(np.int64), mask=~known), pa.array(doc), pa.array(several)],
+                ["route", "key", "doc_id", "several"],
+            )
+
+    same = Window.partitionBy("route")
+    lists = (
+        docs.mapInArrow(emit_keys, "route long, key long, doc_id long, several boolean")
+        .withColumn("shared", F.max("several").over(same) | (F.min("doc_id").over(same) < F.max("doc_id").over(same)))
+        .where("shared")
+        .groupBy("doc_id")
+        .agg(F.collect_set(F.coalesce("key", "route")).alias("keys"))
+    )
+
+    def wanted_windows(batches):
         for batch in batches:
             for rows, w in word_batches(batch, SPACED, False):
                 at, key = keys(w)
@@ -191,24 +209,31 @@ def removals(docs: DataFrame) -> DataFrame:
                     a, b = first[d], first[d + 1]
                     take[a:b] = np.isin(key[a:b], flat[bound[d] : bound[d + 1]])
                 at, doc = at[take], doc[take]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(gram_hash(w.hash, at, WINDOW, 9).view(np.int64)),
-                        rows.column("doc_id").take(pa.array(doc)),
-                        pa.array(tags[doc] << 32 | (at - w.first[doc])),
-                    ],
-                    ["window", "doc_id", "spot"],
-                )
-
-    windows = docs.join(lists, "doc_id").select("doc_id", "text", "keys").mapInArrow(emit_windows, "window long, doc_id long, spot long")
-    low = windows.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("window", "low")
-    spots = windows.join(low, "window").where("low < doc_id").groupBy("doc_id").agg(F.collect_list("spot").alias("spots"))
-    return docs.join(spots, "doc_id", "left").select("doc_id", "text", "spots")
-
-
-def _removed(rows: pa.RecordBatch, w: Words) -> np.ndarray:
+                yield gram_hash(w.hash, at, WINDOW, 9), np.asarray(rows.column("doc_id"))[doc], tags[doc] << 32 | (at - w.first[doc])
+
+    def emit_windows(batches):
+        for window, doc, spot in flushed(wanted_windows(batches)):
+            low, _ = first_of_key(window, doc)
+            sure = doc != low  # a smaller id stands beside it
+            route = np.where(sure, mix(window ^ mix(doc.view(U64) ^ mix(spot.view(U64)))), window)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(route.view(np.int64)), pa.array(doc), pa.array(spot), pa.array(sure)], ["route", "doc_id", "spot", "sure"]
+            )
+
+    return (
+        docs.join(lists, "doc_id")
+        .select("doc_id", "text", "keys")
+        .mapInArrow(emit_windows, "route long, doc_id long, spot long, sure boolean")
+        .withColumn("low", F.min("doc_id").over(same))
+        .where("sure or low < doc_id")
+        .groupBy("doc_id")
+        .agg(F.collect_list("spot").alias("spots"))
+    )
+
+
+def _removed(rows: pa.RecordBatch, w: Words, column: str = "spots") -> np.ndarray:
     """Whether each word goes."""
-    spots = rows.column("spots")
+    spots = rows.column(column)
     counts = np.asarray(pc.fill_null(pc.list_value_length(spots), 0), np.int64)
     flat = np.asarray(spots.flatten(), np.int64)
     doc = np.repeat(np.arange(rows.num_rows), counts)
@@ -242,8 +267,40 @@ def digest(docs: DataFrame) -> DataFrame:
             ["doc_id", "n_words", "n_removed", "kept_sha256"],
         )
 
-    nameless = docs.where("doc_id is null").select(F.col("doc_id").cast("long"), "text", F.lit(None).cast("array<long>").alias("spots"))
-    return removals(docs).union(nameless).mapInArrow(lambda b: _each(b, make), "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    found = removals(docs)
+    # a union renames columns, after which Spark no longer shuffles the texts once for both joins
+    if docs.where("doc_id is null").take(1):
+        found = found.union(docs.where("doc_id is null").select(F.col("doc_id").cast("long"), "text", F.lit(None).cast("array<long>").alias("spots")))
+    return found.mapInArrow(lambda b: _each(b, make), "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """``docs`` with those words cut out of ``text``, each with the separators after
+    it; other columns and texts that lose no word are unchanged. A row that
+    loses all its words goes."""
+    columns, own = docs.columns, "_removed_windows"
+    spots = _spots(docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")).withColumnRenamed("spots", own)
+
+    def run(batches):
+        for batch in batches:
+            for rows, w in word_batches(batch, SPACED, False):
+                gone = _removed(rows, w, own)
+                texts = rows.column("text").to_pylist()
+                keep = np.ones(rows.num_rows, bool)
+                for d in np.unique(w.doc[gone]).tolist():
+                    a, b = w.first[d], w.first[d + 1]
+                    keep[d] = not gone[a:b].all()
+                    base, end = int(w.offsets[d]), int(w.offsets[d + 1])
+                    cut = np.append(w.start[a + 1 : b], end)  # up to the next word
+                    alive = np.ones(end - base, bool)
+                    for i in np.flatnonzero(gone[a:b]).tolist():
+                        alive[w.start[a + i] - base : cut[i] - base] = False
+                    texts[d] = w.data[base:end][alive].tobytes().decode()
+                column = rows.schema.get_field_index("text")
+                yield rows.set_column(column, rows.schema.field(column), pa.array(texts, rows.schema.field(column).type)).select(columns).filter(pa.array(keep))
+
+    joined = docs.join(spots, "doc_id", "left").select(*columns, own)
+    return joined.mapInArrow(run, docs.schema)
 
 
 def _words(w: Words, keep: np.ndarray) -> list[bytes]:
