@@ -18,8 +18,8 @@ its Hamming distance is never larger than the symmetric difference.
 Links are only needed up to components, so no bucket's pairs are all made:
 
 1. documents with equal sets are one class, its smallest id stands for it,
-2. in each bucket of a shared key every class is verified against the bucket's
-   smallest id,
+2. every class is verified against the smallest id of the buckets it is in, and
+   then against those of its other buckets that are still apart from it,
 3. buckets that still hold several components compare those across components
    by parity bits, in blocks, and the survivors are verified.
 
@@ -33,11 +33,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.shared import components, restrict, written
-from quarry.llm.words import SPACED, U64, Words, distinct_per_doc, gram_hash, list_array, mix, word_batches
+from quarry.llm.words import SPACED, U64, Words, distinct_per_doc, first_of_key, flushed, gram_hash, mix, word_batches
 
 SIZE = 5
 #: A pair links if the intersection is at least PERCENT / 100 of the union.
@@ -117,73 +117,110 @@ def _parity(doc: np.ndarray, value: np.ndarray, n: np.ndarray) -> list[bytes]:
     return [packed[a // 8 : b // 8] for a, b in zip(base[:-1].tolist(), base[1:].tolist())]
 
 
-SKETCH = "doc_id long, n long, f1 long, f2 long, keys array<long>, bits binary"
+def _set_batches(batches, column: str = "text"):
+    """(rows, text of each shingle, shingle, bounds of each text's shingles)."""
+    for batch in batches:
+        for rows, w in word_batches(batch, SPACED, True, column):
+            doc, value = shingles(w)
+            yield rows, doc, value, np.searchsorted(doc, np.arange(rows.num_rows + 1))
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """Per row: its set's size, a 128-bit fingerprint, join keys and parity bits."""
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """Per row: its id, the size of its set and a 128-bit fingerprint of it."""
 
     def run(batches):
-        for batch in batches:
-            for rows, w in word_batches(batch, SPACED, True):
-                doc, value = shingles(w)
-                first = np.searchsorted(doc, np.arange(rows.num_rows + 1))
-                n = np.diff(first)
-                prints = []
-                for seed in (U64(0x1234567), U64(0x89ABCDE)):
-                    total = np.concatenate([np.zeros(1, U64), np.cumsum(mix(value + seed), dtype=U64)])
-                    prints.append(pa.array((total[first[1:]] - total[first[:-1]]).view(np.int64)))
-                own, up = bands(n)
-                k1, c1 = _sketches(doc, value, n, own)
-                two = up > own
-                sel = two[doc]
-                renumber = np.cumsum(two) - 1
-                k2, c2 = _sketches(renumber[doc[sel]], value[sel], n[two], up[two])
-                c2_all = np.zeros(len(n), np.int64)
-                c2_all[two] = c2
-                # both bands' keys of a text stand together
-                owner = np.concatenate([np.repeat(np.arange(len(n)), c1), np.repeat(np.arange(len(n)), c2_all)])
-                keys = np.concatenate([k1, k2])[np.argsort(owner, kind="stable")]
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), pa.array(n, pa.int64()), *prints, list_array(keys.view(np.int64), c1 + c2_all, pa.int64()), pa.array(_parity(doc, value, n), pa.binary())],
-                    ["doc_id", "n", "f1", "f2", "keys", "bits"],
-                )
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SKETCH)
-
-
-def _sets(docs: DataFrame) -> DataFrame:
+        for rows, _, value, first in _set_batches(batches):
+            prints = []
+            for seed in (U64(0x1234567), U64(0x89ABCDE)):
+                total = np.concatenate([np.zeros(1, U64), np.cumsum(mix(value + seed), dtype=U64)])
+                prints.append(pa.array((total[first[1:]] - total[first[:-1]]).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("row"), pa.array(np.diff(first), pa.int64()), *prints], ["doc_id", "row", "n", "f1", "f2"])
+
+    return docs.mapInArrow(run, "doc_id long, row long, n long, f1 long, f2 long")
+
+
+def _members(docs: DataFrame) -> DataFrame:
+    """(key, id, hub, size): the rows of every bucket that several ids share.
+
+    A task first compares about a million of its own keys. Of a bucket that
+    several of them share only the smallest id goes on to meet other tasks; the
+    others have it as their hub, so a bucket of very many documents sends
+    one row a task to one place."""
+
+    def sketched(batches):
+        for rows, doc, value, first in _set_batches(batches):
+            n = np.diff(first)
+            ids = np.asarray(rows.column("doc_id"))
+            own, up = bands(n)
+            key, count = _sketches(doc, value, n, own)
+            yield key, np.repeat(ids, count)
+            two = up > own
+            key, count = _sketches((np.cumsum(two) - 1)[doc[two[doc]]], value[two[doc]], n[two], up[two])
+            yield key, np.repeat(ids[two], count)
+
+    def emit(batches):
+        for key, doc in flushed(sketched(batches)):
+            low, several = first_of_key(key, doc)
+            other = several & (doc != low)
+            route = np.where(other, mix(key ^ mix(doc.view(U64))), key)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(route.view(np.int64)), pa.array(key.view(np.int64), mask=~other), pa.array(doc), pa.array(low, mask=~other), pa.array(several)],
+                ["route", "key", "id", "hub", "several"],
+            )
+
+    same = Window.partitionBy("route")
+    return (
+        docs.where("doc_id is not null")
+        .mapInArrow(emit, "route long, key long, id long, hub long, several boolean")
+        .withColumns({"low": F.min("id").over(same), "shared": F.max("several").over(same) | (F.min("id").over(same) < F.max("id").over(same))})
+        .where("shared")
+        .select(F.coalesce("key", "route").alias("key"), "id", F.coalesce("hub", "low").alias("hub"))
+    )
+
+
+def parities(docs: DataFrame) -> DataFrame:
+    """(id, n, bits) of rows: the size and the parity bits of their sets."""
+
+    def run(batches):
+        for rows, doc, value, first in _set_batches(batches):
+            n = np.diff(first)
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(n, pa.int64()), pa.array(_parity(doc, value, n), pa.binary())], ["id", "n", "bits"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "id long, n long, bits binary")
+
+
+def _near(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and parity bits allow to link."""
+
     def run(batches):
         for batch in batches:
-            for rows, w in word_batches(batch, SPACED, True):
-                doc, value = shingles(w)
-                first = np.searchsorted(doc, np.arange(rows.num_rows + 1))
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), pa.array([value[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())], ["id", "members"]
-                )
+            x, nx, y, ny = (batch.column(c).to_pylist() for c in ("xa", "na", "xb", "nb"))
+            ok = [bool(_close([p], np.array([m]), [q], np.array([n]))) for p, m, q, n in zip(x, nx, y, ny)]
+            yield batch.select(["a", "b"]).filter(pa.array(ok))
 
-    return docs.mapInArrow(run, "id long, members binary")
+    one, two = (bits.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"x{c}")) for c in "ab")
+    return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets link, by intersecting the sets themselves."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
-    sets = written(_sets(restrict(docs.where("doc_id is not null"), ids, "doc_id")), "sets")
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
+    texts = restrict(docs.where("doc_id is not null").select("doc_id", "text"), ids, "doc_id")
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                left, right = ([x for _, _, v, f in _set_batches([part], c) for x in np.split(v, f[1:-1])] for c in ("left", "right"))
                 good = []
-                for i, (x, y) in enumerate(zip(part.column("left"), part.column("right"))):
-                    x, y = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
+                for x, y in zip(left, right):
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     good.append(both > 0 and 100 * both >= PERCENT * (len(x) + len(y) - both))
                 yield part.select(["a", "b"]).filter(pa.array(good))
 
     return (
-        pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("left")), "a")
-        .join(sets.select(F.col("id").alias("b"), F.col("members").alias("right")), "b")
+        pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left")), "a")
+        .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right")), "b")
         .select("a", "b", "left", "right")
         .mapInArrow(run, "a long, b long")
     )
@@ -234,26 +271,34 @@ def _across(members: DataFrame) -> DataFrame:
 def linked(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, the
     smallest ``doc_id`` reachable by links, itself included."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    table = written(sketches(docs), "sketches")
+    docs = docs.select(F.col("doc_id").cast("long"), "text").withColumn("row", F.xxhash64("doc_id", "text"))
+    table = written(fingerprints(docs), "fingerprints")
     named = table.where("doc_id is not null and n > 0")
     # classes of equal sets; their members other than the smallest id leave the join
-    classes = written(named.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")), "classes")
-    copies = named.join(classes.where("copies > 1"), ["f1", "f2", "n"]).where("doc_id <> id").select(F.col("doc_id").alias("b"), F.col("id").alias("a"))
-    same = written(copies.distinct(), "copies")
-    alone = restrict(named, same.select(F.col("b").alias("doc_id")), "doc_id", keep=False)
-    emitted = alone.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
-    shared = emitted.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("hub")).where("size > 1")
-    members = written(emitted.join(shared, "key"), "members")
+    classes = named.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")).where("copies > 1")
+    same = written(named.join(classes, ["f1", "f2", "n"]).where("doc_id <> id").select("row", F.col("id").alias("a"), F.col("doc_id").alias("b")), "copies")
+    alone = restrict(docs, same, "row", keep=False)
+    members = written(_members(alone.select("doc_id", "text")), "members")
     stars = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    links = written(_verified(stars, docs).union(same.select("a", "b")), "links")
+    bits = written(parities(restrict(alone.where("doc_id is not null"), members.select(F.col("id").alias("doc_id")), "doc_id")), "parities")
+    # first every id with its smallest hub alone, then only what that left apart:
+    # in a large group of near copies an id has many hubs
+    near = written(_near(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), bits), "pairs")
+    links = written(_verified(near, docs).union(same.select("a", "b")).distinct(), "links")
+    found = components(links)
+    apart = stars.join(near, ["a", "b"], "left_anti")
+    for end in "ab":
+        apart = apart.join(found.select(F.col("id").alias(end), F.col("component").alias(f"c{end}")), end, "left")
+    apart = apart.where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
+    near = near.union(written(_near(apart, bits), "pairs"))
+    links = written(links.union(_verified(near.join(links, ["a", "b"], "left_anti"), docs)).distinct(), "links")
     found = components(links)
-    # buckets of three or more that still hold several components
-    placed = members.where("size > 2").join(found, "id", "left").select("key", "id", "hub", F.coalesce("component", "id").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    rest = placed.where("id <> hub").join(mixed, "key").join(table.select(F.col("doc_id").alias("id"), "n", "bits"), "id")
-    more = written(_verified(written(_across(rest.select("key", "id", "component", "n", "bits")), "pairs"), docs), "links")
-    found = components(links.union(more))
+    # buckets that still hold several components
+    placed = members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")).distinct()
+    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"))
+    mixed = mixed.where("x <> y and size > 2").select("key")
+    near = written(_across(placed.join(mixed, "key").join(bits, "id")).join(near, ["a", "b"], "left_anti"), "pairs")
+    found = components(links.union(_verified(near, docs)))
     return table.join(found, table["doc_id"] == found["id"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
