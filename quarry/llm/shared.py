@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names; all executors share it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and re.match(r"local(\[|$)", spark.sparkContext.master):
+        # one process, as in tests: any folder of its machine is shared
+        folder = "file://" + tempfile.mkdtemp(prefix="quarry-")
+        spark.conf.set("spark.checkpoint.dir", folder)
     if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return folder.rstrip("/")
