@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.shared import components, restrict, written
-from quarry.llm.words import SPACED, U64, Words, distinct_per_doc, first_of_key, flushed, gram_hash, mix, word_batches
+from quarry.llm.words import SPACED, U64, Words, distinct_per_doc, first_of_key, flushed, gram_hash, mix, small_batches, word_batches
 
 SIZE = 5
 #: A pair links if the intersection is at least PERCENT / 100 of the union.
@@ -163,10 +163,11 @@ def _members(docs: DataFrame) -> DataFrame:
             low, several = first_of_key(key, doc)
             other = several & (doc != low)
             route = np.where(other, mix(key ^ mix(doc.view(U64))), key)
-            yield pa.RecordBatch.from_arrays(
+            made = pa.RecordBatch.from_arrays(
                 [pa.array(route.view(np.int64)), pa.array(key.view(np.int64), mask=~other), pa.array(doc), pa.array(low, mask=~other), pa.array(several)],
                 ["route", "key", "id", "hub", "several"],
             )
+            yield from small_batches(made)
 
     same = Window.partitionBy("route")
     return (
@@ -195,7 +196,7 @@ def _near(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             x, nx, y, ny = (batch.column(c).to_pylist() for c in ("xa", "na", "xb", "nb"))
-            ok = [bool(_close([p], np.array([m]), [q], np.array([n]))) for p, m, q, n in zip(x, nx, y, ny)]
+            ok = [len(_close([p], np.array([m]), [q], np.array([n]))[0]) > 0 for p, m, q, n in zip(x, nx, y, ny)]
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     one, two = (bits.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"x{c}")) for c in "ab")
@@ -226,14 +227,17 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def _close(x: list[bytes], nx: np.ndarray, y: list[bytes], ny: np.ndarray):
-    """Index pairs whose sizes and parity bits allow a link."""
+def _close(x: list[bytes], nx: np.ndarray, y: list[bytes], ny: np.ndarray, cx: np.ndarray | None = None, cy: np.ndarray | None = None):
+    """Index pairs whose sizes and parity bits allow a link; with the components
+    ``cx`` and ``cy``, only pairs of different ones are looked at."""
     out = []
     size_y = np.array([len(b) for b in y])
     stacks = {s: (np.flatnonzero(size_y == s), np.stack([np.frombuffer(y[j], U64) for j in np.flatnonzero(size_y == s)])) for s in np.unique(size_y)}
     for i, bits in enumerate(x):
-        for s, (of, stack) in stacks.items():
+        for of, stack in stacks.values():
             ok = (ny[of] * 100 >= nx[i] * PERCENT) & (nx[i] * 100 >= ny[of] * PERCENT)
+            if cx is not None:
+                ok &= cy[of] != cx[i]
             if not ok.any():
                 continue
             of, stack = of[ok], stack[ok]
@@ -244,8 +248,11 @@ def _close(x: list[bytes], nx: np.ndarray, y: list[bytes], ny: np.ndarray):
             while stack.shape[1] > len(mine):
                 stack = stack[:, : stack.shape[1] // 2] ^ stack[:, stack.shape[1] // 2 :]
             far = np.bitwise_count(stack ^ mine).sum(axis=1)
-            out += [(i, j) for j in of[far <= most_different(nx[i], ny[of])].tolist()]
-    return out
+            found = of[far <= most_different(nx[i], ny[of])]
+            out.append((np.full(len(found), i), found))
+    if not out:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return tuple(np.concatenate(side) for side in zip(*out))
 
 
 def _across(members: DataFrame) -> DataFrame:
@@ -253,10 +260,11 @@ def _across(members: DataFrame) -> DataFrame:
 
     def run(group):
         side = np.asarray(group.column("side"))
-        one, two = (group.filter(pa.array(side == k)).to_pydict() for k in (0, 1))
-        found = _close(one["bits"], np.array(one["n"]), two["bits"], np.array(two["n"])) if one["id"] and two["id"] else []
-        found = {tuple(sorted((one["id"][i], two["id"][j]))) for i, j in found if one["component"][i] != two["component"][j]}
-        return pa.table({"a": pa.array([p[0] for p in found], pa.int64()), "b": pa.array([p[1] for p in found], pa.int64())})
+        one, two = (group.filter(pa.array(side == k)) for k in (0, 1))
+        (x, nx, ix, cx), (y, ny, iy, cy) = ([t.column("bits").to_pylist(), *(np.asarray(t.column(c)) for c in ("n", "id", "component"))] for t in (one, two))
+        i, j = _close(x, nx, y, ny, cx, cy)
+        pairs = np.unique(np.stack([np.minimum(ix[i], iy[j]), np.maximum(ix[i], iy[j])]), axis=1)
+        return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
 
     size = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     dealt = members.join(size, "key").withColumn("part", F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts")))

@@ -173,6 +173,12 @@ def flushed(arrays, limit: int = 1 << 20):
         yield tuple(np.concatenate(x) for x in zip(*held))
 
 
+def small_batches(batch: pa.RecordBatch, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices, as the JVM holds a whole batch off its heap while it reads one."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def first_of_key(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each row, in the order given: the smallest doc of its key, and
     whether its key has several docs. Rows stay in text order, in which their
