@@ -46,6 +46,10 @@ PERCENT = 80
 BAND = 1.5
 #: Rows of a bucket that are compared at once.
 BLOCK = 2048
+#: Of a document's buckets, the smallest keys that travel with its rows. A pair
+#: that shares a smaller one is left to that bucket; with fewer keys at hand a
+#: pair is only found more often.
+KNOWN_KEYS = 64
 
 
 def shingles(w: Words, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -255,24 +259,45 @@ def _close(x: list[bytes], nx: np.ndarray, y: list[bytes], ny: np.ndarray, cx: n
     return tuple(np.concatenate(side) for side in zip(*out))
 
 
+def _met_before(key: int, x: list, y: list, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which of the index pairs share a known key smaller than ``key``."""
+    known = np.full((len(y), KNOWN_KEYS), key, np.int64)
+    for at, keys in enumerate(y):
+        known[at, : len(keys)] = keys
+    known = np.minimum(known, key)
+    out = np.zeros(len(i), bool)
+    first = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else []
+    for lo, hi in zip(first, [*first[1:], len(i)]):
+        smaller = [k for k in x[i[lo]] if k < key]
+        if smaller:
+            out[lo:hi] = np.isin(known[j[lo:hi]], smaller).any(axis=1)
+    return out
+
+
 def _across(members: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of different components inside a bucket part."""
+    """Candidate pairs (a, b) of different components inside a bucket part. A
+    pair of several buckets comes from the one with the smallest key."""
 
     def run(group):
         side = np.asarray(group.column("side"))
         one, two = (group.filter(pa.array(side == k)) for k in (0, 1))
         (x, nx, ix, cx), (y, ny, iy, cy) = ([t.column("bits").to_pylist(), *(np.asarray(t.column(c)) for c in ("n", "id", "component"))] for t in (one, two))
         i, j = _close(x, nx, y, ny, cx, cy)
+        if len(i):
+            new = ~_met_before(group.column("key")[0].as_py(), one.column("keys").to_pylist(), two.column("keys").to_pylist(), i, j)
+            i, j = i[new], j[new]
         pairs = np.unique(np.stack([np.minimum(ix[i], iy[j]), np.maximum(ix[i], iy[j])]), axis=1)
         return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
 
+    known = members.groupBy("id").agg(F.slice(F.sort_array(F.collect_set("key")), 1, KNOWN_KEYS).alias("keys"))
+    members = members.join(known, "id")
     size = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     dealt = members.join(size, "key").withColumn("part", F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts")))
     # block (i, j), i <= j: a part is the first side of blocks with all j from
     # its own on, and the second side of blocks with all i up to its own
     firsts = F.transform(F.sequence("part", F.col("parts") - 1), lambda j: F.struct(F.col("part").alias("i"), j.alias("j"), F.lit(0).alias("side")))
     seconds = F.transform(F.sequence(F.lit(0).cast("long"), "part"), lambda i: F.struct(i.alias("i"), F.col("part").alias("j"), F.lit(1).alias("side")))
-    placed = dealt.withColumn("at", F.explode(F.concat(firsts, seconds))).select("key", "at.*", "id", "component", "n", "bits")
+    placed = dealt.withColumn("at", F.explode(F.concat(firsts, seconds))).select("key", "at.*", "id", "component", "n", "bits", "keys")
     return placed.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
