@@ -231,17 +231,22 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def _close(x: list[bytes], nx: np.ndarray, y: list[bytes], ny: np.ndarray, cx: np.ndarray | None = None, cy: np.ndarray | None = None):
+def _close(x: list[bytes], nx: np.ndarray, y: list[bytes], ny: np.ndarray, cx: np.ndarray | None = None, cy: np.ndarray | None = None, rising: bool = False):
     """Index pairs whose sizes and parity bits allow a link; with the components
-    ``cx`` and ``cy``, only pairs of different ones are looked at."""
+    ``cx`` and ``cy``, only pairs of different ones are looked at, and with
+    ``rising`` only those whose second index is the larger."""
     out = []
-    size_y = np.array([len(b) for b in y])
-    stacks = {s: (np.flatnonzero(size_y == s), np.stack([np.frombuffer(y[j], U64) for j in np.flatnonzero(size_y == s)])) for s in np.unique(size_y)}
+    places: dict[int, list[int]] = {}
+    for j, bits in enumerate(y):
+        places.setdefault(len(bits), []).append(j)
+    stacks = [(np.array(of), np.frombuffer(b"".join([y[j] for j in of]), U64).reshape(len(of), -1)) for of in places.values()]
     for i, bits in enumerate(x):
-        for of, stack in stacks.values():
+        for of, stack in stacks:
             ok = (ny[of] * 100 >= nx[i] * PERCENT) & (nx[i] * 100 >= ny[of] * PERCENT)
             if cx is not None:
                 ok &= cy[of] != cx[i]
+            if rising:
+                ok &= of > i
             if not ok.any():
                 continue
             of, stack = of[ok], stack[ok]
@@ -279,10 +284,11 @@ def _across(members: DataFrame) -> DataFrame:
     pair of several buckets comes from the one with the smallest key."""
 
     def run(group):
+        alone = group.column("i")[0] == group.column("j")[0]  # a part against itself
         side = np.asarray(group.column("side"))
-        one, two = (group.filter(pa.array(side == k)) for k in (0, 1))
+        one, two = (group, group) if alone else (group.filter(pa.array(side == k)) for k in (0, 1))
         (x, nx, ix, cx), (y, ny, iy, cy) = ([t.column("bits").to_pylist(), *(np.asarray(t.column(c)) for c in ("n", "id", "component"))] for t in (one, two))
-        i, j = _close(x, nx, y, ny, cx, cy)
+        i, j = _close(x, nx, y, ny, cx, cy, alone)
         if len(i):
             new = ~_met_before(group.column("key")[0].as_py(), one.column("keys").to_pylist(), two.column("keys").to_pylist(), i, j)
             i, j = i[new], j[new]
@@ -294,9 +300,9 @@ def _across(members: DataFrame) -> DataFrame:
     size = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     dealt = members.join(size, "key").withColumn("part", F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts")))
     # block (i, j), i <= j: a part is the first side of blocks with all j from
-    # its own on, and the second side of blocks with all i up to its own
+    # its own on, and the second side of blocks with all i below its own
     firsts = F.transform(F.sequence("part", F.col("parts") - 1), lambda j: F.struct(F.col("part").alias("i"), j.alias("j"), F.lit(0).alias("side")))
-    seconds = F.transform(F.sequence(F.lit(0).cast("long"), "part"), lambda i: F.struct(i.alias("i"), F.col("part").alias("j"), F.lit(1).alias("side")))
+    seconds = F.transform(F.filter(F.sequence(F.lit(0).cast("long"), "part"), lambda i: i < F.col("part")), lambda i: F.struct(i.alias("i"), F.col("part").alias("j"), F.lit(1).alias("side")))
     placed = dealt.withColumn("at", F.explode(F.concat(firsts, seconds))).select("key", "at.*", "id", "component", "n", "bits", "keys")
     return placed.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
