@@ -59,6 +59,17 @@ def gap_token_pieces(text: str | Column) -> Column:
     return F.regexp_extract_all(_col(text), F.lit(GAP_THEN_TOKEN), 0)
 
 
+def as_byte_chars(text: str | Column) -> Column:
+    """``text`` with one character per byte (ISO-8859-1), so that lengths count
+    bytes and bytes that are no valid UTF-8 stay as they are."""
+    return F.decode(_col(text).cast("binary"), "ISO-8859-1")
+
+
+def from_byte_chars(text: str | Column) -> Column:
+    """The string whose bytes :func:`as_byte_chars` spread out."""
+    return F.encode(_col(text), "ISO-8859-1").cast("string")
+
+
 def strip_leading_blanks(piece: str | Column) -> Column:
     return F.ltrim(_col(piece), F.lit(WHITESPACE_CHARS))
 

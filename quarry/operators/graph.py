@@ -12,9 +12,13 @@ from quarry.session import ensure_checkpoint_dir
 def weighted_edges(
     edges: DataFrame, hot_fanout: int = 100_000, cached: list[DataFrame] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """``(src, salt, dst, w)`` edges and ``(src, deg, salts)`` per source.
+    """``(src, salt, dst, c)`` edges and ``(src, deg, salts)`` per source.
 
-    Repeated edges are merged into one with weight ``count / outdegree``.
+    Repeated edges are merged into one with their count ``c``; the outdegree
+    stays with the pages, so no edge is joined with its source's row but for
+    the few hot sources. Those are dealt out once more before that join: with
+    an exchange of its own on both sides, AQE can split a hub there too (it
+    does not where one side is an aggregate on the key).
     A source with more than ``hot_fanout`` distinct targets gets
     ``ceil(fanout / hot_fanout)`` salt buckets, its edges dealt into them by
     target; the edges are hash-partitioned on ``(src, salt)``, so a hub's
@@ -34,13 +38,15 @@ def weighted_edges(
     if cached is not None:
         degree = degree.persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(degree)
+    # at most |E| / hot_fanout rows
+    hot = degree.filter(F.col("salts") > 1).select("src", "salts").repartition("salts", "src")
     weighted = (
-        multi.join(degree, "src")
+        multi.join(hot, "src", "left")
         .select(
             "src",
-            F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt"),
+            F.pmod(F.xxhash64("dst"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"),
             "dst",
-            (F.col("c") / F.col("deg")).alias("w"),
+            "c",
         )
         .repartition("src", "salt")
     )
@@ -97,31 +103,33 @@ def page_rank(
     cached = [pages]  # released once the result no longer needs them
     n = pages.count()
     if n == 0:
+        pages.unpersist(blocking=False)
         return pages.withColumn("rank", F.lit(None).cast("double"))
 
     weighted, degree = weighted_edges(e, hot_fanout, cached)
     weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
     cached.append(weighted)
     base = (1.0 - damping) / n
-    # every page carries its bucket count (0: no out-edges) through the rounds,
-    # so sending a rank to its buckets needs no join
+    # every page carries its bucket count (0: no out-edges) and its outdegree
+    # through the rounds, so sending its shares to its buckets needs no join
     page_salts = pages.join(
-        degree.select(F.col("src").alias("id"), "salts"), "id", "left"
-    ).select("id", F.coalesce("salts", F.lit(0)).alias("salts"))
+        degree.select(F.col("src").alias("id"), "salts", "deg"), "id", "left"
+    ).select("id", F.coalesce("salts", F.lit(0)).alias("salts"), "deg")
     page_salts = page_salts.persist(StorageLevel.MEMORY_AND_DISK)
     cached.append(page_salts)
-    zeros = page_salts.select("id", F.lit(0.0).alias("c"), "salts")
-    ranks = page_salts.select("id", F.lit(1.0 / n).alias("rank"), "salts")
+    zeros = page_salts.select("id", F.lit(0.0).alias("c"), "salts", "deg")
+    ranks = page_salts.select("id", F.lit(1.0 / n).alias("rank"), "salts", "deg")
     for it in range(1, n_iter + 1):
         out_ranks = ranks.filter(F.col("salts") > 0).select(
             F.col("id").alias("src"),
             F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-            "rank",
+            (F.col("rank") / F.col("deg")).alias("share"),
         )
         sent = weighted.join(out_ranks, ["src", "salt"]).select(
             F.col("dst").alias("id"),
-            (F.col("rank") * F.col("w")).alias("c"),
+            (F.col("share") * F.col("c")).alias("c"),
             F.lit(None).cast("int").alias("salts"),
+            F.lit(None).cast("bigint").alias("deg"),
         )
         ranks = (
             sent.unionByName(zeros)
@@ -129,6 +137,7 @@ def page_rank(
             .agg(
                 (F.lit(base) + F.lit(damping) * F.sum("c")).alias("rank"),
                 F.max("salts").alias("salts"),
+                F.max("deg").alias("deg"),
             )
         )
         if checkpoint_every and (it % checkpoint_every == 0 or it == n_iter):

@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 STRATEGIES = ("auto", "shuffle", "broadcast")
 
 
+#: Most bytes of values that a broadcast side may hold.
+BROADCAST_BYTES = 256 * 1024 * 1024
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     """Mark ``df`` for broadcast only when it provably has at most ``max_rows``
-    rows. The check is one counting job over at most ``max_rows + 1`` rows per
-    task; beyond the bound the frame is returned unmarked."""
-    small = df.limit(max_rows + 1).count() <= max_rows
+    rows and ``BROADCAST_BYTES`` of values (as text). The check is one job of
+    partial sums, which gathers one row a task; beyond a bound the frame is
+    returned unmarked."""
+    width = sum((F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{c}`")))), F.lit(0)) for c in df.columns), F.lit(0))
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    small = rows <= max_rows and size <= BROADCAST_BYTES
     return (F.broadcast(df), True) if small else (df, False)
 
 
@@ -33,8 +40,8 @@ def equi_join(
     ``spark.sql.autoBroadcastJoinThreshold``, else sort-merge; AQE also splits
     skewed partitions). ``shuffle`` forces a sort-merge join, the streaming
     join a reduce-side join is. ``broadcast`` broadcasts ``right`` only after
-    counting that it holds at most ``broadcast_max_rows`` rows, else falls back
-    to the shuffle join.
+    counting that it holds at most ``broadcast_max_rows`` rows and
+    ``BROADCAST_BYTES``, else falls back to the shuffle join.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")

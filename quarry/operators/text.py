@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import (
     WHITESPACE,
+    as_byte_chars,
+    from_byte_chars,
     gap_token_pieces,
     sep_regex,
     strip_leading_blanks,
 )
-from quarry.session import spread
 
 
 def explode_tokens(
@@ -40,7 +41,8 @@ def list_contains(df: DataFrame, col: str, item: str, sep: str = "|") -> DataFra
     Empty pieces never equal a non-empty item, so a plain split suffices."""
     if item == "":
         return df.filter(F.lit(False))  # a tokenizer never yields an empty item
-    return df.filter(F.array_contains(F.split(F.col(col), sep_regex(sep)), F.lit(item)))
+    # the substring test reaches the scan as a pushed filter, the exact one cannot
+    return df.filter(F.col(col).contains(item)).filter(F.array_contains(F.split(F.col(col), sep_regex(sep)), F.lit(item)))
 
 
 def token_offsets(
@@ -58,14 +60,18 @@ def token_offsets(
     it (WIN-1) plus the length of its own leading blanks. The documents are
     hash-partitioned on ``doc`` *before* the pieces are exploded, so the
     window needs no exchange of its own and the shuffle moves compact text,
-    not one row per token. A window group is one document, bounded by its row.
+    not one row per token. A window group is one row, so documents that share a
+    name are counted apart; the id that tells them apart lives inside a task.
     """
-    docs = spread(df.select(F.col(doc_col), F.col(text_col)), doc_col)
+    docs = df.select(F.col(doc_col), F.col(text_col)).repartition(F.col(doc_col))
+    docs = docs.withColumn("row", F.monotonically_increasing_id())
     pieces = docs.select(
-        F.col(doc_col), F.posexplode(gap_token_pieces(F.col(text_col))).alias("pos", "piece")
+        F.col(doc_col),
+        "row",
+        F.posexplode(gap_token_pieces(as_byte_chars(text_col))).alias("pos", "piece"),
     )
     before = (
-        Window.partitionBy(doc_col)
+        Window.partitionBy(doc_col, "row")
         .orderBy("pos")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -76,11 +82,11 @@ def _piece_offsets(pieces, before, base, word_col, doc_col, off_col) -> DataFram
     """Word and byte offset of each ``blanks + token`` piece: ``base`` plus the
     bytes of the earlier pieces (window ``before``) plus its own blanks."""
     word = strip_leading_blanks("piece")
-    earlier = F.coalesce(F.sum(F.octet_length("piece")).over(before), F.lit(0))
+    earlier = F.coalesce(F.sum(F.length("piece")).over(before), F.lit(0))
     return pieces.select(
-        word.alias(word_col),
+        from_byte_chars(word).alias(word_col),
         F.col(doc_col),
-        (base + earlier + F.octet_length("piece") - F.octet_length(word))
+        (base + earlier + F.length("piece") - F.length(word))
         .cast("bigint")
         .alias(off_col),
     )
@@ -101,7 +107,7 @@ def file_token_offsets(
         "path",
         "block",
         F.col("off").alias("line_off"),
-        F.posexplode(gap_token_pieces(F.col("value"))).alias("pos", "piece"),
+        F.posexplode(gap_token_pieces(as_byte_chars("value"))).alias("pos", "piece"),
     )
     before = (
         Window.partitionBy("path", "block", "line_off")

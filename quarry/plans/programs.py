@@ -1,6 +1,7 @@
 """The ten batch programs as compositions of operators. Each takes typed
 DataFrames (from the parsers in ``formats`` or from tables) and returns a
-lazy DataFrame, so Catalyst optimises the whole program as one plan."""
+lazy DataFrame, so Catalyst optimises the whole program as one plan; only
+``rank_pages`` runs its rounds when it is called."""
 
 from __future__ import annotations
 
@@ -23,13 +24,12 @@ from quarry.operators.text import (
     token_offsets,
 )
 from quarry.operators.topk import top_k
-from quarry.session import spread
 
 
 def word_count(lines: DataFrame, col: str = "value") -> DataFrame:
     """``(word, n)``: occurrences of every whitespace token (case and
     punctuation kept, decision D21)."""
-    return count_by(explode_tokens(spread(lines.select(col)), col, "word"), "word", "n")
+    return count_by(explode_tokens(lines.select(col), col, "word"), "word", "n")
 
 
 def inverted_index_postings(docs: DataFrame, doc: str = "doc", text: str = "text") -> DataFrame:

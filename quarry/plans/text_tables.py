@@ -26,15 +26,12 @@ from quarry.plans.tables import (
     _embedding_entries,
     table,
 )
-from quarry.session import spread
 from quarry.sources.records import parse_adjacency, parse_matrix
 
 
 def _lines(df: DataFrame, sep: str, *cols: Column) -> DataFrame:
-    """Render rows as ``sep``-joined lines. A narrow scan is spread first so
-    rendering and parsing run on every core, as they would on the many splits
-    of a large text input."""
-    return spread(df).select(F.concat_ws(sep, *[F.coalesce(c.cast("string"), F.lit("")) for c in cols]).alias("value"))
+    """Render rows as ``sep``-joined lines."""
+    return df.select(F.concat_ws(sep, *[F.coalesce(c.cast("string"), F.lit("")) for c in cols]).alias("value"))
 
 
 def _cents(c: str) -> Column:
@@ -87,7 +84,7 @@ def page_rank_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     part, following = F.col("l_partkey").cast("string"), F.lead("l_partkey").over(w).cast("string")
     # the last line of an order names its part alone
-    lines = spread(li).select(F.concat(part, F.coalesce(F.concat(F.lit(" "), following), F.lit(""))).alias("value"))
+    lines = li.select(F.concat(part, F.coalesce(F.concat(F.lit(" "), following), F.lit(""))).alias("value"))
     edges, vertices = parse_adjacency(lines)
     ranks = P.rank_pages(edges, vertices, PAGE_RANK_ROUNDS, DAMPING)
     return ranks.select(

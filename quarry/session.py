@@ -15,6 +15,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # a checkpoint's files go once nothing refers to it any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -92,33 +94,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getCheckpointDir() or configured
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a narrow input enough tasks before a CPU-heavy step.
-
-    A scan yields one task per file split; a single large file (or a single
-    parquet row group) would otherwise run the whole tokenise/explode stage in
-    one task. When the scan already has at least the cluster's parallelism
-    nothing is added; otherwise rows are dealt round-robin into twice that
-    many partitions, so rows of very different sizes even out. With ``keys`` the rows are hash-partitioned on them, so a
-    later window or aggregate on the same keys needs no further exchange.
-
-    Apply it right after a scan (or narrow steps on one): counting the
-    partitions of a plan that already holds a shuffle would run that shuffle.
-    """
-    if df.isStreaming:  # micro-batches are planned by the stream's source
-        return df
-    spark = df.sparkSession
-    if keys:
-        return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
-    sc = _context(spark)
-    if sc is None:  # Spark Connect: the partition count is not visible here
-        return df
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(2 * target)
-
-
 def tune_for_input(
     spark: SparkSession,
     input_bytes: int,

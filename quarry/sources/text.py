@@ -42,7 +42,9 @@ def read_lines_with_offsets(
 
     Lines are cut at ``\n`` only, so a ``\r`` before it stays in the line
     and every line occupies exactly ``octet_length(value) + 1`` bytes. The
-    offset is the sum of the sizes of the lines before it, in two levels:
+    offset is the sum of the sizes of the lines before it (and the three bytes
+    of a byte-order mark, which the line reader drops: a file that has one is
+    longer than its lines), in two levels:
     within a split, a running sum over the lines in read order (a window
     group is one split, so bounded by the split size); plus the split's base
     offset, a running sum over the per-split totals (one small row per
@@ -54,6 +56,7 @@ def read_lines_with_offsets(
         F.col("value"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_size").alias("file_size"),
         F.monotonically_increasing_id().alias("seq"),  # read order inside a task
     )
     nbytes = (F.octet_length("value") + F.lit(1)).cast("bigint")
@@ -62,6 +65,7 @@ def read_lines_with_offsets(
         "value",
         "path",
         "block",
+        "file_size",
         F.coalesce(
             F.sum(nbytes).over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("local"),
@@ -69,24 +73,23 @@ def read_lines_with_offsets(
         .over(in_split.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
         .alias("size"),
     )
-    per_split = lines.groupBy("path", "block").agg(F.max("size").alias("size"))
+    per_split = lines.groupBy("path", "block").agg(F.max("size").alias("size"), F.max("file_size").alias("file_size"))
+    in_file = Window.partitionBy("path").orderBy("block")
+    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    whole = in_file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     bases = per_split.select(
         "path",
         "block",
-        F.coalesce(
-            F.sum("size").over(
-                Window.partitionBy("path")
-                .orderBy("block")
-                .rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("base"),
+        F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("base"),
+        (F.col("file_size") - F.sum("size").over(whole)).alias("unread"),
     )
+    # both branches read the file's size, so they can share one exchange
+    marked = (F.col("unread") > 0) & (F.col("file_size") >= 3)
     return lines.join(bases, ["path", "block"]).select(
         F.substring_index("path", "/", -1).alias(file_col),
         "path",
         "block",
-        (F.col("base") + F.col("local")).alias("off"),
+        (F.col("base") + F.col("local") + F.when(marked, 3).otherwise(0)).alias("off"),
         "value",
     )
 

@@ -31,6 +31,7 @@ def test_plan_has_no_unscalable_parts(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for op in FORBIDDEN:
         assert op not in plan, f"{name}: {op}"
+    assert "RoundRobinPartitioning" not in plan and "REPARTITION_BY_NUM" not in plan, name
     for line in plan.splitlines():
         if "ReadSchema" in line:
             schema = line.split("ReadSchema:", 1)[1]

@@ -144,7 +144,8 @@ def test_tune_for_input(spark):
 
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        assert tune_for_input(spark, 100 * 2**40) == 200_000  # 100 TiB: clamped
+        assert tune_for_input(spark, 100 * 2**40) == 409_600  # 100 TiB / 256 MiB, no clamp
+        assert tune_for_input(spark, 100 * 2**40, max_partitions=200_000) == 200_000
         assert tune_for_input(spark, 10 * 2**40) == 40_960  # 10 TiB / 256 MiB
         assert tune_for_input(spark, 2**30) == 200
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(256 * 2**20)

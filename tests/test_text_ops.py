@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from quarry.operators.text import (
@@ -147,3 +149,30 @@ def test_inverted_index_files_fixture_i(spark, write_files):
         ("cd", "d1", "d1:3"),
         ("é", "d2", "d2:0"),
     ]
+
+
+def test_offsets_of_equal_names_and_invalid_bytes_and_marks(spark, tmp_path):
+    from quarry.operators.text import file_token_offsets
+    from quarry.sources.text import read_documents, read_lines_with_offsets
+
+    def brute(data, start=0):
+        return [(m.group(), m.start() + start) for m in re.finditer(rb"[^ \t\n\r\f]+", data)]
+
+    files = {"a/x.txt": b"one two\ncaf\xe9 ab\n", "b/x.txt": b"three four\n\xff\xfe last"}
+    want = []
+    for name, data in files.items():
+        (tmp_path / name).parent.mkdir()
+        (tmp_path / name).write_bytes(data)
+        want += [off for _, off in brute(data)]
+    paths = [str(tmp_path / name) for name in files]
+    by_document = token_offsets(read_documents(spark, paths))
+    by_line = file_token_offsets(read_lines_with_offsets(spark, paths))
+    for found in (by_document, by_line):
+        assert sorted(r.off for r in found.select("off").collect()) == sorted(want)
+    words = {bytes(r.w) for r in by_line.select(F.col("word").cast("binary").alias("w")).collect()}
+    assert {b"caf\xe9", b"\xff\xfe", b"ab"} <= words
+
+    marked = tmp_path / "marked.txt"
+    marked.write_bytes(b"\xef\xbb\xbfab\ncd\nef")
+    rows = file_token_offsets(read_lines_with_offsets(spark, str(marked))).collect()
+    assert sorted((r.word, r.off) for r in rows) == [("ab", 3), ("cd", 6), ("ef", 9)]
