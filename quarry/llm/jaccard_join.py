@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import components, restrict, written
+from quarry.llm.shared import components, drop_written, restrict, written
 from quarry.llm.words import SPACED, U64, Words, distinct_per_doc, first_of_key, flushed, gram_hash, mix, small_batches, word_batches
 
 SIZE = 5
@@ -325,19 +325,25 @@ def linked(docs: DataFrame) -> DataFrame:
     near = written(_near(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), bits), "pairs")
     links = written(_verified(near, docs).union(same.select("a", "b")).distinct(), "links")
     found = components(links)
+    scratch = [same, members, bits, near, links, found]
     apart = stars.join(near, ["a", "b"], "left_anti")
     for end in "ab":
         apart = apart.join(found.select(F.col("id").alias(end), F.col("component").alias(f"c{end}")), end, "left")
     apart = apart.where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
-    near = near.union(written(_near(apart, bits), "pairs"))
+    more = written(_near(apart, bits), "pairs")
+    near = near.union(more)
     links = written(links.union(_verified(near.join(links, ["a", "b"], "left_anti"), docs)).distinct(), "links")
     found = components(links)
+    scratch += [more, links, found]
     # buckets that still hold several components
     placed = members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")).distinct()
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"))
     mixed = mixed.where("x <> y and size > 2").select("key")
     near = written(_across(placed.join(mixed, "key").join(bits, "id")).join(near, ["a", "b"], "left_anti"), "pairs")
     found = components(links.union(_verified(near, docs)))
+    # the result reads the fingerprints and these components alone
+    for one in [*scratch, near]:
+        drop_written(one)
     return table.join(found, table["doc_id"] == found["id"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
