@@ -1,37 +1,50 @@
 """License notices by conditional compression.
 
-Candidate blocks are the lines of a text that hold a trigger word. A block is
-compressed alone and with each template as a raw zstandard dictionary; the
-template that takes most bytes off is the likely notice. It is confirmed by the
-words that differ: wording is compared word by word (lower case, without marks
-at a word's ends), and the missing and added words are reported.
-
-Cases: a null or empty text, or one without a trigger word, gives no row; very long
-lines are compared in full; repeated rows give their rows again; a null id is kept; ties go to
+Candidates are the words of a text near a trigger word, across line breaks and
+comment marks. In them each template finds the spans that its words fit with
+few differences: a word missing, added or replaced is one, and words before the
+first and after the last fitting one do not count. A span is compressed alone
+and with its template as a raw zstandard dictionary; of spans that overlap, the
+one whose template takes most bytes off is the notice. Words are compared in
+lower case without the marks around them, and the missing and added ones are
+reported. A span that lacks the word that names the license is no notice of it.
+
+Cases: a null or empty text, or one without a trigger word, gives no row; several
+notices of a text give a row each, also on one line; very long lines are compared
+in full; repeated rows give their rows again; a null id is kept; ties go to
 the template that comes first; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import difflib
 import re
+from bisect import bisect_left
+from collections import deque
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+MIT_GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+MIT_REST = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+BSD_GRANT = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+BSD_REST = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 #: Notices as they are commonly worded (fixed values).
 TEMPLATES = {
     "MIT": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
         "SPDX-License-Identifier: MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy",
+        MIT_GRANT,
+        MIT_GRANT + " " + MIT_REST,
     ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "SPDX-License-Identifier: Apache-2.0",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -46,10 +59,25 @@ TEMPLATES = {
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
+        BSD_GRANT,
+        BSD_GRANT + " " + BSD_REST,
     ),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
 }
-TRIGGER = "(?i)licen[cs]|permission|copyright|redistribut|free software|spdx"
+#: Words that name a license: a template's must be in the notice.
+NAMES = {
+    "MIT": {"mit"},
+    "Apache-2.0": {"apache", "apache-2.0"},
+    "GPL-3.0": {"gnu", "gpl-3.0-or-later"},
+    "CC-BY-NC-4.0": {"by-nc", "attribution-noncommercial"},
+    "CC-BY-4.0": {"by", "attribution"},
+    "BSD-3-Clause": {"bsd"},
+    "MPL-2.0": {"mozilla"},
+}
+WORD = r"[^\W_]+(?:[-.'/][^\W_]+)*"
+TRIGGER_WORD = "licen[cs]|permission|copyright|redistribut|spdx"
+#: Texts that can hold a trigger; "free software" are two words.
+TRIGGER = rf"(?i){TRIGGER_WORD}|free[\W_]+software"
 #: Least share of a block's compressed bytes that the template must take off.
 REDUCTION = 0.3
 #: Most differing words, as a share of the template's words.
@@ -58,53 +86,162 @@ LEVEL = 3
 
 
 def wording(text: str) -> list[str]:
-    return [w for w in (x.strip(".,;:!?()\"'").lower() for x in text.split()) if w]
+    return [w.lower() for w in re.findall(WORD, text)]
+
+
+def spans(text: str, reach: int):
+    """Runs of words at most ``reach`` words from a trigger: the words, where each
+    starts in the text, and the triggers' places in the run."""
+    trigger = re.compile(TRIGGER_WORD)
+    before: deque[tuple[str, int]] = deque(maxlen=reach)  # words not in a run yet
+    run: list[tuple[str, int]] = []
+    hits: list[int] = []
+    last = ""
+    for m in re.finditer(WORD, text):
+        word = m[0].lower()
+        if trigger.search(word) or (word.startswith("software") and last.endswith("free")):
+            run += before
+            before.clear()
+            hits.append(len(run))
+            run.append((word, m.start()))
+        elif run and len(run) <= hits[-1] + reach:
+            run.append((word, m.start()))
+        else:
+            if run and len(before) == reach:  # the next trigger's run cannot touch this one
+                yield [w for w, _ in run], [a for _, a in run], hits
+                run, hits = [], []
+            before.append((word, m.start()))
+        last = word
+    if run:
+        yield [w for w, _ in run], [a for _, a in run], hits
+
+
+class Template:
+    def __init__(self, license: str, text: str):
+        self.license, self.words = license, wording(text)
+        self.distinct = set(self.words)
+        self.names = self.distinct & NAMES.get(license, set())
+        self.most = int(DIFFERENT * len(self.words))
+        data = zstandard.ZstdCompressionDict(" ".join(self.words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        self.packer = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, dict_data=data)
+        self.places, self.reversed = _places(self.words), _places(self.words[::-1])
+
+    def found(self, words: list[str], present: set[str]):
+        """(first, end, differences) of the spans of ``words`` that the template fits."""
+        if len(self.distinct & present) < len(self.distinct) - self.most:  # each difference loses one at most
+            return
+        size = len(self.words)
+        apart = _differences(self.places, size, words, False)
+        for j, d in enumerate(apart):
+            # the first of equal smallest ones, so that the span ends with a fitting word
+            if d > self.most or (j and apart[j - 1] <= d):
+                continue
+            if next((x for x in apart[j + 1 : j + size] if x != d), size) < d:
+                continue
+            back = _differences(self.reversed, size, words[max(0, j + 1 - size - self.most) : j + 1][::-1], True)
+            yield j - back.index(d), j + 1, d
+
+
+def _places(words: list[str]) -> dict[str, int]:
+    places: dict[str, int] = {}
+    for i, w in enumerate(words):
+        places[w] = places.get(w, 0) | 1 << i
+    return places
+
+
+def _differences(places: dict[str, int], size: int, words: list[str], whole: bool) -> list[int]:
+    """For each word, the fewest differences of the template (``size`` words at
+    ``places``) from any span that ends there, or from ``whole`` the words so far
+    (Myers' bit vectors)."""
+    every, top = (1 << size) - 1, 1 << (size - 1)
+    up, down, score, out = every, 0, size, []
+    for w in words:
+        eq = places.get(w, 0)
+        x = eq | down
+        y = (((eq & up) + up) ^ up) | eq
+        more, less = down | (every & ~(y | up)), up & y
+        score += bool(more & top) - bool(less & top)
+        more, less = (more << 1 | whole) & every, (less << 1) & every
+        up, down = less | (every & ~(x | more)), more & x
+        out.append(score)
+    return out
+
+
+def changes(wanted: list[str], words: list[str]) -> tuple[list[str], list[str]]:
+    """The words missing and added in an alignment with the fewest differences."""
+    cost = [list(range(len(words) + 1))]
+    for i, a in enumerate(wanted):
+        row = [i + 1]
+        for j, b in enumerate(words):
+            row.append(min(cost[i][j] + (a != b), cost[i][j + 1] + 1, row[j] + 1))
+        cost.append(row)
+    missing, added, i, j = [], [], len(wanted), len(words)
+    while i or j:
+        if i and j and cost[i][j] == cost[i - 1][j - 1] + (wanted[i - 1] != words[j - 1]):
+            i, j = i - 1, j - 1
+            if wanted[i] != words[j]:
+                missing.append(wanted[i])
+                added.append(words[j])
+        elif i and cost[i][j] == cost[i - 1][j] + 1:
+            i -= 1
+            missing.append(wanted[i])
+        else:
+            j -= 1
+            added.append(words[j])
+    return missing[::-1], added[::-1]
 
 
 class Matcher:
     def __init__(self, templates: dict[str, tuple[str, ...]]):
         self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
-        self.known = [
-            (name, wording(t), zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)))
-            for name, texts in templates.items()
-            for t in texts
-        ]
-
-    def match(self, block: str) -> dict | None:
-        data = block.encode()
-        alone = len(self.plain.compress(data))
-        sizes = [(len(c.compress(data)), i) for i, (_, _, c) in enumerate(self.known)]
-        words = wording(block)
-        for size, i in sorted(sizes):  # the largest reduction first
-            if alone - size < REDUCTION * alone:
-                return None
-            name, wanted, _ = self.known[i]
-            added, missing, apart = [], [], 0
-            for kind, a, b, c, d in difflib.SequenceMatcher(None, wanted, words, autojunk=False).get_opcodes():
-                if kind != "equal":
-                    missing += wanted[a:b]
-                    added += words[c:d]
-                    apart += max(b - a, d - c)  # a word for another is one difference
-            if apart <= DIFFERENT * len(wanted):
-                return {"license": name, "reduction": (alone - size) / alone, "missing": missing, "added": added}
-        return None
+        self.known = [Template(name, t) for name, texts in templates.items() for t in texts]
+        self.reach = max((len(t.words) + t.most for t in self.known), default=0)
+
+    def notices(self, text: str) -> list[dict]:
+        """The notices of a text, in order; ``block`` is the line where one starts."""
+        out, line, at = [], 0, 0
+        for words, starts, hits in spans(text, self.reach):
+            for one in self._of(words, hits):
+                start = starts[one.pop("first")]
+                line, at = line + text.count("\n", at, start), start
+                out.append(one | {"block": line})
+        return out
+
+    def _of(self, words: list[str], hits: list[int]) -> list[dict]:
+        present, options = set(words), []
+        for i, t in enumerate(self.known):
+            for a, b, apart in t.found(words, present):
+                k = bisect_left(hits, a)
+                if k == len(hits) or hits[k] >= b or not t.names <= set(words[a:b]):
+                    continue
+                data = " ".join(words[a:b]).encode()
+                alone = len(self.plain.compress(data))
+                off = alone - len(t.packer.compress(data))
+                if off >= REDUCTION * alone:
+                    options.append((-off, apart, i, a, b, off / alone))
+        taken, out = bytearray(len(words)), []
+        for _, apart, i, a, b, reduction in sorted(options):  # the largest reduction first
+            if not any(taken[a:b]):
+                taken[a:b] = b"\1" * (b - a)
+                t = self.known[i]
+                missing, added = changes(t.words, words[a:b]) if apart else ([], [])
+                out.append({"first": a, "license": t.license, "reduction": reduction, "missing": missing, "added": added})
+        return sorted(out, key=lambda x: x["first"])
 
 
 def notices(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
-    """Per confirmed block: ``doc_id``, its line number ``block`` (from 0), its
+    """Per notice: ``doc_id``, the line ``block`` (from 0) where it starts, its
     ``license``, ``reduction`` and the words ``missing`` and ``added``."""
     templates = templates or TEMPLATES
 
     def run(batches):
         matcher = Matcher(templates)
-        trigger = re.compile(TRIGGER)
         for batch in batches:
             ids, found = [], []
             for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                for k, line in enumerate(text.split("\n")):
-                    if trigger.search(line) and (one := matcher.match(line)):
-                        ids.append(i)
-                        found.append(one | {"block": k})
+                own = matcher.notices(text)
+                ids += [i] * len(own)
+                found += own
             column = lambda c, t: pa.array([x[c] for x in found], t)
             words = pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays(
