@@ -7,7 +7,10 @@ yields the fewest phrases for the text's length wins.
 
 The automata are fitted on a bounded sample: of each language the
 ``SAMPLE_ROWS`` rows with the smallest hash of their id, at most
-``ROW_CHARS`` characters of each and ``SAMPLE_CHARS`` in all. Prediction reads
+``ROW_CHARS`` characters of each and ``SAMPLE_CHARS`` in all. Every character
+of the samples is told apart; the ``LETTERS`` most frequent ones have a column
+in a dense table, the others' transitions are searched in a sorted list. Only
+a character of no sample is unknown, and ends a phrase. Prediction reads
 every text whole; it is cut into runs of ``RUN`` characters that are parsed side
 by side, which ends one phrase a run for every language alike.
 
@@ -31,6 +34,7 @@ from quarry.llm.quality import held_out
 SAMPLE_ROWS = 200
 ROW_CHARS = 1000
 SAMPLE_CHARS = 30_000
+#: Characters with a column of their own.
 LETTERS = 63
 RUN = 256
 UNKNOWN = "und"
@@ -40,9 +44,9 @@ def normal(text: str) -> str:
     return " ".join(text.lower().split())
 
 
-def automaton(codes: list[int], width: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``codes``: a row a state, -1 where
-    no match goes on. State 0 is the empty match."""
+def transitions(codes: list[int]) -> list[dict[int, int]]:
+    """Of each state of the suffix automaton of ``codes``, the next state by code.
+    State 0 is the empty match."""
     step, link, size, last = [{}], [-1], [0], 0
     for c in codes:
         now = len(step)
@@ -67,43 +71,75 @@ def automaton(codes: list[int], width: int) -> np.ndarray:
                     at = link[at]
                 link[to] = link[now] = copy
         last = now
+    return step
+
+
+def automaton(codes: list[int], width: int) -> np.ndarray:
+    """The transitions as a table: a row a state, -1 where no match goes on."""
+    return _table(transitions(codes), width)
+
+
+def _table(step: list[dict[int, int]], width: int) -> np.ndarray:
+    """The transitions of the codes below ``width``."""
     table = np.full((len(step), width), -1, np.int32)
     for i, row in enumerate(step):
-        if row:
-            table[i, list(row)] = list(row.values())
+        for c, to in row.items():
+            if c < width:
+                table[i, c] = to
     return table
 
 
 class Model:
     """One table for all languages: an entry holds the next state's row and, in
-    its lowest bit, whether a phrase ended before this character."""
+    its lowest bit, whether a phrase ended before this character. ``keys`` and
+    ``values`` hold such entries of the characters beyond the table's width,
+    ``fresh`` those of a phrase that starts with one."""
 
     def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
         joined = {k: "\n".join(x[:ROW_CHARS] for x in map(normal, samples[k]))[:SAMPLE_CHARS] for k in self.languages}
         seen = Counter(c for t in joined.values() for c in t)
         self.width = LETTERS + 1
-        self.letters = {c: i + 1 for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS])}
+        self.letters = {c: i + 1 for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0])))}
+        self.size = len(self.letters) + 1
         tables, self.roots, at = [], [], 0
-        for k in self.languages:
-            t = automaton([self.letters.get(c, 0) for c in joined[k]], self.width)
-            t[:, 0] = -1  # an unknown character ends a phrase in every language
-            fresh = np.maximum(t[0], 0)  # after a phrase's end
+        keys, values = [], []
+        self.fresh = np.zeros((len(self.languages), self.size), np.int32)
+        for n, k in enumerate(self.languages):
+            step = transitions([self.letters[c] for c in joined[k]])
+            t = _table(step, self.width)
+            fresh = np.maximum(t[0], 0)  # after a phrase's end; a character that the language lacks starts none
             value = np.where(t >= 0, (at + t) * self.width * 2, (at + fresh) * self.width * 2 + 1)
             tables.append(value.astype(np.int32))
+            self.fresh[n] = at * self.width * 2 + 1
+            for c, to in step[0].items():
+                self.fresh[n, c] = (at + to) * self.width * 2 + 1
+            for i, row in enumerate(step):
+                for c, to in row.items():
+                    if c >= self.width:
+                        keys.append((at + i) * self.size + c)
+                        values.append((at + to) * self.width * 2)
             self.roots.append(at * self.width)
             at += len(t)
         self.table = np.concatenate(tables).ravel() if tables else np.empty(0, np.int32)
-        # code of each code point below 0x3000; beyond, every one is unknown
-        self.code = np.zeros(0x3000, np.int32)
+        order = np.argsort(np.array(keys, np.int64))
+        self.keys, self.values = np.array(keys, np.int64)[order], np.array(values, np.int32)[order]
+        self.code = np.zeros(0x110000, np.int32)  # of each code point; 0 is unknown
         for c, i in self.letters.items():
-            if ord(c) < len(self.code):
-                self.code[ord(c)] = i
+            self.code[ord(c)] = i
+
+    def _rare(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Entries of characters beyond the table's width."""
+        key = state.astype(np.int64) // self.width * self.size + codes
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[place] == key, self.values[place], self.fresh[:, codes])
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """Phrases of each text (row) in each language (column)."""
         points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-        codes = np.where(points < len(self.code), self.code[np.minimum(points, len(self.code) - 1)], 0)
+        codes = self.code[points]
+        rare = codes >= self.width
+        dense, some = np.where(rare, 0, codes), rare.any()
         bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
         runs = -(-np.diff(bounds) // RUN)
         owner = np.repeat(np.arange(len(texts)), runs)
@@ -119,7 +155,10 @@ class Model:
             live = int(np.searchsorted(-size[:live], -t, "left"))  # runs longer than t
             if not live:
                 break
-            value = self.table[state[:, :live] + codes[start[:live] + t]]
+            here = start[:live] + t
+            value = self.table[state[:, :live] + dense[here]]
+            if some and len(at := np.flatnonzero(rare[here])):
+                value[:, at] = self._rare(state[:, at], codes[here[at]])
             count[:, :live] += value & 1
             state[:, :live] = value >> 1
         out = np.zeros((len(texts), len(self.languages)))

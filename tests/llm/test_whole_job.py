@@ -1,8 +1,9 @@
 """Inputs that an operator once treated in part, or wrongly."""
 
+import random
 import textwrap
 
-from quarry.llm import licenses
+from quarry.llm import language, licenses
 from tests.llm.test_operators import documents
 
 
@@ -29,3 +30,44 @@ def test_wrapped_embedded_and_commented_notices(spark):
         (5, 0, "BSD-3-Clause", [], []),
         (5, 2, "MIT", [], []),
     ]
+
+
+SAYINGS = {
+    "el": "η γλώσσα είναι ο τρόπος με τον οποίο οι άνθρωποι μιλούν μεταξύ τους και γράφουν όσα σκέφτονται κάθε μέρα",
+    "en": "language is the way in which people talk to each other and write down what they think about every day",
+    "ja": "言語とは人々が互いに話し毎日考えていることを書き留めるための方法でありそれぞれの国で異なっています",
+    "ko": "언어는 사람들이 서로 이야기하고 매일 생각하는 것을 적어 두는 방법이며 나라마다 다릅니다",
+    "ru": "язык это способ которым люди говорят друг с другом и записывают то о чём они думают каждый день",
+    "uk": "мова це спосіб яким люди розмовляють одне з одним і записують те про що вони думають щодня її їжа",
+    "zh": "语言是人们互相交谈并写下每天所想的事情的方式每个国家的语言都不一样我们应该学习更多的语言",
+}
+
+
+def test_language_of_many_scripts(spark):
+    rnd = random.Random(6)
+    rows = []
+    for lang, text in SAYINGS.items():
+        for _ in range(30):
+            a = rnd.randrange(len(text) // 2)
+            rows.append((len(rows), text[a : a + len(text) // 2], lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.identified(docs).collect()
+    assert any(r.held_out for r in got) and [(r.doc_id, r.lang_pred) for r in sorted(got)] == [(d, k) for d, _, k in rows]
+
+
+def test_phrases_of_rare_characters():
+    rnd = random.Random(7)
+    letters = [chr(0x4E00 + i) for i in range(100)] + list("abc \U00020000")
+    samples = {k: ["".join(rnd.choices(letters[i : i + 70], k=500))] for i, k in enumerate(("a", "b", "c"))}
+    model = language.Model(samples)
+    texts = ["".join(rnd.choices([*letters, "힣"], k=200)) for _ in range(5)] + [samples["b"][0][40:200]]
+    texts = [language.normal(t) for t in texts]
+    for t, row in zip(texts, model.phrases(texts).tolist()):
+        for k, n in zip(model.languages, row):
+            known, phrase, want = language.normal(samples[k][0]), "", 1
+            for c in t:
+                if phrase + c in known:
+                    phrase += c
+                else:
+                    want, phrase = want + 1, c if c in known else ""
+            assert n == want
