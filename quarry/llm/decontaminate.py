@@ -146,10 +146,10 @@ def _result(rows: pa.RecordBatch, w: Words, known: Benchmark) -> pa.RecordBatch:
     )
 
 
-def _by_join(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The same through shuffles, for a benchmark of any size: fingerprints of
-    both sides are joined, and each pair that shares one is compared."""
-    docs = docs.withColumn("row", F.xxhash64("text"))
+def _found(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Per document (``doc_id``, ``row``: the hash of its text) and item that it
+    holds: the item and the words hit, ``spots``. For a benchmark of any size:
+    fingerprints of both sides are joined, and each pair that shares one is compared."""
     items = items.withColumn("item_row", F.xxhash64("item", "item_text"))
 
     def lengths(batches):
@@ -194,13 +194,19 @@ def _by_join(docs: DataFrame, items: DataFrame) -> DataFrame:
                     )
 
     same = F.col("p.doc_id").eqNullSafe(F.col("d.doc_id")) & F.col("p.row").eqNullSafe(F.col("d.row"))
-    found = (
+    return (
         pairs.alias("p")
         .join(docs.distinct().alias("d"), same)
         .join(items, "item_row")
         .select("d.doc_id", "d.row", "d.text", "item", "item_text")
         .mapInArrow(compare, "doc_id long, row long, item string, spots array<long>")
     )
+
+
+def _by_join(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The same through shuffles."""
+    docs = docs.withColumn("row", F.xxhash64("text"))
+    found = _found(docs, items)
     hit = found.select("doc_id", "row", F.explode("spots").alias("spot")).distinct().groupBy("doc_id", "row").agg(F.count("*").alias("n_hit"))
     # one entry per item of the benchmark that the document holds
     names = found.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set("item")).alias("items"))
@@ -233,15 +239,18 @@ def digest(result: DataFrame) -> DataFrame:
     )
 
 
-def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``docs`` without its contaminated rows, columns unchanged. A document
     is removed as a whole: what surrounds a leaked passage is usually its
-    question or answer."""
+    question or answer. Each row is judged by its own text, whatever its id."""
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > BROADCAST_BYTES:
-        bad = contamination(docs, items).where("n_hit > 0").select("doc_id").distinct()
-        return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
-    rows = items.select(F.col("item_id").cast("string"), "text").where("text is not null").distinct().collect()
+    items = items.select(F.col("item_id").cast("string").alias("item"), F.col("text").alias("item_text")).where("item_text is not null").distinct()
+    if size > broadcast_bytes:
+        texts = docs.select(F.col("doc_id").cast("long"), "text").withColumn("row", F.xxhash64("text"))
+        bad = _found(texts, items).select("doc_id", "row").distinct()
+        same = F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & F.xxhash64("d.text").eqNullSafe(F.col("b.row"))
+        return docs.alias("d").join(bad.alias("b"), same, "left_anti")
+    rows = items.collect()
     known = docs.sparkSession.sparkContext.broadcast(Benchmark([tuple(r) for r in rows]))
 
     def run(batches):

@@ -1,9 +1,10 @@
 """Inputs that an operator once treated in part, or wrongly."""
 
+import collections
 import random
 import textwrap
 
-from quarry.llm import language, licenses
+from quarry.llm import decontaminate, language, licenses
 from tests.llm.test_operators import documents
 
 
@@ -71,3 +72,15 @@ def test_phrases_of_rare_characters():
                 else:
                     want, phrase = want + 1, c if c in known else ""
             assert n == want
+
+
+def test_clean_judges_each_row_by_broadcast_and_by_join(spark):
+    passage = "the quick brown fox jumps over the lazy dog and runs away home"
+    items = spark.createDataFrame([(1, passage), (None, "lonely")], "item_id long, text string")
+    rows = [(None, f"x {passage}"), (None, "fine"), (None, None), (5, passage), (5, "also fine"), (6, "so lonely"), (7, ""), (7, "")]
+    want = collections.Counter([(None, "fine"), (None, None), (5, "also fine"), (7, ""), (7, "")])
+    docs = documents(spark, rows)
+    for limit in (decontaminate.BROADCAST_BYTES, 0):
+        left = decontaminate.clean(docs, items, limit)
+        assert left.schema == docs.schema
+        assert collections.Counter((r.doc_id, r.text) for r in left.collect()) == want
