@@ -18,7 +18,8 @@ a row block is made in the task.
 
 Cases: vectors that are null, empty, zero, hold a null or non-finite component, or
 have another length than most take no part; ties go to the smaller id; rows that
-repeat a query's id are not its candidates; an empty table gives no rows; extra columns are ignored.
+repeat a query's id are not its candidates; a query id that repeats is one
+query, with the smallest of its vectors; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -98,12 +99,14 @@ class Index:
         keep = far <= radius
         return rows[keep], far[keep]
 
-    def nearest(self, code: np.ndarray, radius: int, k: int) -> np.ndarray:
-        """Rows within the radius, or within the smallest one that holds ``k``."""
+    def nearest(self, code: np.ndarray, radius: int, k: int, others: np.ndarray) -> np.ndarray:
+        """Rows among ``others`` within the radius, or within the smallest one that holds ``k``."""
         rows, _ = self.within(code, radius)
+        rows = rows[others[rows]]
         while len(rows) < k and radius < self.codes.shape[1] * 8:
             radius = min(self.codes.shape[1] * 8, radius + max(4, radius // 4))
             rows, _ = self.within(code, radius)
+            rows = rows[others[rows]]
         return rows
 
 
@@ -129,7 +132,7 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, row_block: int =
     rows = rows.where(F.size("embedding") == dims)
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     sent = vectors.sparkSession.sparkContext.broadcast(Codes(np.array([r.embedding for r in sorted(sample)], np.float64), k=k))
-    queries = rows.where(F.col("vec_id") % every == 0)
+    queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     many = queries.count()
     n_rows, n_queries = max(1, -(-total // row_block)), max(1, -(-many // query_block))
     deal = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
@@ -148,8 +151,7 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, row_block: int =
             model = sent.value
             index = Index(np.ascontiguousarray(model.of(row_x)))
             for q, v, code in zip(query_ids.tolist(), query_x, model.of(query_x)):
-                at = index.nearest(code, model.radius, k + 1)
-                at = at[row_ids[at] != q]
+                at = index.nearest(code, model.radius, k, row_ids != q)
                 d = np.sqrt(((row_x[at] - v) ** 2).sum(axis=1))
                 best = np.lexsort((row_ids[at], d))[:k]
                 out += zip([q] * len(best), row_ids[at][best].tolist(), d[best].tolist())

@@ -4,7 +4,9 @@ import collections
 import random
 import textwrap
 
-from quarry.llm import decontaminate, language, licenses
+import numpy as np
+
+from quarry.llm import decontaminate, language, licenses, neighbours
 from tests.llm.test_operators import documents
 
 
@@ -84,3 +86,21 @@ def test_clean_judges_each_row_by_broadcast_and_by_join(spark):
         left = decontaminate.clean(docs, items, limit)
         assert left.schema == docs.schema
         assert collections.Counter((r.doc_id, r.text) for r in left.collect()) == want
+
+
+def test_repeated_query_rows(spark):
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((300, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(100, x[100].tolist())] * 40 + [(200, (x[200] + 9).tolist())]
+    got = collections.defaultdict(list)
+    for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.rank, r.vec_id))
+    assert set(got) == {0, 100, 200}
+    for q, found in got.items():
+        assert [k for k, _ in found] == list(range(1, 11)) and len({v for _, v in found} - {q}) == (10 if q else len({v for _, v in found}))
+
+
+def test_own_rows_do_not_fill_the_fetch():
+    codes = np.zeros((40, 8), np.uint8)
+    codes[30:] = np.arange(1, 11)[:, None]  # 30 rows of the query's own code, ten others
+    assert sorted(neighbours.Index(codes).nearest(codes[0], 0, 10, np.arange(40) >= 30).tolist()) == list(range(30, 40))
