@@ -177,7 +177,7 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
 def _packed(rows: DataFrame, number: int, capacity: int, group_rows: int) -> DataFrame:
     names = rows.columns
     groups = max(1, -(-rows.count() // group_rows))
-    dealt = rows.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", F.lit(number)), F.lit(groups)))
+    dealt = rows.withColumn("group", F.pmod(F.xxhash64("nth", F.lit(number)), F.lit(groups)))
 
     def run(table):
         lengths = np.asarray(table.column("length"), np.int64)
@@ -200,7 +200,8 @@ def _packed(rows: DataFrame, number: int, capacity: int, group_rows: int) -> Dat
 
 
 def packed(rows: DataFrame, capacity: int = LENGTH, group_rows: int = GROUP_ROWS, rounds: int = ROUNDS) -> DataFrame:
-    """``rows`` (pieces) with their ``sequence_id`` and ``offset``."""
+    """``rows`` (pieces, each with a number ``nth`` of its own, by which it is dealt)
+    with their ``sequence_id`` and ``offset``."""
     names = rows.columns
     result = [*names, "sequence_id", "offset"]
     full = rows.where(F.col("length") >= capacity).withColumns({"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
@@ -221,5 +222,7 @@ def packed(rows: DataFrame, capacity: int = LENGTH, group_rows: int = GROUP_ROWS
     return now.select(result)
 
 
-def documents_packed(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    return packed(written(pieces(docs, tokenizer_path), "pieces"))
+def documents_packed(docs: DataFrame, tokenizer_path: str, group_rows: int = GROUP_ROWS) -> DataFrame:
+    # numbered before they are written: ids can be null or repeated, and a number made later could change
+    numbered = pieces(docs, tokenizer_path).withColumn("nth", F.monotonically_increasing_id())
+    return packed(written(numbered, "pieces"), group_rows=group_rows).drop("nth")

@@ -6,7 +6,7 @@ import textwrap
 
 import numpy as np
 
-from quarry.llm import decontaminate, language, licenses, neighbours
+from quarry.llm import decontaminate, language, licenses, neighbours, packing
 from tests.llm.test_operators import documents
 
 
@@ -104,3 +104,12 @@ def test_own_rows_do_not_fill_the_fetch():
     codes = np.zeros((40, 8), np.uint8)
     codes[30:] = np.arange(1, 11)[:, None]  # 30 rows of the query's own code, ten others
     assert sorted(neighbours.Index(codes).nearest(codes[0], 0, 10, np.arange(40) >= 30).tolist()) == list(range(30, 40))
+
+
+def test_pieces_without_ids_are_dealt_out(spark):
+    import public_tokenizers
+
+    docs = documents(spark, [(None if i % 2 else 3, f"text {i}") for i in range(400)])
+    got = packing.documents_packed(docs, public_tokenizers.path("word_bpe_49k.json"), group_rows=50).collect()
+    assert len(got) == 400 and "nth" not in got[0]
+    assert max(collections.Counter(r.sequence_id >> 28 for r in got).values()) < 200
