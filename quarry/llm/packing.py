@@ -11,7 +11,10 @@ long as that saves sequences.
 Cases: a null or empty text is ``END`` alone; repeated rows and null ids are
 packed like any other; an empty table gives no pieces; extra columns are
 ignored. A word is tokenised once a worker process and then looked up, for this
-tokenizer's words never reach over white space.
+tokenizer's words never reach over white space. A special token's string in a
+text (such as ``<|endoftext|>``) is ordinary text: ``encode_special_tokens`` is on, so
+that no text can bring in a control token. Where a text holds such a string, its ids
+differ from those of a plain call of the tokenizer.
 """
 
 from __future__ import annotations
