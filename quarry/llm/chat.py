@@ -13,6 +13,11 @@ that was rendered both ways must have come out alike; a template for which it ha
 rendered from the conversation's start instead. Memory follows the block, and
 the work the length of the conversation.
 
+Bound: once a block came out alike, later rewrites are seen only inside a block and
+its context. A template that changes something farther back later on (say, drops
+tool outputs older than 40 turns) is neither flagged nor rendered again for it. The
+default template never rewrites.
+
 Cases: a null role or text counts as empty; rows without a ``conv_id`` are one
 conversation; turns that repeat a number are ordered by role and text; extra
 columns are ignored; an empty table gives no rows.
