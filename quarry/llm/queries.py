@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontaminate, jaccard_join, language, licenses, neighbours, packing, quality, sharding, substrings
+from quarry.llm import chat, decontaminate, jaccard_join, language, licenses, lloyd, neighbours, packing, periodic, quality, rules, sharding, substrings
 from quarry.llm.shared import table
 
 
@@ -57,6 +58,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = periodic.repeating(F.col("doc_id"), F.col("text"))
+    return periodic.digest(periodic.detected(table(spark, sf_dir, "documents"), text))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.compressed(table(spark, sf_dir, "embeddings"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -70,5 +84,8 @@ QUERIES = {
         op8_license_scans,
         op9_sharding,
         op10_decontamination,
+        op11_periodic_runs,
+        op12_vector_codes,
+        op13_quality_rules,
     )
 }

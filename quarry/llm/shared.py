@@ -30,6 +30,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def checkpoints(spark: SparkSession) -> None:
+    """Let RDDs checkpoint to the shared folder, unless a folder is set already."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a written table in the shared folder: it cuts the lineage and
     survives the loss of any executor."""

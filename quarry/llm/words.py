@@ -143,6 +143,17 @@ def word_batches(batch: pa.RecordBatch, word_bytes: np.ndarray, lower: bool, col
         yield batch.slice(at, len(offsets) - 1), split(data, offsets, word_bytes, lower, cuts)
 
 
+def named(data: np.ndarray, part: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A number for each of the strings of ``sizes`` bytes that the flagged bytes of
+    ``data`` make up; equal strings, and only those, share one."""
+    if not len(sizes):
+        return np.empty(0, np.int64)
+    ends = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=ends[1:])
+    strings = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(data[part])])
+    return strings.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def distinct_per_doc(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each text's distinct values, sorted inside the text; texts stay in order."""
     order = np.lexsort((value, doc))
