@@ -72,4 +72,43 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(s.n, 0)::BIGINT AS n_hit,
 FROM words w LEFT JOIN spots s USING (doc_id) LEFT JOIN names m USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_chat_formatting": OP1, "op2_jaccard_join": OP2, "op3_substring_dedup": OP3, "op10_decontamination": OP10}
+
+
+def _lloyd(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    """The rounds unrolled; whole numbers are kept as doubles, which hold them exactly."""
+
+    def nearest(book: str) -> str:
+        return f"""
+  SELECT r, p, min(struct_pack(d := list_dot_product(a.v, a.v) - 2 * list_dot_product(a.v, c.v) + list_dot_product(c.v, c.v), k := c.k)) AS best
+  FROM parts a JOIN {book} c USING (p) GROUP BY r, p"""
+
+    steps = []
+    for n in range(rounds):
+        steps.append(f"a{n} AS MATERIALIZED ({nearest(f'c{n}')})")
+        steps.append(f"""m{n} AS (
+  SELECT p, k, list(x ORDER BY i) AS v FROM (
+    SELECT p, best.k AS k, i, floor(sum(v[i]) / count(*)) AS x
+    FROM parts JOIN a{n} USING (r, p), LATERAL (SELECT unnest(range(1, len(v) + 1)) AS i) GROUP BY p, best.k, i
+  ) GROUP BY p, k)""")
+        steps.append(f"c{n + 1} AS MATERIALIZED (SELECT c.p, c.k, coalesce(m.v, c.v) AS v FROM c{n} c LEFT JOIN m{n} m ON m.p = c.p AND m.k = c.k)")
+    return f"""
+WITH whole AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, label NULLS FIRST, embedding) AS r, vec_id, label,
+         list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS x
+  FROM embeddings WHERE len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+), parts AS MATERIALIZED (
+  SELECT r, p, x[p * (len(x) // {parts}) + 1 : (p + 1) * (len(x) // {parts})] AS v FROM whole, (SELECT unnest(range({parts})) AS p)
+), c0 AS MATERIALIZED (SELECT p, r - 1 AS k, v FROM parts WHERE r <= {entries}),
+{(", " + chr(10)).join(steps)},
+last AS MATERIALIZED ({nearest(f'c{rounds}')}),
+codes AS (
+  SELECT r, string_agg(lpad(lower(to_hex(best.k)), 2, '0'), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM last GROUP BY r
+), books AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(v, lambda x: x::BIGINT::VARCHAR), ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM c{rounds}
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM whole JOIN codes USING (r), books
+"""
+
+
+ORACLE_SQL = {"op1_chat_formatting": OP1, "op2_jaccard_join": OP2, "op3_substring_dedup": OP3, "op10_decontamination": OP10, "op12_vector_codes": _lloyd()}
