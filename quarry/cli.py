@@ -25,7 +25,8 @@ def _word_count(spark, inp, out, k, mode, opts):
 
 def _inverted_index(spark, inp, out, k, mode, opts):
     idx = P.inverted_index_files(read_lines_with_offsets(spark, inp))
-    write_kv(idx, out, "word", "postings", mode=mode, sort_output="partition")
+    order = ["word", "path", "posting_block"]
+    write_kv(idx, out, "word", "postings", mode=mode, sort_output="partition", sort_by=order)
 
 
 def _top_k(spark, inp, out, k, mode, opts):

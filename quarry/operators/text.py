@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import (
@@ -51,9 +51,11 @@ def token_offsets(
     text_col: str = "text",
     word_col: str = "word",
     off_col: str = "off",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """``(word, doc, off)``: every whitespace token with the byte offset of its
-    first byte inside its document's text (SRC-7, decision D8).
+    first byte inside its document's text (SRC-7, decision D8). ``keep`` names
+    columns carried along, such as the path of the document's file.
 
     The text is cut into pieces of "blanks, then one token", one piece per
     token. A token's offset is the running byte length of the pieces before
@@ -63,10 +65,12 @@ def token_offsets(
     not one row per token. A window group is one row, so documents that share a
     name are counted apart; the id that tells them apart lives inside a task.
     """
-    docs = df.select(F.col(doc_col), F.col(text_col)).repartition(F.col(doc_col))
+    keep = [c for c in keep if c != doc_col]
+    docs = df.select(F.col(doc_col), *keep, F.col(text_col)).repartition(F.col(doc_col))
     docs = docs.withColumn("row", F.monotonically_increasing_id())
     pieces = docs.select(
         F.col(doc_col),
+        *keep,
         "row",
         F.posexplode(gap_token_pieces(as_byte_chars(text_col))).alias("pos", "piece"),
     )
@@ -75,17 +79,17 @@ def token_offsets(
         .orderBy("pos")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return _piece_offsets(pieces, before, F.lit(0), word_col, doc_col, off_col)
+    return _piece_offsets(pieces, before, F.lit(0), word_col, [doc_col, *keep], off_col)
 
 
-def _piece_offsets(pieces, before, base, word_col, doc_col, off_col) -> DataFrame:
+def _piece_offsets(pieces, before, base, word_col, keep, off_col) -> DataFrame:
     """Word and byte offset of each ``blanks + token`` piece: ``base`` plus the
     bytes of the earlier pieces (window ``before``) plus its own blanks."""
     word = strip_leading_blanks("piece")
     earlier = F.coalesce(F.sum(F.length("piece")).over(before), F.lit(0))
     return pieces.select(
         from_byte_chars(word).alias(word_col),
-        F.col(doc_col),
+        *keep,
         (base + earlier + F.length("piece") - F.length(word))
         .cast("bigint")
         .alias(off_col),
@@ -93,19 +97,26 @@ def _piece_offsets(pieces, before, base, word_col, doc_col, off_col) -> DataFram
 
 
 def file_token_offsets(
-    lines: DataFrame, word_col: str = "word", doc_col: str = "file", off_col: str = "off"
+    lines: DataFrame,
+    word_col: str = "word",
+    doc_col: str = "file",
+    off_col: str = "off",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """``(word, file, off)`` for lines from ``read_lines_with_offsets``: each
-    token's byte offset in its file, for files too large for one row.
+    token's byte offset in its file, for files too large for one row. ``keep``
+    names columns carried along (``path`` tells files of one name apart).
 
     Inside a line, a token's offset is the running byte length of the
     ``blanks + token`` pieces before it plus its own blanks; the window groups
     by line inside the ``(path, block)`` partitioning the lines already have,
     so no further shuffle happens."""
+    carried = [c for c in keep if c not in (doc_col, "path", "block")]
     pieces = lines.select(
         F.col(doc_col),
         "path",
         "block",
+        *carried,
         F.col("off").alias("line_off"),
         F.posexplode(gap_token_pieces(as_byte_chars("value"))).alias("pos", "piece"),
     )
@@ -114,7 +125,7 @@ def file_token_offsets(
         .orderBy("pos")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return _piece_offsets(pieces, before, F.col("line_off"), word_col, doc_col, off_col)
+    return _piece_offsets(pieces, before, F.col("line_off"), word_col, [doc_col, *[c for c in keep if c != doc_col]], off_col)
 
 
 def inverted_index_postings(
@@ -124,12 +135,20 @@ def inverted_index_postings(
     return token_offsets(df, doc_col, text_col)
 
 
+def _posting_list(doc: Column, offsets: Column) -> Column:
+    """``doc:off doc:off ...`` in offset order."""
+    return F.array_join(
+        F.transform(F.sort_array(offsets), lambda o: F.concat(doc, F.lit(":"), o.cast("string"))), " "
+    )
+
+
 def inverted_index(
     postings: DataFrame,
     word_col: str = "word",
     doc_col: str = "doc",
     off_col: str = "off",
     out: str = "postings",
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """``(word, doc, postings)`` with ``postings = "doc:off doc:off ..."``
     ordered by offset (AGG-8, decision D9).
@@ -138,15 +157,65 @@ def inverted_index(
     a hot word yields one row per document it occurs in, each bounded by that
     document. Concatenating a word's rows in document order gives its full
     posting line. Postings from ``token_offsets`` are already clustered by
-    document, so this aggregate adds no shuffle.
+    document, so this aggregate adds no shuffle. ``keys`` names further columns
+    that tell documents of one name apart (the path of a file); they stay in the
+    result.
     """
     doc = F.col(doc_col).cast("string")
-    return postings.groupBy(word_col, doc_col).agg(
-        F.array_join(
-            F.transform(
-                F.sort_array(F.collect_list(off_col)),
-                lambda o: F.concat(doc, F.lit(":"), o.cast("string")),
-            ),
-            " ",
-        ).alias(out)
+    return postings.groupBy(word_col, doc_col, *keys).agg(
+        _posting_list(doc, F.collect_list(off_col)).alias(out)
     )
+
+
+#: Bytes of a file that one row of the file index covers.
+BLOCK_BYTES = 1 << 18
+
+
+def inverted_index_blocks(
+    lines: DataFrame,
+    block_bytes: int = BLOCK_BYTES,
+    word_col: str = "word",
+    doc_col: str = "file",
+    out: str = "postings",
+) -> DataFrame:
+    """``(word, file, path, posting_block, postings)`` for lines from
+    ``read_lines_with_offsets``: the index of text files of any size (AGG-8).
+
+    A row holds a word's postings inside one stretch of ``block_bytes`` bytes of one
+    file, so no row grows with a file or the corpus, however often the word occurs. A
+    word's rows in the order of path and ``posting_block`` make up its posting
+    line. Rows depend on the files alone, not on the splits they are read in.
+
+    The lines lie hash-partitioned on their split, and nearly every posting
+    block lies inside one split: those are aggregated where they are. Only the blocks
+    cut by the border of two splits (at most two of ``block_bytes`` a split)
+    meet in a shuffle; a line goes through the tokeniser twice only if it
+    touches such a block.
+    """
+    if block_bytes < 1:
+        raise ValueError("block_bytes must be at least 1")
+    size = F.lit(block_bytes).cast("bigint")
+    split = ["block", "block_from", "block_to"]
+
+    def start(off: Column) -> Column:
+        return off - F.pmod(off, size)  # first byte of the posting block that holds ``off``
+
+    def inside(first: Column, last: Column) -> Column:
+        """The posting blocks that start at ``first`` to ``last`` lie in the split."""
+        return (first >= F.col("block_from")) & (F.col("block_to").isNull() | (last + size <= F.col("block_to")))
+
+    def tokens_of(some: DataFrame) -> DataFrame:
+        found = file_token_offsets(some, word_col, doc_col, "off", ["path", *split])
+        return found.withColumn("posting_block", start(F.col("off")))
+
+    def rows(found: DataFrame, *keys: str) -> DataFrame:
+        doc = F.col(doc_col).cast("string")
+        grouped = found.groupBy(*keys, "path", doc_col, "posting_block", word_col)
+        return grouped.agg(_posting_list(doc, F.collect_list("off")).alias(out)).select(
+            word_col, doc_col, "path", "posting_block", out
+        )
+
+    own = inside(F.col("posting_block"), F.col("posting_block"))
+    end = F.col("off") + F.octet_length("value")
+    touching = lines.where(~inside(start(F.col("off")), start(end)))
+    return rows(tokens_of(lines).where(own), "block").union(rows(tokens_of(touching).where(~own)))

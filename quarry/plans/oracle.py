@@ -181,3 +181,36 @@ order by avg_rating desc, id
 limit 10
 """,
 }
+
+# document files: 250 ids each, documents in the order of their ids
+_FILE_POSTINGS = rf"""
+with texts as (
+  select doc_id, (doc_id // 250)::varchar as file, coalesce(text, '') as text from documents
+), docs as (
+  select doc_id, file, text,
+         coalesce(sum(strlen(text) + 1) over (partition by file order by doc_id
+                  rows between unbounded preceding and 1 preceding), 0) as base
+  from texts
+), runs as (
+  select doc_id, file, base,
+         unnest(regexp_extract_all(text, '[^ \t\n\r\f]+|{_BLANK}+')) as run,
+         generate_subscripts(regexp_extract_all(text, '[^ \t\n\r\f]+|{_BLANK}+'), 1) as i
+  from docs
+), offs as (
+  select file, run as word,
+         (base + sum(strlen(run)) over (partition by doc_id order by i
+                 rows between unbounded preceding and current row) - strlen(run))::bigint as off
+  from runs
+)
+select file, word, off from offs where not regexp_full_match(word, '{_BLANK}+')
+"""
+
+FILE_ORACLE_SQL = {
+    "inverted_index_files": f"""
+with postings as ({_FILE_POSTINGS})
+select word, file, (off - off % 262144)::bigint as posting_block,
+       string_agg(file || ':' || off::varchar, ' ' order by off) as postings
+from postings
+group by word, file, posting_block
+""",
+}

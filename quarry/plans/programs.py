@@ -16,10 +16,11 @@ from quarry.operators.graph import page_rank
 from quarry.operators.joins import equi_join
 from quarry.operators.linalg import matrix_multiply
 from quarry.operators.text import (
+    BLOCK_BYTES,
     explode_list,
     explode_tokens,
-    file_token_offsets,
     inverted_index,
+    inverted_index_blocks,
     list_contains,
     token_offsets,
 )
@@ -38,14 +39,18 @@ def inverted_index_postings(docs: DataFrame, doc: str = "doc", text: str = "text
 
 
 def inverted_index_lines(docs: DataFrame, doc: str = "doc", text: str = "text") -> DataFrame:
-    """``(word, doc, postings)``: ``doc:off`` pairs per word and document."""
-    return inverted_index(token_offsets(docs, doc, text), doc_col=doc)
-
-
-def inverted_index_files(lines_with_offsets: DataFrame) -> DataFrame:
-    """``(word, file, postings)`` from ``read_lines_with_offsets``: the index
-    of text files of any size, offsets counted in bytes from the file start."""
-    return inverted_index(file_token_offsets(lines_with_offsets), doc_col="file")
+    """``(word, doc, postings)``: ``doc:off`` pairs per word and document.
+    Documents from ``read_documents`` are told apart by their ``path``, which
+    stays in the result."""
+    keys = [c for c in ("path",) if c in docs.columns]
+    return inverted_index(token_offsets(docs, doc, text, keep=keys), doc_col=doc, keys=keys)
+
+
+def inverted_index_files(lines_with_offsets: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``(word, file, path, posting_block, postings)`` from
+    ``read_lines_with_offsets``: the index of text files of any size, offsets
+    counted in bytes from the file start, a row for each ``block_bytes`` of a file."""
+    return inverted_index_blocks(lines_with_offsets, block_bytes)
 
 
 def top_k_employees(emps: DataFrame, k: int = 3, distinct: bool = False) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -94,6 +95,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getCheckpointDir() or configured
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name below the shared checkpoint folder, for tables and text that
+    one job writes and the next one reads. Executors share it, so the loss of
+    one costs no written row."""
+    folder = ensure_checkpoint_dir(spark)
+    if folder is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def tune_for_input(
     spark: SparkSession,
     input_bytes: int,

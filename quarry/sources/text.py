@@ -25,20 +25,25 @@ def read_lines(
 def read_documents(
     spark: SparkSession, path: str | list[str], doc_col: str = "doc", text_col: str = "text"
 ) -> DataFrame:
-    """One row per file: ``(doc, text)`` with the file's base name and its
-    whole content. Each file must fit in one row; for the byte offsets of
-    ``token_offsets`` this keeps line breaks inside the text."""
+    """One row per file: ``(doc, path, text)`` with the file's base name, its
+    path (which tells files of one base name apart) and its whole content. Each
+    file must fit in one row; for the byte offsets of ``token_offsets`` this
+    keeps line breaks inside the text."""
     return spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_name").alias(doc_col), F.col("value").alias(text_col)
+        F.col("_metadata.file_name").alias(doc_col),
+        F.col("_metadata.file_path").alias("path"),
+        F.col("value").alias(text_col),
     )
 
 
 def read_lines_with_offsets(
     spark: SparkSession, path: str | list[str], file_col: str = "file"
 ) -> DataFrame:
-    """``(file, path, block, off, value)``: every line of every file with the
-    byte offset of its first byte in its file, for files of any size (each
-    read in many splits).
+    """``(file, path, block, off, block_from, block_to, value)``: every line of
+    every file with the byte offset of its first byte in its file, for files of
+    any size (each read in many splits). ``block_from`` and ``block_to`` bound the
+    offsets that the lines of the split cover; a file's first split starts at 0
+    and its last one has no end (null).
 
     Lines are cut at ``\n`` only, so a ``\r`` before it stays in the line
     and every line occupies exactly ``octet_length(value) + 1`` bytes. The
@@ -81,15 +86,18 @@ def read_lines_with_offsets(
         "path",
         "block",
         F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("base"),
+        F.lead("block").over(in_file).isNull().alias("last"),
         (F.col("file_size") - F.sum("size").over(whole)).alias("unread"),
     )
     # both branches read the file's size, so they can share one exchange
-    marked = (F.col("unread") > 0) & (F.col("file_size") >= 3)
+    mark = F.when((F.col("unread") > 0) & (F.col("file_size") >= 3), 3).otherwise(0)
     return lines.join(bases, ["path", "block"]).select(
         F.substring_index("path", "/", -1).alias(file_col),
         "path",
         "block",
-        (F.col("base") + F.col("local") + F.when(marked, 3).otherwise(0)).alias("off"),
+        (F.col("base") + F.col("local") + mark).alias("off"),
+        F.when(F.col("base") > 0, F.col("base") + mark).otherwise(0).alias("block_from"),
+        F.when(~F.col("last"), F.col("base") + F.col("size") + mark).alias("block_to"),
         "value",
     )
 
