@@ -105,6 +105,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more. A remote session has no file
+    system of its own: there the folder stays."""
+    if _context(spark) is None:
+        return
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def tune_for_input(
     spark: SparkSession,
     input_bytes: int,

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.operators.graph import page_rank
 from quarry.operators.linalg import matrix_multiply
@@ -242,3 +243,74 @@ def test_matrix_values_keep_their_type(spark):
     assert matrix_multiply(m, m).first().v == 0.25
     with pytest.raises(TypeError):
         matrix_multiply(m.withColumn("v", m.v.cast("string")), m)
+
+
+def test_a_page_rank_round_leaves_the_edges_where_they_are(spark):
+    """The plan of a round: the bucketed edges are scanned into the join without an
+    exchange, nothing is cached, and every bucket is one file."""
+    from quarry.operators.graph import laid_out
+
+    el = [(0, t) for t in range(1, 400)] + [(t, (t * 7) % 400) for t in range(1, 400)] * 2
+    edges = spark.createDataFrame(el, "src long, dst long")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        layout = laid_out(edges, hot_fanout=50)
+        assert layout.edges.agg(F.sum("c")).first()[0] == len(el) and layout.edges.count() == 399 * 2
+        assert layout.edges.where("src = 0").select("salt").distinct().count() == 8
+        files = [f for f in layout.edges.inputFiles()]
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert len(files) == len({f.rsplit("_", 1)[1] for f in files}) <= buckets
+        ranks = layout.round(layout.round(layout.first(), 0.85), 0.85)
+        ranks.collect()
+        plan = ranks._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        layout.drop(spark)
+    finally:
+        spark.conf.set(key, old)
+    assert "Bucketed: true" in plan and f"SelectedBucketsCount: {buckets} out of {buckets}" in plan
+    assert "InMemoryTableScan" not in plan and "Scan ExistingRDD" not in plan
+    lines = plan.splitlines()
+    depth = lambda x: len(x) - len(x.lstrip(" :+-|"))
+    for at, line in enumerate(lines):
+        if "quarry_edges" in line:
+            above, d = [], depth(line)
+            for x in reversed(lines[:at]):  # from the scan up to its join
+                if depth(x) < d:
+                    above.append(x)
+                    d = depth(x)
+                    if "Join" in x:
+                        break
+            assert "SortMergeJoin" in above[-1] and not any("Exchange" in x for x in above), above
+
+
+def test_page_rank_hot_sources_by_broadcast_and_by_join(spark):
+    from quarry.operators.graph import page_table, salted_edges
+
+    el = [(0, t) for t in range(1, 60)] + [(t, (t * 7) % 60) for t in range(1, 60)] * 2
+    edges = spark.createDataFrame(el, "src long, dst long")
+    pages = page_table(edges, hot_fanout=8)
+    one, two = (sorted(map(tuple, salted_edges(edges, pages, limit).collect())) for limit in (1000, 0))
+    assert one == two and {s for x, s, _, _ in one if x == 0} == set(range(8)) and sum(c for *_, c in one) == len(el)
+
+
+def test_page_rank_counts_given_pages_only(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 1), (2, 9), (9, 1)], "src long, dst long")
+    pages = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    for every in (0, 2):
+        got = dict(rows(page_rank(edges, pages, 2, checkpoint_every=every)))
+        a = {1: 1 / 3, 2: 1 / 3, 3: 1 / 3}
+        for _ in range(2):
+            a = {1: 0.05 + 0.85 * a[2] / 2, 2: 0.05 + 0.85 * a[1], 3: 0.05}
+        assert got == pytest.approx(a, abs=1e-12)
+    assert page_rank(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def test_page_rank_leaves_only_its_result(spark):
+    """The tables of the rounds are deleted, the result is a scan of its own table."""
+    edges = spark.createDataFrame([(1, 2), (2, 1), (3, 1)], "src long, dst long")
+    before = {t.name for t in spark.catalog.listTables()}
+    df = page_rank(edges, None, 5)
+    assert {t.name for t in spark.catalog.listTables()} == before
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" in plan and "Join" not in plan and df.count() == 3
