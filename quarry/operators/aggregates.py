@@ -79,3 +79,20 @@ def assert_unique(df: DataFrame, key: str | Sequence[str]) -> None:
     dup = df.groupBy(*_keys(key)).count().filter(F.col("count") > 1).limit(1).collect()
     if dup:
         raise ValueError(f"duplicate key {dup[0].asDict()}")
+
+
+def unique_rows(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """``df``, checked inside the plan: a key that occurs twice raises while the query
+    runs (decision D18), so there is no job and no scan besides it. The rows are
+    grouped by the key, which a join on that key needs anyway. Null keys are
+    not looked at, as they join with nothing; columns come in their order."""
+    keys = _keys(key)
+    rest = [c for c in df.columns if c not in keys]
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    name = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    found = df.where(known).groupBy(*keys).agg(F.first(F.struct(F.lit(1), *rest)).alias("__row"), F.count(F.lit(1)).alias("__n"))
+    # a filter on the count: no optimiser rule can leave it out, whatever is read later
+    once = F.when(F.col("__n") == 1, True).otherwise(F.raise_error(F.concat(F.lit("duplicate key "), name)).cast("boolean"))
+    return found.where(once).select(*[c if c in keys else F.col(f"__row.{c}") for c in df.columns])

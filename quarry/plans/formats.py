@@ -4,7 +4,7 @@ DataFrame."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from quarry.sources.records import parse_delimited
 
@@ -40,8 +40,8 @@ def ratings(lines: DataFrame, mode: str = "fail") -> DataFrame:
     )
 
 
-def dispatches(lines: DataFrame, mode: str = "fail") -> DataFrame:
-    return parse_delimited(lines, ",", DISPATCH, empty_fields="skip", mode=mode)
+def dispatches(lines: DataFrame, mode: str = "fail", seen: Observation | None = None) -> DataFrame:
+    return parse_delimited(lines, ",", DISPATCH, empty_fields="skip", mode=mode, seen=seen)
 
 
 def videos(lines: DataFrame, mode: str = "fail") -> DataFrame:

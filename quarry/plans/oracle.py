@@ -138,6 +138,15 @@ order by nation desc, segment
 limit 10
 """
 
+ORACLE_SQL["top_k_large"] = """
+select l_quantity, l_partkey, l_orderkey, l_linenumber
+from lineitem
+order by l_quantity desc, l_partkey, l_orderkey, l_linenumber
+limit 20000
+"""
+ORACLE_SQL["matrix_multiply_tiles"] = ORACLE_SQL["matrix_multiply"]
+ORACLE_SQL["filtered_join_unique"] = ORACLE_SQL["filtered_join_avg_top_k"]
+
 _MOVIE_FILTER = "list_contains(string_split(p_name, ' '), 'ring')"
 
 TEXT_ORACLE_SQL = {
@@ -212,5 +221,50 @@ select word, file, (off - off % 262144)::bigint as posting_block,
        string_agg(file || ':' || off::varchar, ' ' order by off) as postings
 from postings
 group by word, file, posting_block
+""",
+    "word_count_files": rf"""
+with texts as (
+  select text from documents union all select text from benchmark union all select text from conversations
+)
+select word, count(*)::bigint as n
+from (select unnest(string_split_regex(text, '{_BLANK}+')) as word from texts) t
+where word <> ''
+group by word
+""",
+    "equi_join_files": TEXT_ORACLE_SQL["equi_join_text"],
+    "word_count_sorted_file": f"""
+with counts as ({ORACLE_SQL["word_count"]})
+select row_number() over (order by word) as pos, word || chr(9) || n::varchar as value from counts
+""",
+    "weekday_totals_file": """
+select l_suppkey::varchar || ',' || ['MON','TUE','WED','THU','FRI','SAT','SUN'][isodow(l_shipdate)] || ' '
+       || sum(l_quantity::bigint)::bigint::varchar || ',' || sum(l_linenumber)::bigint::varchar as value
+from lineitem
+group by l_suppkey, isodow(l_shipdate)
+""",
+    "list_item_count_file": f"""
+with counts as ({ORACLE_SQL["list_item_count"]})
+select row_number() over (order by item) as pos, '(' || item || ',' || n::varchar || ')' as value from counts
+""",
+    "top_k_file": f"""
+with best as ({TEXT_ORACLE_SQL["top_k_text"]})
+select row_number() over (order by salary, emp_id desc) as pos,
+       emp_id::varchar || '|' || dept_id || '|' || salary::varchar || '|' || emp_info as value
+from best
+""",
+    "weekday_totals_malformed": """
+with marked as (
+  select *, l_orderkey % 11 = 0 or l_orderkey % 13 = 0 or l_orderkey % 17 = 0
+            or l_orderkey % 19 = 0 or l_orderkey % 23 = 0 as spoiled
+  from lineitem
+), counts as (select count(*)::bigint as n_lines, count(*) filter (spoiled)::bigint as n_dropped from marked)
+select l_suppkey::varchar as base,
+       ['MON','TUE','WED','THR','FRI','SAT','SUN'][isodow(l_shipdate)] as day,
+       sum(l_quantity::bigint)::bigint as trips,
+       sum(l_linenumber)::bigint as vehicles,
+       n_lines, n_dropped
+from marked, counts
+where not spoiled
+group by 1, 2, n_lines, n_dropped
 """,
 }

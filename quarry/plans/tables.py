@@ -16,6 +16,8 @@ from quarry.plans import programs as P
 
 # Query parameters.
 TOP_K_ROWS = 10
+TOP_K_LARGE = 20_000
+TOP_K_RANKED = 2_000
 TOP_K_GROUPS = 3
 TOP_K_FILTERED = 10
 FILTER_WORD = "ring"
@@ -159,6 +161,34 @@ def top_k_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(pairs, TOP_K_ROWS, "nation", ties=["segment"], distinct=True)
 
 
+def top_k_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-k for a k beyond what one task ranks; the quantity has few values, so
+    many rows tie at the cut."""
+    lines = table(spark, sf_dir, "lineitem").select("l_quantity", "l_partkey", "l_orderkey", "l_linenumber")
+    return top_k(lines, TOP_K_LARGE, "l_quantity", ["l_partkey", "l_orderkey", "l_linenumber"], ranked_rows=TOP_K_RANKED)
+
+
+def matrix_multiply_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product of :func:`matrix_multiply` with entries joined tile by tile."""
+    ent = _embedding_entries(spark, sf_dir)
+    a = ent.select(F.col("d").alias("i"), F.col("vec_id").alias("j"), "v")  # E^T
+    b = ent.select(F.col("vec_id").alias("i"), F.col("d").alias("j"), "v")  # E
+    return P.multiply_tiles(a, b)
+
+
+def filtered_join_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`filtered_join_avg_top_k` with the movie ids checked inside the plan."""
+    movies = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("movie_id"),
+        F.col("p_name").alias("title"),
+        F.col("p_name").alias("genres"),
+    )
+    ratings = table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("movie_id"), F.col("l_quantity").alias("rating")
+    )
+    return P.filtered_join_avg_top_k(movies, ratings, FILTER_WORD, TOP_K_FILTERED, sep=" ", unique=True)
+
+
 QUERIES = {
     "word_count": word_count,
     "inverted_index_postings": inverted_index_postings,
@@ -173,4 +203,7 @@ QUERIES = {
     "filtered_join_avg_top_k": filtered_join_avg_top_k,
     "product_by_key": product_by_key,
     "top_k_distinct": top_k_distinct,
+    "top_k_large": top_k_large,
+    "matrix_multiply_tiles": matrix_multiply_tiles,
+    "filtered_join_unique": filtered_join_unique,
 }

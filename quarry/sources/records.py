@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,8 +49,15 @@ def _convert(raw: Column, dtype: T.DataType, mode: str, date_format: str) -> Col
     return raw.cast(dtype) if mode == "fail" else raw.try_cast(dtype)
 
 
-def _finish(df: DataFrame, names: list[str], mode: str) -> DataFrame:
+def _finish(df: DataFrame, names: list[str], mode: str, seen: Observation | None = None) -> DataFrame:
+    if seen is not None and mode != "drop":
+        raise ValueError("only mode='drop' drops lines that could be counted")
     if mode == "drop":
+        if seen is not None:
+            whole = F.lit(True)
+            for n in names:
+                whole = whole & F.col(n).isNotNull()
+            df = df.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(~whole).alias("dropped"))
         cond = None
         for n in names:
             c = F.col(n).isNotNull()
@@ -71,6 +78,7 @@ def parse_delimited(
     date_format: str = MDY,
     col: str = "value",
     keep: Sequence[str] = (),
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Split each line on the literal ``sep`` and build typed fields.
 
@@ -79,6 +87,12 @@ def parse_delimited(
     empty fields before counting positions, as a delimiter tokenizer does;
     ``"keep"`` counts them, as a positional split does (SURVEY D19).
     ``keep`` names input columns carried through (for example ``file``).
+
+    With ``seen``, an ``Observation``, ``mode="drop"`` also counts: once an action has
+    run, ``seen.get`` holds ``lines`` and ``dropped``, from the same pass
+    and with every field parsed, whichever are read later. Write the parsed rows with
+    that action: a write straight from the parser counts each task once, also
+    one that is tried again, while counts taken below a shuffle may repeat.
     """
     _check_mode(mode)
     if empty_fields not in ("keep", "skip"):
@@ -99,7 +113,7 @@ def parse_delimited(
             raw = trim_controls(raw)
         out.append(_convert(raw, f.dataType, mode, date_format).alias(f.name))
     res = staged.select(*keep, *out)
-    return _finish(res, [f.name for f in st.fields], mode)
+    return _finish(res, [f.name for f in st.fields], mode, seen)
 
 
 def parse_tokens(df: DataFrame, col: str = "value", out: str = "tokens") -> DataFrame:

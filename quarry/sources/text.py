@@ -11,17 +11,47 @@ from pyspark.sql import functions as F
 def read_lines(
     spark: SparkSession,
     path: str | list[str],
-    with_file: bool = False,
+    with_file: bool | str = False,
     file_col: str = "file",
+    recursive: bool = False,
 ) -> DataFrame:
     """One row per line (column ``value``); ``path`` may be a file, a directory
-    or a list of them. ``with_file`` adds the base name of the source file."""
-    df = spark.read.text(path)
+    or a list of them. ``with_file`` adds the base name of the source file, or its
+    whole path with ``"path"``; ``recursive`` reads folders below ``path`` too."""
+    if with_file not in (False, True, "path"):
+        raise ValueError("with_file must be False, True or 'path'")
+    df = (spark.read.option("recursiveFileLookup", "true") if recursive else spark.read).text(path)
     if with_file:
-        df = df.select("value", F.col("_metadata.file_name").alias(file_col))
+        name = "file_path" if with_file == "path" else "file_name"
+        df = df.select("value", F.col(f"_metadata.{name}").alias(file_col))
     return df
 
 
+def read_lines_in_order(
+    spark: SparkSession, path: str | list[str], pos_col: str = "pos"
+) -> DataFrame:
+    """``(pos, value)``: every line with its place, from 1, in the files' order by
+    path: the order in which a total sort wrote them.
+
+    As with byte offsets, a window numbers the lines inside a split and another,
+    over one row per split, adds the lines of all splits before it. The second one
+    is a single group, but of one small row for each split of the input.
+    """
+    raw = spark.read.option("lineSep", "\n").text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"),  # read order inside a task
+    )
+    lines = raw.repartition("path", "block")
+    per_split = lines.groupBy("path", "block").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("path", "block").rowsBetween(Window.unboundedPreceding, -1)
+    bases = per_split.select("path", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    nth = F.row_number().over(Window.partitionBy("path", "block").orderBy("seq"))
+    numbered = lines.select("value", "path", "block", nth.alias("nth"))
+    return numbered.join(bases, ["path", "block"]).select((F.col("base") + F.col("nth")).alias(pos_col), "value")
+
+
 def read_documents(
     spark: SparkSession, path: str | list[str], doc_col: str = "doc", text_col: str = "text"
 ) -> DataFrame:

@@ -314,3 +314,58 @@ def test_page_rank_leaves_only_its_result(spark):
     assert {t.name for t in spark.catalog.listTables()} == before
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Scan parquet" in plan and "Join" not in plan and df.count() == 3
+
+def test_tiles_equal_entries(spark):
+    """Exact on random sparse and dense matrices, with negative and repeated coordinates."""
+    import random
+
+    from quarry.operators.linalg import matrix_multiply_tiles
+
+    rnd = random.Random(9)
+    ta = [(rnd.randrange(-9, 30), rnd.randrange(-5, 40), rnd.randint(-9, 9)) for _ in range(400)]
+    tb = [(rnd.randrange(-5, 40), rnd.randrange(0, 25), rnd.randint(-9, 9)) for _ in range(400)]
+    a, b = (spark.createDataFrame(t, "i long, j long, v int") for t in (ta, tb))
+    want = {(r.i, r.j): r.v for r in matrix_multiply(a, b).collect()}
+    for tile in (1, 4, 7, 64):
+        got = {(r.i, r.j): r.v for r in matrix_multiply_tiles(a, b, tile=tile).collect()}
+        assert {k: v for k, v in got.items() if v} == {k: v for k, v in want.items() if v}
+        assert got.keys() >= want.keys()
+    with pytest.raises(ValueError):
+        matrix_multiply_tiles(a, b, tile=0)
+
+
+def test_tiles_make_fewer_rows_and_split_a_hot_index(spark):
+    """The rows that leave the join fall by the tile's size, and AQE splits a
+    contraction tile that holds a third of A."""
+    from quarry.operators.linalg import matrix_multiply_tiles, tile_products
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        # 2,000 rows of A have their entries in contraction indices 0 to 7, others elsewhere
+        a = spark.range(24_000).select(
+            F.when(F.col("id") < 16_000, F.floor(F.col("id") / 8)).otherwise(F.col("id") % 64).alias("i"),
+            F.when(F.col("id") < 16_000, F.col("id") % 8).otherwise(8 + F.col("id") % 320).alias("j"),
+            F.lit(1).cast("long").alias("v"),
+        )
+        b = spark.range(328 * 8).select(F.floor(F.col("id") / 8).alias("i"), (F.col("id") % 8).alias("j"), F.lit(2).cast("long").alias("v"))
+        out = matrix_multiply_tiles(a, b, tile=8)
+        got = {(r.i, r.j): r.v for r in out.collect()}
+        text = out._jdf.queryExecution().executedPlan().toString()
+        made = tile_products(a, b, tile=8).count()
+        want = {(r.i, r.j): r.v for r in matrix_multiply(a, b).collect()}
+        products = a.join(b.withColumnRenamed("i", "k").withColumnRenamed("v", "w").drop("j"), a.j == F.col("k")).count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == want
+    assert "skew=true" in text.replace(" ", "").lower() or "isskewjoin=true" in text.lower()
+    assert made * 8 <= products  # fewer still where a coordinate is stored twice

@@ -143,3 +143,21 @@ def test_equi_join_hot_key_is_split_by_aqe(spark):
     assert n == 30000
     assert "isFinalPlan=true" in plan
     assert "skew=true" in plan.replace(" ", "").lower() or "isskewjoin=true" in plan.lower(), plan
+
+
+def test_unique_rows_fail_inside_the_query(spark):
+    """A duplicate movie id fails the query itself; there is one scan of the movies."""
+    from quarry.operators.aggregates import unique_rows
+
+    movies = [("1", "m1", "Fantasy"), ("2", "m2", "Fantasy"), ("3", "m3", "Drama"), ("3", "other", "Drama"), (None, "x", "Fantasy"), (None, "y", "Fantasy")]
+    ratings = spark.createDataFrame([("1", 4.0), ("2", 5.0), ("2", 3.0)], "movie_id string, rating double")
+    m = spark.createDataFrame(movies, "movie_id string, title string, genres string")
+    df = P.filtered_join_avg_top_k(m, ratings, "Fantasy", 5, unique=True)
+    assert [tuple(r) for r in df.collect()] == [("1", "m1", 4.0), ("2", "m2", 4.0)]
+    twice = P.filtered_join_avg_top_k(m, ratings, "Drama", 5, unique=True)
+    with pytest.raises(Exception, match="duplicate key 3"):
+        twice.collect()
+    unread = unique_rows(spark.createDataFrame([(1, "a"), (1, "b")], "k int, s string"), "k").select("k")
+    with pytest.raises(Exception, match="duplicate key 1"):
+        unread.collect()
+    assert unique_rows(spark.createDataFrame([(1, None), (2, "b")], "k int, s string"), "k").orderBy("k").collect() == [(1, None), (2, "b")]
