@@ -51,11 +51,11 @@ def token_offsets(
     text_col: str = "text",
     word_col: str = "word",
     off_col: str = "off",
-    keep: Sequence[str] = (),
+    row_col: str | None = None,
 ) -> DataFrame:
     """``(word, doc, off)``: every whitespace token with the byte offset of its
-    first byte inside its document's text (SRC-7, decision D8). ``keep`` names
-    columns carried along, such as the path of the document's file.
+    first byte inside its document's text (SRC-7, decision D8). ``row_col`` adds a
+    column that tells documents of one name apart.
 
     The text is cut into pieces of "blanks, then one token", one piece per
     token. A token's offset is the running byte length of the pieces before
@@ -65,12 +65,10 @@ def token_offsets(
     not one row per token. A window group is one row, so documents that share a
     name are counted apart; the id that tells them apart lives inside a task.
     """
-    keep = [c for c in keep if c != doc_col]
-    docs = df.select(F.col(doc_col), *keep, F.col(text_col)).repartition(F.col(doc_col))
+    docs = df.select(F.col(doc_col), F.col(text_col)).repartition(F.col(doc_col))
     docs = docs.withColumn("row", F.monotonically_increasing_id())
     pieces = docs.select(
         F.col(doc_col),
-        *keep,
         "row",
         F.posexplode(gap_token_pieces(as_byte_chars(text_col))).alias("pos", "piece"),
     )
@@ -79,7 +77,8 @@ def token_offsets(
         .orderBy("pos")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return _piece_offsets(pieces, before, F.lit(0), word_col, [doc_col, *keep], off_col)
+    keep = [F.col(doc_col)] + ([F.col("row").alias(row_col)] if row_col else [])
+    return _piece_offsets(pieces, before, F.lit(0), word_col, keep, off_col)
 
 
 def _piece_offsets(pieces, before, base, word_col, keep, off_col) -> DataFrame:
@@ -158,8 +157,8 @@ def inverted_index(
     document. Concatenating a word's rows in document order gives its full
     posting line. Postings from ``token_offsets`` are already clustered by
     document, so this aggregate adds no shuffle. ``keys`` names further columns
-    that tell documents of one name apart (the path of a file); they stay in the
-    result.
+    that tell documents of one name apart (``row_col`` of ``token_offsets``); they
+    stay in the result.
     """
     doc = F.col(doc_col).cast("string")
     return postings.groupBy(word_col, doc_col, *keys).agg(

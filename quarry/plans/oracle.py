@@ -147,6 +147,15 @@ limit 20000
 ORACLE_SQL["matrix_multiply_tiles"] = ORACLE_SQL["matrix_multiply"]
 ORACLE_SQL["filtered_join_unique"] = ORACLE_SQL["filtered_join_avg_top_k"]
 
+ORACLE_SQL["filtered_join_zero_sums"] = """
+select p_partkey as id, p_name as title, avg(-l_quantity) as avg_rating
+from part join lineitem on p_partkey = l_partkey
+where list_contains(string_split(p_name, ' '), 'ring') and p_partkey % 3 <> 0
+group by p_partkey, p_name
+order by avg_rating desc, id
+limit 10
+"""
+
 _MOVIE_FILTER = "list_contains(string_split(p_name, ' '), 'ring')"
 
 TEXT_ORACLE_SQL = {

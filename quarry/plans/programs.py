@@ -40,10 +40,9 @@ def inverted_index_postings(docs: DataFrame, doc: str = "doc", text: str = "text
 
 def inverted_index_lines(docs: DataFrame, doc: str = "doc", text: str = "text") -> DataFrame:
     """``(word, doc, postings)``: ``doc:off`` pairs per word and document.
-    Documents from ``read_documents`` are told apart by their ``path``, which
-    stays in the result."""
-    keys = [c for c in ("path",) if c in docs.columns]
-    return inverted_index(token_offsets(docs, doc, text, keep=keys), doc_col=doc, keys=keys)
+    Documents that share a name (files of several folders) give a row each."""
+    postings = token_offsets(docs, doc, text, row_col="__row")
+    return inverted_index(postings, doc_col=doc, keys=["__row"]).drop("__row")
 
 
 def inverted_index_files(lines_with_offsets: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -146,6 +146,19 @@ def filtered_join_avg_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.filtered_join_avg_top_k(movies, ratings, FILTER_WORD, TOP_K_FILTERED, sep=" ")
 
 
+def filtered_join_zero_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`filtered_join_avg_top_k` with ratings of 0 for every third part and
+    below 0 for the others: the groups whose sum is 0 would all come first."""
+    movies = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("movie_id"),
+        F.col("p_name").alias("title"),
+        F.col("p_name").alias("genres"),
+    )
+    rating = F.when(F.col("l_partkey") % 3 == 0, F.lit(0.0)).otherwise(-F.col("l_quantity"))
+    ratings = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("movie_id"), rating.alias("rating"))
+    return P.filtered_join_avg_top_k(movies, ratings, FILTER_WORD, TOP_K_FILTERED, sep=" ")
+
+
 def product_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product of the line numbers of each order (the per-key product of the
     matrix program's first reducer, as a general aggregate)."""
@@ -206,4 +219,5 @@ QUERIES = {
     "top_k_large": top_k_large,
     "matrix_multiply_tiles": matrix_multiply_tiles,
     "filtered_join_unique": filtered_join_unique,
+    "filtered_join_zero_sums": filtered_join_zero_sums,
 }
