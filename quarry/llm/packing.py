@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.shared import written
-from quarry.llm.words import SPACED, list_array, word_batches
+from quarry.llm.words import SPACED, U64, list_array, word_batches
 
 LENGTH = 2048
 END = 0
@@ -58,35 +58,41 @@ def _between(data: np.ndarray) -> np.ndarray:
 
 
 class Vocabulary:
-    """Ids of words, remembered by the word's hash."""
+    """Ids of words, remembered by the word's hash: sorted arrays, some 30 bytes a
+    word, as they stay in a worker process after its task has ended."""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
         self._forget()
 
     def _forget(self):
-        self.place: dict[int, int] = {}
-        self.ids = np.empty(1 << 16, np.uint32)
-        self.bounds = [0]
+        self.hash = np.empty(0, U64)
+        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int32)
+        self.ids = np.empty(0, np.uint32)
+
+    def _learn(self, w, unique: np.ndarray, at: np.ndarray) -> None:
+        """Add the words of the hashes ``unique``, which first occur as words ``at``."""
+        texts = [w.data[w.start[i] : w.end[i]].tobytes().decode() for i in at.tolist()]
+        found = [np.array(one.ids, np.uint32) for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.array([len(x) for x in found], np.int32)
+        place = np.searchsorted(self.hash, unique)
+        start = len(self.ids) + np.concatenate([[0], np.cumsum(size[:-1], dtype=np.int64)])
+        self.hash, self.start, self.size = (np.insert(old, place, new) for old, new in ((self.hash, unique), (self.start, start), (self.size, size)))
+        self.ids = np.concatenate([self.ids, *found])
 
     def ids_of(self, w) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, ids a word) of all words of a slice."""
-        if len(self.place) > REMEMBERED:
+        if len(self.hash) > REMEMBERED:
             self._forget()
         unique, at, which = np.unique(w.hash, return_index=True, return_inverse=True)
-        new = [k for k, h in enumerate(unique.tolist()) if h not in self.place]
-        if new:
-            texts = [w.data[w.start[i] : w.end[i]].tobytes().decode() for i in at[new].tolist()]
-            for k, one in zip(new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                ids, end = one.ids, self.bounds[-1]
-                while end + len(ids) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-                self.ids[end : end + len(ids)] = ids
-                self.place[int(unique[k])] = len(self.bounds) - 1
-                self.bounds.append(end + len(ids))
-        bounds = np.array(self.bounds, np.int64)
-        place = np.fromiter((self.place[h] for h in unique.tolist()), np.int64, len(unique))
-        start, size = bounds[place][which], (bounds[place + 1] - bounds[place])[which]
+        place = np.searchsorted(self.hash, unique)
+        new = np.ones(len(unique), bool)
+        inside = place < len(self.hash)
+        new[inside] = self.hash[place[inside]] != unique[inside]
+        if new.any():
+            self._learn(w, unique[new], at[new])
+            place = np.searchsorted(self.hash, unique)
+        start, size = self.start[place][which], self.size[place][which].astype(np.int64)
         total = np.concatenate([[0], np.cumsum(size)])
         return self.ids[np.repeat(start - total[:-1], size) + np.arange(total[-1])], size
 
