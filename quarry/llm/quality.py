@@ -28,6 +28,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.words import slices
+
 SAMPLE_ROWS = 1500
 SAMPLE_CHARS = 4000
 DICTIONARY = 1 << 18
@@ -144,7 +146,9 @@ def kept(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         score = sent.value.scorer()
         for batch in batches:
-            yield batch.filter(pa.array([score(x.as_buffer().to_pybytes() if x.is_valid else b"") >= 0.5 for x in batch.column("text")], pa.bool_()))
+            for at, _, offsets in slices(batch.column("text")):  # whole texts go back: about a megabyte at a time
+                rows = batch.slice(at, len(offsets) - 1)
+                yield rows.filter(pa.array([score(x.as_buffer().to_pybytes() if x.is_valid else b"") >= 0.5 for x in rows.column("text")], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
