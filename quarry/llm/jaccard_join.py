@@ -146,7 +146,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def _members(docs: DataFrame) -> DataFrame:
     """(key, id, hub, size): the rows of every bucket that several ids share.
 
-    A task first compares about a million of its own keys. Of a bucket that
+    A task first compares about half a million of its own keys. Of a bucket that
     several of them share only the smallest id goes on to meet other tasks; the
     others have it as their hub, so a bucket of very many documents sends
     one row a task to one place."""

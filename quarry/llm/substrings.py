@@ -19,7 +19,7 @@ picks its own hash), so two equal windows pick the same key. Spark then
    each window's hash,
 3. removes the words of windows whose smallest id is smaller than their own.
 
-Before both shuffles a task compares about a million of its own rows: of a key
+Before both shuffles a task compares about half a million of its own rows: of a key
 or window that several of them hold only the smallest id is sent to meet other
 tasks, the rest is settled already and spread. A passage that a third of all
 documents share so sends a row or two a task, not one a document.

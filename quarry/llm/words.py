@@ -9,6 +9,7 @@ names in every task without any exchange.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -137,10 +138,20 @@ def slices(texts: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, np.ndarra
         at = to
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker process waits for further tasks, of
+    other stages too, beside those that run."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim:
+        trim(0)
+
+
 def word_batches(batch: pa.RecordBatch, word_bytes: np.ndarray, lower: bool, column: str = "text", cuts=None):
     """(rows of the slice as a record batch, its Words) for slices of a batch."""
     for at, data, offsets in slices(batch.column(column)):
         yield batch.slice(at, len(offsets) - 1), split(data, offsets, word_bytes, lower, cuts)
+    give_back()
 
 
 def named(data: np.ndarray, part: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -170,7 +181,7 @@ def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
-def flushed(arrays, limit: int = 1 << 20):
+def flushed(arrays, limit: int = 1 << 19):
     """Tuples of equally long arrays, gathered into tuples of about ``limit``
     rows: what a task looks at together before it shuffles anything."""
     held, size = [], 0
@@ -178,8 +189,11 @@ def flushed(arrays, limit: int = 1 << 20):
         held.append(one)
         size += len(one[0])
         if size >= limit:
-            yield tuple(np.concatenate(x) for x in zip(*held))
+            whole = tuple(np.concatenate(x) for x in zip(*held))
             held, size = [], 0
+            yield whole
+            del whole
+            give_back()
     if held:
         yield tuple(np.concatenate(x) for x in zip(*held))
 
