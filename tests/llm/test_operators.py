@@ -256,7 +256,7 @@ def test_empty_tables(spark):
 @pytest.mark.parametrize("name", sorted(k for k in ORACLE_SQL if k != "op2_jaccard_join"))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = QUERIES[name](spark, SF)
     want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({ORACLE_SQL[name]})").fetchall()
