@@ -11,15 +11,17 @@ long as that saves sequences.
 Cases: a null or empty text is ``END`` alone; repeated rows and null ids are
 packed like any other; an empty table gives no pieces; extra columns are
 ignored. A word is tokenised once a worker process and then looked up, for this
-tokenizer's words never reach over white space. A special token's string in a
-text (such as ``<|endoftext|>``) is ordinary text: ``encode_special_tokens`` is on, so
-that no text can bring in a control token. Where a text holds such a string, its ids
-differ from those of a plain call of the tokenizer.
+tokenizer's words never reach over white space. Ids are those of a plain call: a
+special token's string in a text (such as ``<|endoftext|>``) gives that token. A
+word that holds one is tokenised in one piece and remembered by its exact bytes,
+as such strings are found before the tokenizer lower-cases.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
+import re
 import sys
 import types
 import zlib
@@ -36,8 +38,8 @@ LENGTH = 2048
 END = 0
 #: Pieces that one task packs together.
 GROUP_ROWS = 1 << 16
-#: Dealing anew stops after so many rounds, or earlier when it saves nothing.
-ROUNDS = 4
+#: Dealing anew ends with the first round that saves nothing; numbers of rounds have this many bits.
+ROUND_BITS = 11
 #: Words whose ids a task remembers.
 REMEMBERED = 1 << 20
 
@@ -57,12 +59,56 @@ def _between(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def added_tokens(tokenizer) -> re.Pattern[bytes] | None:
+    """The strings that the tokenizer finds in a text as it stands."""
+    texts = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    if any(re.search(r"\s", t) for t in texts):
+        raise ValueError("an added token holds white space, so words cannot be tokenised one by one")
+    return re.compile(b"|".join(re.escape(t.encode()) for t in texts)) if texts else None
+
+
+def _found(data: np.ndarray, added: re.Pattern[bytes] | None) -> np.ndarray:
+    """Start and end of each added token's string in ``data``."""
+    return np.array([m.span() for m in added.finditer(data)] if added else [], np.int64).reshape(-1, 2)
+
+
+def _cuts(added: re.Pattern[bytes] | None):
+    """Where a word may be cut: as ``_between`` says, but not inside words that hold
+    an added token's string."""
+
+    def cuts(data: np.ndarray) -> np.ndarray:
+        out = _between(data)
+        found = _found(data, added)
+        if len(found):
+            blank = np.flatnonzero(~SPACED[data])
+            edges = np.concatenate([[-1], blank, [len(data)]])
+            at = np.unique(np.searchsorted(blank, found[:, 0]))
+            cover = np.zeros(len(data) + 1, np.int32)
+            np.add.at(cover, edges[at] + 1, 1)
+            np.add.at(cover, edges[at + 1], -1)
+            out &= np.cumsum(cover[:-1]) == 0
+        return out
+
+    return cuts
+
+
+def _exact(w, added: re.Pattern[bytes] | None) -> None:
+    """Name words that hold an added token's string by their exact bytes."""
+    found = _found(w.data, added)
+    if len(found) and len(w.start):
+        word = np.maximum(np.searchsorted(w.start, found[:, 0], "right") - 1, 0)
+        inside = (w.start[word] <= found[:, 0]) & (found[:, 1] <= w.end[word])
+        for i in np.unique(word[inside]).tolist():
+            w.hash[i] = int.from_bytes(hashlib.blake2b(w.data[w.start[i] : w.end[i]].tobytes(), digest_size=8).digest(), "little")
+
+
 class Vocabulary:
     """Ids of words, remembered by the word's hash: sorted arrays, some 30 bytes a
     word, as they stay in a worker process after its task has ended."""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
+        self.added = added_tokens(tokenizer)
         self._forget()
 
     def _forget(self):
@@ -109,12 +155,12 @@ def pieces(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, with_ids:
         # one vocabulary a worker process: its later tasks know the words of the earlier ones
         kept = sys.modules.setdefault("_quarry_vocabularies", types.ModuleType("_quarry_vocabularies")).__dict__
         if tokenizer_path not in kept:
-            tokenizer = Tokenizer.from_file(tokenizer_path)
-            tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-            kept[tokenizer_path] = Vocabulary(tokenizer)
+            kept[tokenizer_path] = Vocabulary(Tokenizer.from_file(tokenizer_path))
         vocabulary = kept[tokenizer_path]
+        cuts = _cuts(vocabulary.added)
         for batch in batches:
-            for rows, w in word_batches(batch, SPACED, True, cuts=_between):  # the tokenizer lower-cases as well
+            for rows, w in word_batches(batch, SPACED, True, cuts=cuts):  # the tokenizer lower-cases as well
+                _exact(w, vocabulary.added)
                 ids, size = vocabulary.ids_of(w)
                 total = np.concatenate([[0], np.cumsum(size)])
                 out: list[tuple] = []
@@ -194,7 +240,7 @@ def _packed(rows: DataFrame, number: int, capacity: int, group_rows: int) -> Dat
         gap = len(room) - lower_bound(lengths, capacity)
         group = int(table.column("group")[0].as_py())
         made = {
-            "sequence_id": pa.array(bins | (number << 56) | (group << 28)),
+            "sequence_id": pa.array(bins | (number << 52) | (group << 28)),
             "offset": pa.array(offsets),
             "room": pa.array(room[bins]),
             "gap": pa.array(np.full(len(bins), gap)),
@@ -208,7 +254,7 @@ def _packed(rows: DataFrame, number: int, capacity: int, group_rows: int) -> Dat
     return written(dealt.groupBy("group").applyInArrow(run, schema), "packed")
 
 
-def packed(rows: DataFrame, capacity: int = LENGTH, group_rows: int = GROUP_ROWS, rounds: int = ROUNDS) -> DataFrame:
+def packed(rows: DataFrame, capacity: int = LENGTH, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``rows`` (pieces, each with a number ``nth`` of its own, by which it is dealt)
     with their ``sequence_id`` and ``offset``."""
     names = rows.columns
@@ -216,7 +262,7 @@ def packed(rows: DataFrame, capacity: int = LENGTH, group_rows: int = GROUP_ROWS
     full = rows.where(F.col("length") >= capacity).withColumns({"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
     now = _packed(rows.where(F.col("length") < capacity), 0, capacity, group_rows)
     done = []
-    for number in range(1, rounds + 1):
+    for number in range(1, 1 << ROUND_BITS):
         loose = now.where("gap > 0 and room > 0")
         before = loose.select("sequence_id").distinct().count()
         if before < 2:

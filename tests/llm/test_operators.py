@@ -120,8 +120,10 @@ def test_packing_is_gapless_and_near_its_bound(spark):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     rows = [*ODD, *[(i, f"It's a ,,test... don't 'stop' <|endoftext|> {i} ÀB—c, Σας " * (i * 7)) for i in range(40)]]
+    marks = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "a.b", "'s", "é", "x", "<|", "endoftext|>", " ", "\n", "\u00a0"]
+    rnd = random.Random(8)
+    rows += [(100 + i, "".join(rnd.choices(marks, k=rnd.randint(1, 12)))) for i in range(300)] + [(500, "<|endo"), (501, "ftext|> a")]
     want = []
     for d, t in rows:
         ids = np.array([*plain.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
