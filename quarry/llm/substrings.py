@@ -16,9 +16,13 @@ picks its own hash), so two equal windows pick the same key. Spark then
 
 1. brings equal keys together and keeps those found under two ids,
 2. takes the windows that picked such a key, and finds the smallest id of
-   each window's hash,
+   each window, told apart by 95 bits of two hashes of its words,
 3. removes the words of windows whose smallest id is smaller than their own.
 
+Keys and windows belong to a (``doc_id``, ``tag``), the tag being 31 bits of the text's
+hash: rows that repeat an id with different texts have lists of their own, and
+equal rows share one list, so lists grow in proportion to the rows.
+
 Before both shuffles a task compares about half a million of its own rows: of a key
 or window that several of them hold only the smallest id is sent to meet other
 tasks, the rest is settled already and spread. A passage that a third of all
@@ -36,7 +40,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.words import SPACED, U64, Words, distinct_per_doc, first_of_key, flushed, gram_hash, mix, word_batches
@@ -150,48 +154,48 @@ def keys(w: Words, window: int = WINDOW, rounds: int = ROUNDS) -> tuple[np.ndarr
     return at, best
 
 
-def _tags(w: Words) -> np.ndarray:
-    """31 bits of each text, to tell rows that share a doc_id apart."""
-    total = np.concatenate([np.zeros(1, U64), np.cumsum(mix(w.hash) * (np.arange(len(w.hash), dtype=U64) * U64(2) + U64(1)), dtype=U64)])
-    base = w.first[:-1].astype(U64) * U64(2)
-    plain = np.concatenate([np.zeros(1, U64), np.cumsum(mix(w.hash), dtype=U64)])
-    a, b = w.first[:-1], w.first[1:]
-    return (mix((total[b] - total[a]) - base * (plain[b] - plain[a])) >> U64(33)).astype(np.int64)
+def _tag(text: Column | str = "text") -> Column:
+    """31 bits of a text, to tell rows that share a doc_id apart."""
+    return F.shiftrightunsigned(F.xxhash64(text), 33)
+
+
+def _tagged(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null").withColumn("tag", _tag())
 
 
 def removals(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, spots): every row that has a ``doc_id``, with the windows
-    to remove as ``tag << 32 | first word`` (null if none)."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
-    return docs.join(_spots(docs), "doc_id", "left").select("doc_id", "text", "spots")
+    """(doc_id, text, spots): every row that has a ``doc_id``, with the first words
+    of the windows to remove (null if none)."""
+    docs = _tagged(docs)
+    return docs.join(_spots(docs), ["doc_id", "tag"], "left").select("doc_id", "text", "spots")
 
 
 def _spots(docs: DataFrame) -> DataFrame:
-    """(doc_id, spots) of the documents that lose words."""
+    """(doc_id, tag, spots) of the documents that lose words."""
 
     def picked_keys(batches):
         for batch in batches:
             for rows, w in word_batches(batch, SPACED, False):
                 at, key = keys(w)
                 doc, key = distinct_per_doc(w.doc[at], key)  # neighbouring windows mostly pick one key
-                yield key, np.asarray(rows.column("doc_id"))[doc]
+                yield key, np.asarray(rows.column("doc_id"))[doc], np.asarray(rows.column("tag"))[doc]
 
     def emit_keys(batches):
-        for key, doc in flushed(picked_keys(batches)):
+        for key, doc, tag in flushed(picked_keys(batches)):
             low, several = first_of_key(key, doc)
             known = several & (doc != low)  # its key is shared already: it need not meet the others
-            route = np.where(known, mix(key ^ mix(doc.view(U64))), key)
+            route = np.where(known, mix(key ^ mix(doc.view(U64) ^ mix(tag.view(U64)))), key)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(route.view(np.int64)), pa.array(key.view(np.int64), mask=~known), pa.array(doc), pa.array(several)],
-                ["route", "key", "doc_id", "several"],
+                [pa.array(route.view(np.int64)), pa.array(key.view(np.int64), mask=~known), pa.array(doc), pa.array(tag << 1 | several)],
+                ["route", "key", "doc_id", "mark"],
             )
 
     same = Window.partitionBy("route")
     lists = (
-        docs.mapInArrow(emit_keys, "route long, key long, doc_id long, several boolean")
-        .withColumn("shared", F.max("several").over(same) | (F.min("doc_id").over(same) < F.max("doc_id").over(same)))
+        docs.mapInArrow(emit_keys, "route long, key long, doc_id long, mark long")  # mark: the tag, and whether several ids have the key
+        .withColumn("shared", (F.max(F.expr("mark & 1")).over(same) > 0) | (F.min("doc_id").over(same) < F.max("doc_id").over(same)))
         .where("shared")
-        .groupBy("doc_id")
+        .groupBy("doc_id", F.shiftright("mark", 1).alias("tag"))
         .agg(F.collect_set(F.coalesce("key", "route")).alias("keys"))
     )
 
@@ -199,7 +203,7 @@ def _spots(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for rows, w in word_batches(batch, SPACED, False):
                 at, key = keys(w)
-                doc, tags = w.doc[at], _tags(w)
+                doc, tags = w.doc[at], np.asarray(rows.column("tag"))
                 wanted = rows.column("keys")
                 flat = np.asarray(wanted.flatten(), np.int64).view(U64)
                 bound = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(wanted), np.int64))])
@@ -209,25 +213,26 @@ def _spots(docs: DataFrame) -> DataFrame:
                     a, b = first[d], first[d + 1]
                     take[a:b] = np.isin(key[a:b], flat[bound[d] : bound[d + 1]])
                 at, doc = at[take], doc[take]
-                yield gram_hash(w.hash, at, WINDOW, 9), np.asarray(rows.column("doc_id"))[doc], tags[doc] << 32 | (at - w.first[doc])
+                check = (gram_hash(w.hash, at, WINDOW, 13) >> U64(33)).astype(np.int64)
+                yield gram_hash(w.hash, at, WINDOW, 9), check, np.asarray(rows.column("doc_id"))[doc], tags[doc] << 32 | (at - w.first[doc])
 
     def emit_windows(batches):
-        for window, doc, spot in flushed(wanted_windows(batches)):
-            low, _ = first_of_key(window, doc)
+        for window, check, doc, spot in flushed(wanted_windows(batches)):
+            low, _ = first_of_key(window, doc, check)
             sure = doc != low  # a smaller id stands beside it
             route = np.where(sure, mix(window ^ mix(doc.view(U64) ^ mix(spot.view(U64)))), window)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(route.view(np.int64)), pa.array(doc), pa.array(spot), pa.array(sure)], ["route", "doc_id", "spot", "sure"]
+                [pa.array(route.view(np.int64)), pa.array(np.where(sure, -1, check)), pa.array(doc), pa.array(spot)], ["route", "check", "doc_id", "spot"]
             )
 
     return (
-        docs.join(lists, "doc_id")
-        .select("doc_id", "text", "keys")
-        .mapInArrow(emit_windows, "route long, doc_id long, spot long, sure boolean")
-        .withColumn("low", F.min("doc_id").over(same))
-        .where("sure or low < doc_id")
-        .groupBy("doc_id")
-        .agg(F.collect_list("spot").alias("spots"))
+        docs.join(lists, ["doc_id", "tag"])
+        .select("doc_id", "tag", "text", "keys")
+        .mapInArrow(emit_windows, "route long, check long, doc_id long, spot long")  # check: -1 if a smaller id is known
+        .withColumn("low", F.min("doc_id").over(Window.partitionBy("route", "check")))
+        .where("check < 0 or low < doc_id")
+        .groupBy("doc_id", F.shiftright("spot", 32).alias("tag"))
+        .agg(F.collect_set(F.expr("int(spot & 4294967295)")).alias("spots"))  # the first word is in the lower half
     )
 
 
@@ -235,10 +240,7 @@ def _removed(rows: pa.RecordBatch, w: Words, column: str = "spots") -> np.ndarra
     """Whether each word goes."""
     spots = rows.column(column)
     counts = np.asarray(pc.fill_null(pc.list_value_length(spots), 0), np.int64)
-    flat = np.asarray(spots.flatten(), np.int64)
-    doc = np.repeat(np.arange(rows.num_rows), counts)
-    own = (flat >> 32) == _tags(w)[doc]
-    at = w.first[doc[own]] + (flat[own] & 0xFFFFFFFF)
+    at = w.first[np.repeat(np.arange(rows.num_rows), counts)] + np.asarray(spots.flatten(), np.int64)
     cover = np.zeros(len(w.hash) + 1, np.int64)
     np.add.at(cover, at, 1)
     np.add.at(cover, at + WINDOW, -1)
@@ -278,8 +280,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with those words cut out of ``text``, each with the separators after
     it; other columns and texts that lose no word are unchanged. A row that
     loses all its words goes."""
-    columns, own = docs.columns, "_removed_windows"
-    spots = _spots(docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")).withColumnRenamed("spots", own)
+    columns, own, id_, tag = docs.columns, "_removed_windows", "_removed_id", "_removed_tag"
+    spots = _spots(_tagged(docs)).select(F.col("doc_id").alias(id_), F.col("tag").alias(tag), F.col("spots").alias(own))
 
     def run(batches):
         for batch in batches:
@@ -299,7 +301,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
                 column = rows.schema.get_field_index("text")
                 yield rows.set_column(column, rows.schema.field(column), pa.array(texts, rows.schema.field(column).type)).select(columns).filter(pa.array(keep))
 
-    joined = docs.join(spots, "doc_id", "left").select(*columns, own)
+    joined = docs.join(spots, (docs["doc_id"].cast("long") == F.col(id_)) & (_tag(docs["text"]) == F.col(tag)), "left").select(*[docs[c] for c in columns], own)
     return joined.mapInArrow(run, docs.schema)
 
 

@@ -204,14 +204,17 @@ def small_batches(batch: pa.RecordBatch, rows: int = 1 << 16) -> Iterator[pa.Rec
         yield batch.slice(at, rows)
 
 
-def first_of_key(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each row, in the order given: the smallest doc of its key, and
-    whether its key has several docs. Rows stay in text order, in which their
+def first_of_key(key: np.ndarray, doc: np.ndarray, more: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For each row, in the order given: the smallest doc of its key (``more`` is
+    a further part of it), and whether its key has several docs. Rows stay in text order, in which their
     docs and positions compress well in a shuffle."""
-    order = np.lexsort((doc, key))
+    order = np.lexsort((doc, key) if more is None else (doc, more, key))
     by_key, by_doc = key[order], doc[order]
     new = np.ones(len(key), bool)
     new[1:] = by_key[1:] != by_key[:-1]
+    if more is not None:
+        by_more = more[order]
+        new[1:] |= by_more[1:] != by_more[:-1]
     at = np.flatnonzero(new)
     group = np.cumsum(new) - 1
     last = np.append(at[1:], len(key)) - 1

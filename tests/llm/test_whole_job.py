@@ -6,7 +6,7 @@ import textwrap
 
 import numpy as np
 
-from quarry.llm import decontaminate, language, licenses, neighbours, packing
+from quarry.llm import decontaminate, language, licenses, neighbours, packing, substrings
 from tests.llm.test_operators import documents
 
 
@@ -113,3 +113,19 @@ def test_pieces_without_ids_are_dealt_out(spark):
     got = packing.documents_packed(docs, public_tokenizers.path("word_bpe_49k.json"), group_rows=50).collect()
     assert len(got) == 400 and "nth" not in got[0]
     assert max(collections.Counter(r.sequence_id >> 28 for r in got).values()) < 200
+
+
+def test_window_lists_grow_with_repeated_ids_in_proportion(spark):
+    rnd = random.Random(9)
+    passage = " ".join(rnd.choice("abcdefgh") + str(rnd.randint(0, 99)) for _ in range(60))
+    entries = {}
+    for m in (40, 80):
+        docs = documents(spark, [(1, passage)] + [(7, f"u{i} {passage} v{i}") for i in range(m)] + [(8, passage)] * m)
+        found = substrings.removals(docs).collect()
+        assert len(found) == 2 * m + 1
+        assert all((r.spots is None) == (r.doc_id == 1) for r in found)
+        assert all(sorted(r.spots) == list(range(int(r.doc_id == 7), int(r.doc_id == 7) + 48)) for r in found if r.doc_id > 1)
+        entries[m] = sum(len(r.spots or ()) for r in found)
+        own = substrings._spots(substrings._tagged(docs)).collect()
+        assert len(own) == m + 1  # the equal rows share one list
+    assert entries[80] == 2 * entries[40]
