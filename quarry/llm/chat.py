@@ -7,16 +7,17 @@ with the output before it rewrites history: the turn is flagged and its span
 starts where the two outputs part. A turn's text is located by rendering the
 prefix once more with a probe in place of the text.
 
-A long conversation is rendered in blocks of ``BLOCK_TURNS``. A block's
-prefixes start with the last turns before it (``CONTEXT``), and the first turn
-that was rendered both ways must have come out alike; a template for which it has not is
-rendered from the conversation's start instead. Memory follows the block, and
-the work the length of the conversation.
-
-Bound: once a block came out alike, later rewrites are seen only inside a block and
-its context. A template that changes something farther back later on (say, drops
-tool outputs older than 40 turns) is neither flagged nor rendered again for it. The
-default template never rewrites.
+Each turn says how much of the output before it ``kept`` stands, so cutting the
+output there and adding the turn's text gives the template's output exactly, of
+rewriting templates too (``joined``).
+
+A template is taken to depend on the whole history: every prefix is rendered from
+the conversation's start, which holds one conversation and costs the square of its
+turns. For a template known to look back no more than ``context`` turns, that number
+bounds both: a conversation is rendered in blocks of ``BLOCK_TURNS`` that start with
+the ``context`` turns before them. The first turn that was rendered both ways
+must have come out alike; otherwise the rest is rendered from the conversation's start.
+The default template never looks back, and its query says so.
 
 Cases: a null role or text counts as empty; rows without a ``conv_id`` are one
 conversation; turns that repeat a number are ordered by role and text; extra
@@ -36,6 +37,7 @@ Template = Callable[[list[tuple[str, str]]], str]
 
 BLOCK_TURNS = 32
 BLOCK_CHARS = 1 << 18
+#: Turns that a block of the default template starts with.
 CONTEXT = 2
 PROBE = "\x01probe\x02"
 MASKED_ROLE = "assistant"
@@ -109,12 +111,12 @@ def _common(a: str, b: str) -> int:
 class Rendering:
     """One conversation, rendered turn by turn."""
 
-    def __init__(self, template: Template):
-        self.template = template
+    def __init__(self, template: Template, look_back: int | None = None):
+        self.template, self.look_back = template, look_back
         self.turns: list[tuple[str, str]] = []  # of the block, after its context
         self.context: list[tuple[str, str]] = []
         self.whole: list[tuple[str, str]] | None = None  # kept once a block came out otherwise
-        self.last = ""
+        self.last, self.size = "", 0  # size: characters of the whole output
         self.piece: str | None = None  # what the newest turn added
 
     def add(self, role: str, text: str) -> dict:
@@ -128,13 +130,18 @@ class Rendering:
         probe = self.template(self.context + self.turns[:-1] + [(role, PROBE)])
         at = probe.rfind(PROBE)
         mask = (at - start, len(now) - (len(probe) - at - len(PROBE)) - start) if at >= start else (0, 0)
+        kept = self.size - (len(self.last) - start)
         self.last, self.piece = now, now[start:]
-        return {"added": self.piece, "mask": mask, "rewrote": rewrote}
+        self.size = kept + len(self.piece)
+        return {"added": self.piece, "mask": mask, "rewrote": rewrote, "kept": kept}
 
     def next_block(self) -> None:
         """Start a block: the last turns become its context."""
         done = self.context + self.turns
-        context = done[-CONTEXT:]
+        if not self.look_back:
+            self.context, self.turns = done, []
+            return
+        context = done[-self.look_back :]
         short = self.template(context)
         before = self.template(context[:-1])
         local = short.startswith(before) and short[len(before) :] == self.piece and self.whole is None
@@ -145,23 +152,26 @@ class Rendering:
         self.turns = []
 
 
-TURNS = "conv_id long, block int, text string, turns array<struct<role:string,start:long,end:long,mask_start:long,mask_end:long,rewrote:boolean>>"
+TURNS = "conv_id long, block int, text string, turns array<struct<role:string,start:long,end:long,mask_start:long,mask_end:long,rewrote:boolean,kept:long>>"
 
 
-def rendered(conversations: DataFrame, template: Template = instruct) -> DataFrame:
+def rendered(conversations: DataFrame, template: Template = instruct, context: int | None = None) -> DataFrame:
     """Per conversation and block: the text it adds to the output, and its
     turns with their spans in that text: the turn's, and its content's, which
-    is the loss mask of an assistant turn. The blocks of a conversation follow each other in one partition.
+    is the loss mask of an assistant turn. ``rewrote`` flags a turn before which history changed,
+    ``kept`` counts the characters of the output before it that stay. The blocks of a
+    conversation follow each other in one partition. ``context``: see the module; None
+    assumes nothing of the template.
 
     The rows of a conversation stream through one task in the order of their
     turns: a digest of a whole conversation is one sequential pass by its
-    definition, and no more than a block of it is held."""
+    definition. With a ``context`` no more than a block of it is held, else its turns."""
 
     def run(batches):
         now, state, block, out, turns, size = object(), None, 0, [], [], 0
 
         def flush():
-            kind = pa.list_(pa.struct([("role", pa.string()), *((c, pa.int64()) for c in ("start", "end", "mask_start", "mask_end")), ("rewrote", pa.bool_())]))
+            kind = pa.list_(pa.struct([("role", pa.string()), *((c, pa.int64()) for c in ("start", "end", "mask_start", "mask_end")), ("rewrote", pa.bool_()), ("kept", pa.int64())]))
             return pa.RecordBatch.from_arrays(
                 [pa.array([now], pa.int64()), pa.array([block], pa.int32()), pa.array(["".join(out)], pa.string()), pa.array([turns], kind)], ["conv_id", "block", "text", "turns"]
             )
@@ -171,7 +181,7 @@ def rendered(conversations: DataFrame, template: Template = instruct) -> DataFra
                 if state is None or conv != now:
                     if turns:
                         yield flush()
-                    now, state, block, out, turns, size = conv, Rendering(template), 0, [], [], 0
+                    now, state, block, out, turns, size = conv, Rendering(template, context), 0, [], [], 0
                 elif len(turns) >= BLOCK_TURNS or size >= BLOCK_CHARS:
                     yield flush()
                     state.next_block()
@@ -180,7 +190,7 @@ def rendered(conversations: DataFrame, template: Template = instruct) -> DataFra
                 start = size
                 size += len(one["added"])
                 out.append(one["added"])
-                turns.append({"role": role, "start": start, "end": size, "mask_start": start + one["mask"][0], "mask_end": start + one["mask"][1], "rewrote": one["rewrote"]})
+                turns.append({"role": role, "start": start, "end": size, "mask_start": start + one["mask"][0], "mask_end": start + one["mask"][1], "rewrote": one["rewrote"], "kept": one["kept"]})
         if turns:
             yield flush()
 
@@ -188,6 +198,15 @@ def rendered(conversations: DataFrame, template: Template = instruct) -> DataFra
     return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(run, TURNS)
 
 
+def joined(blocks: list) -> str:
+    """The template's output for a conversation, from its blocks in order."""
+    out = ""
+    for block in blocks:
+        for t in block["turns"]:
+            out = out[: t["kept"]] + block["text"][t["start"] : t["end"]]
+    return out
+
+
 def digest(blocks: DataFrame) -> DataFrame:
     """Per conversation, read back from the rendered text of the default
     template: its turns, the text under the loss mask and the output's size."""

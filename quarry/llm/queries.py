@@ -18,7 +18,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = "</s>[INST] ok [/INST]"
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], turns.schema)
-    return chat.digest(chat.rendered(turns.union(more)))
+    return chat.digest(chat.rendered(turns.union(more), context=chat.CONTEXT))
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

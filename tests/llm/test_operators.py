@@ -183,7 +183,9 @@ def test_smallest_capacity(spark):
 def test_chat_spans_blocks_and_rewrites(spark):
     turns = [("user", "a\\[<]"), ("assistant", "\\"), ("assistant", ""), ("sys]\\tem", "</s>[INST] ok [/INST]"), ("user", ""), (None, None)] * 30
     df = spark.createDataFrame([(1, i, r, t, 0) for i, (r, t) in enumerate(turns)] + [(None, 0, "user", "x", 0)], "conv_id long, turn int, role string, text string, block int")
-    got = {r.conv_id: r for r in chat.digest(chat.rendered(df)).collect()}
+    blocks = chat.rendered(df, context=chat.CONTEXT)
+    assert sorted(map(str, blocks.collect())) == sorted(map(str, chat.rendered(df).collect()))
+    got = {r.conv_id: r for r in chat.digest(blocks).collect()}
     clean = [(r or "", t or "") for r, t in turns]
     loss = "".join(t for r, t in clean if r == "assistant")
     assert got[1].n_turns == len(turns) and got[None].n_turns == 1 and got[1].rewrites == 0

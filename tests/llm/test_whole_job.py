@@ -6,7 +6,7 @@ import textwrap
 
 import numpy as np
 
-from quarry.llm import decontaminate, language, licenses, neighbours, packing, substrings
+from quarry.llm import chat, decontaminate, language, licenses, neighbours, packing, substrings
 from tests.llm.test_operators import documents
 
 
@@ -129,3 +129,25 @@ def test_window_lists_grow_with_repeated_ids_in_proportion(spark):
         own = substrings._spots(substrings._tagged(docs)).collect()
         assert len(own) == m + 1  # the equal rows share one list
     assert entries[80] == 2 * entries[40]
+
+
+def test_rewrites_of_turns_far_back(spark):
+    turns = [(("user", "tool", "assistant")[i % 3], f"text {i} " * (1 + i % 4)) for i in range(100)]
+
+    def drops_old_tools(now):
+        return "".join(f"[{role}]{text}" for i, (role, text) in enumerate(now) if role != "tool" or i >= len(now) - 40)
+
+    rows = [(1, i, role, text) for i, (role, text) in enumerate(turns)] + [(2, i, role, text) for i, (role, text) in enumerate(turns[:35])]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    blocks = chat.rendered(df, drops_old_tools).orderBy("conv_id", "block").collect()
+    for conv, own in ((1, turns), (2, turns[:35])):
+        mine = [b for b in blocks if b.conv_id == conv]
+        assert chat.joined(mine) == drops_old_tools(own)
+        flags = [t.rewrote for b in mine for t in b.turns]
+        want = [n > 1 and not drops_old_tools(own[:n]).startswith(drops_old_tools(own[: n - 1])) for n in range(1, len(own) + 1)]
+        assert flags == want and any(flags) == (conv == 1)
+
+
+def test_chat_of_no_turns(spark):
+    empty = spark.createDataFrame([], "conv_id long, turn int, role string, text string")
+    assert chat.digest(chat.rendered(empty, context=chat.CONTEXT)).count() == 0
