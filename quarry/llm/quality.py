@@ -7,8 +7,9 @@ logistic curve, fitted on labelled rows outside the dictionaries, makes that a
 probability; the labels weigh halfway between their shares in all labelled rows
 and equal parts, so that the rarer label is not given up.
 
-The fit reads a bounded sample: of either label the ``SAMPLE_ROWS`` rows with the
-smallest hash of their id, and of each ``SAMPLE_CHARS`` characters at most. Scoring
+The fit reads a bounded sample of labelled rows whole: of either label the
+``SAMPLE_ROWS`` ids with the smallest hash (of a repeated id the smallest text). In that order texts go into their
+label's dictionary while they fit it, long ones excepted; all others fit the curve. Scoring
 reads every text whole.
 
 Cases: a null or empty text scores the share of good rows among the labelled; with
@@ -31,14 +32,13 @@ from pyspark.sql import functions as F
 from quarry.llm.words import slices
 
 SAMPLE_ROWS = 1500
-SAMPLE_CHARS = 4000
 DICTIONARY = 1 << 18
 LEVEL = 9
 BLOCK = 256
 #: Bytes added to both sizes, so that very short texts decide less.
 STEADY = 16
-#: Bytes of a sampled text that go into a dictionary.
-PIECE = 2000
+#: A text in a dictionary takes at most this part of it, unless all are longer.
+PART = 64
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
@@ -91,20 +91,35 @@ def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float]
     return float(w[0] / scale), float(w[1])
 
 
+def _parted(texts: list[bytes], size: int) -> tuple[list[bytes], list[bytes]]:
+    """The texts of a dictionary of about ``size`` bytes, and the others: neither is empty
+    if there are two texts or more and ``size`` is at most half their bytes."""
+    for most in (DICTIONARY // PART, size):
+        known, rest, left = [], [], size
+        for t in texts:
+            fits = len(t) <= min(left, most)
+            (known if fits else rest).append(t)
+            left -= len(t) * fits
+        if known:
+            return known, rest
+    shortest = min(range(len(texts)), key=lambda i: len(texts[i]))
+    return [texts[shortest]], texts[:shortest] + texts[shortest + 1 :]
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     labels = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("doc_id is not null")
     order = F.xxhash64("doc_id")
     picked = None
     for label in (0, 1):  # SAMPLE_ROWS ids of each label
-        one = labels.where(F.col("quality") == label).orderBy(order, "doc_id").limit(SAMPLE_ROWS)
+        one = labels.where(F.col("quality") == label).distinct().orderBy(order, "doc_id").limit(SAMPLE_ROWS)
         picked = one if picked is None else picked.union(one)
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(picked), "doc_id")
         .where("text is not null")
-        .select("doc_id", "quality", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-        .limit(2 * SAMPLE_ROWS)
+        .groupBy("doc_id", "quality")
+        .agg(F.min("text").alias("text"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
         .collect()
     )
     texts = {k: [r.text.encode() for r in rows if r.quality == k and r.text] for k in (0, 1)}
@@ -113,13 +128,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     prior = share.get(1, 0) / sum(share.values()) if share else 0.5
     if min(n.values()) < 2:
         return Model(b"", b"", 0.0, 0.0, prior)
-    # pieces from inside the texts of one half, as many bytes for either label
-    pieces = {k: b"\n".join(x[len(x) // 3 :][:PIECE] for x in v[: (len(v) + 1) // 2]) for k, v in texts.items()}
-    size = min(DICTIONARY, *map(len, pieces.values()))
-    dictionaries = {k: v[:size] for k, v in pieces.items()}
+    size = min(DICTIONARY, *(sum(map(len, v)) // 2 for v in texts.values()))
+    parted = {k: _parted(v, size) for k, v in texts.items()}
+    dictionaries = {k: b"\n".join(v) for k, (v, _) in parted.items()}
     model = Model(dictionaries[1], dictionaries[0], 1.0, 0.0, prior)
     one, two = (zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for d in (model.good, model.bad))
-    rest = [(x, k) for k, v in texts.items() for x in v[(len(v) + 1) // 2 :]]
+    rest = [(x, k) for k, (_, v) in parted.items() for x in v]
     x = np.array([difference(one, two, t) for t, _ in rest])
     model.slope, model.offset = _logistic(x, np.array([k for _, k in rest], float), (prior + 0.5) / 2)
     return model
