@@ -5,9 +5,10 @@ parsed greedily: a phrase is the longest match that the automaton still
 follows, and the next phrase starts where it ends. The language whose text
 yields the fewest phrases for the text's length wins.
 
-The automata are fitted on a bounded sample: of each language the
-``SAMPLE_ROWS`` rows with the smallest hash of their id, at most
-``ROW_CHARS`` characters of each and ``SAMPLE_CHARS`` in all. Every character
+The automata are fitted on a bounded sample of rows, read whole: of each
+language the ``SAMPLE_ROWS`` rows (equal ones once) with the smallest hash of id and text, of those
+with up to ``ROW_CHARS`` characters; where these are too few, the shortest of
+the others join them. Every character
 of the samples is told apart; the ``LETTERS`` most frequent ones have a column
 in a dense table, the others' transitions are searched in a sorted list. Only
 a character of no sample is unknown, and ends a phrase. Prediction reads
@@ -31,9 +32,9 @@ from pyspark.sql import functions as F
 
 from quarry.llm.quality import held_out
 
-SAMPLE_ROWS = 200
-ROW_CHARS = 1000
-SAMPLE_CHARS = 30_000
+SAMPLE_ROWS = 100
+#: Rows up to this length are preferred for the sample.
+ROW_CHARS = 1500
 #: Characters with a column of their own.
 LETTERS = 63
 RUN = 256
@@ -97,20 +98,23 @@ class Model:
 
     def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
-        joined = {k: "\n".join(x[:ROW_CHARS] for x in map(normal, samples[k]))[:SAMPLE_CHARS] for k in self.languages}
+        joined = {k: "\n".join(map(normal, samples[k])) for k in self.languages}
         seen = Counter(c for t in joined.values() for c in t)
         self.width = LETTERS + 1
         self.letters = {c: i + 1 for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0])))}
         self.size = len(self.letters) + 1
         tables, self.roots, at = [], [], 0
         keys, values = [], []
-        self.fresh = np.zeros((len(self.languages), self.size), np.int32)
+        # an automaton has fewer than two states a character
+        kind = np.int32 if sum(2 * len(t) + 2 for t in joined.values()) * self.width * 2 < 2**31 else np.int64
+        self.fresh = np.zeros((len(self.languages), self.size), kind)
         for n, k in enumerate(self.languages):
             step = transitions([self.letters[c] for c in joined[k]])
             t = _table(step, self.width)
             fresh = np.maximum(t[0], 0)  # after a phrase's end; a character that the language lacks starts none
+            t, fresh = t.astype(np.int64), fresh.astype(np.int64)
             value = np.where(t >= 0, (at + t) * self.width * 2, (at + fresh) * self.width * 2 + 1)
-            tables.append(value.astype(np.int32))
+            tables.append(value.astype(kind))
             self.fresh[n] = at * self.width * 2 + 1
             for c, to in step[0].items():
                 self.fresh[n, c] = (at + to) * self.width * 2 + 1
@@ -121,9 +125,9 @@ class Model:
                         values.append((at + to) * self.width * 2)
             self.roots.append(at * self.width)
             at += len(t)
-        self.table = np.concatenate(tables).ravel() if tables else np.empty(0, np.int32)
+        self.table = np.concatenate(tables).ravel() if tables else np.empty(0, kind)
         order = np.argsort(np.array(keys, np.int64))
-        self.keys, self.values = np.array(keys, np.int64)[order], np.array(values, np.int32)[order]
+        self.keys, self.values = np.array(keys, np.int64)[order], np.array(values, kind)[order]
         self.code = np.zeros(0x110000, np.int32)  # of each code point; 0 is unknown
         for c, i in self.letters.items():
             self.code[ord(c)] = i
@@ -148,7 +152,7 @@ class Model:
         size = np.minimum(bounds[owner + 1] - start, RUN)
         order = np.argsort(-size, kind="stable")
         start, size, owner = start[order], size[order], owner[order]
-        state = np.repeat(np.array(self.roots, np.int32)[:, None], len(start), axis=1)
+        state = np.repeat(np.array(self.roots, self.table.dtype)[:, None], len(start), axis=1)
         count = np.ones(state.shape, np.int32)
         live = len(start)
         for t in range(RUN):
@@ -185,14 +189,16 @@ class Model:
 def fit(docs: DataFrame) -> Model:
     """Learns from ``text`` and ``lang`` of the rows given."""
     rows = docs.where("lang is not null and text is not null and length(text) > 0").select(
-        "lang", F.xxhash64("doc_id", "text").alias("place"), F.substring("text", 1, ROW_CHARS).alias("text")
+        "lang", "text", F.xxhash64("doc_id", "text").alias("place"), F.greatest(F.length("text") - ROW_CHARS, F.lit(0)).alias("beyond")
     )
-    # every task keeps its own first rows before they meet (32 bits are enough to deal them)
-    spread = Window.partitionBy("lang", "deal").orderBy("place", "text")
-    rows = rows.withColumn("deal", F.pmod("place", F.lit(256))).withColumn("nth", F.row_number().over(spread)).where(F.col("nth") <= SAMPLE_ROWS)
-    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))).where(F.col("nth") <= SAMPLE_ROWS)
+    # every part of a language keeps its own first rows before they meet, as numbers alone
+    numbers = rows.select("lang", "place", "beyond").distinct().withColumn("deal", F.pmod("place", F.lit(256)))
+    for part in (["lang", "deal"], ["lang"]):
+        first = Window.partitionBy(*part).orderBy("beyond", "place")
+        numbers = numbers.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= SAMPLE_ROWS)
+    rows = rows.join(F.broadcast(numbers.select("lang", "place")), ["lang", "place"]).dropDuplicates(["lang", "place"])
     samples: dict[str, list[str]] = {}
-    for r in rows.orderBy("lang", "place", "text").collect():
+    for r in rows.select("lang", "place", "text").orderBy("lang", "place").collect():
         samples.setdefault(r.lang, []).append(r.text)
     return Model(samples)
 
