@@ -7,7 +7,10 @@ first and after the last fitting one do not count. A span is compressed alone
 and with its template as a raw zstandard dictionary; of spans that overlap, the
 one whose template takes most bytes off is the notice. Words are compared in
 lower case without the marks around them, and the missing and added ones are
-reported. A span that lacks the word that names the license is no notice of it.
+reported. What tells licenses apart must agree exactly: a span is no notice of a
+license if it lacks one of the template's identifying words (its name, its version,
+the third BSD clause) or adds one that names another license or denies it, nor if
+the sentence denies it in the four words before the span.
 
 Cases: a null or empty text, or one without a trigger word, gives no row; several
 notices of a text give a row each, also on one line; very long lines are compared
@@ -28,7 +31,8 @@ from pyspark.sql import functions as F
 
 MIT_GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
 MIT_REST = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
-BSD_GRANT = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+BSD_GRANT = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+BSD_THIRD = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
 BSD_REST = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 #: Notices as they are commonly worded (fixed values).
 TEMPLATES = {
@@ -58,22 +62,69 @@ TEMPLATES = {
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
+        BSD_GRANT + " " + BSD_THIRD,
+        BSD_GRANT + " " + BSD_THIRD + " " + BSD_REST,
+    ),
+    "BSD-2-Clause": (
+        "Released under the BSD 2-Clause License.",
         BSD_GRANT,
         BSD_GRANT + " " + BSD_REST,
     ),
+    "BSD": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",),
+    "ISC": (
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    ),
+    "LGPL-2.1": ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",),
+    "LGPL-3.0": ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",),
+    "AGPL-3.0": ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",),
+    "Apache-1.1": ("Licensed under the Apache License, Version 1.1.", "The Apache Software License, Version 1.1"),
+    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "CC-BY-3.0": ("Licensed under CC BY 3.0.", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+    "CC0-1.0": ("Released under CC0 1.0.", "Licensed under CC0 1.0 Universal."),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
 }
+#: Identifiers of the SPDX line, each with the license that it means (fixed values).
+IDENTIFIERS = {
+    "BSD-3-Clause": "BSD-3-Clause", "BSD-2-Clause": "BSD-2-Clause", "ISC": "ISC", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0",
+    "CC-BY-4.0": "CC-BY-4.0", "CC-BY-3.0": "CC-BY-3.0", "CC-BY-SA-4.0": "CC-BY-SA-4.0", "CC-BY-NC-4.0": "CC-BY-NC-4.0", "Apache-1.1": "Apache-1.1",
+    "GPL-2.0-only": "GPL-2.0", "GPL-2.0-or-later": "GPL-2.0", "GPL-3.0-only": "GPL-3.0", "LGPL-2.1-only": "LGPL-2.1", "LGPL-2.1-or-later": "LGPL-2.1",
+    "LGPL-3.0-only": "LGPL-3.0", "LGPL-3.0-or-later": "LGPL-3.0", "AGPL-3.0-only": "AGPL-3.0", "AGPL-3.0-or-later": "AGPL-3.0",
+}
+for _identifier, _license in IDENTIFIERS.items():
+    TEMPLATES[_license] += (f"SPDX-License-Identifier: {_identifier}",)
 #: Words that name a license: a template's must be in the notice.
 NAMES = {
     "MIT": {"mit"},
-    "Apache-2.0": {"apache", "apache-2.0"},
-    "GPL-3.0": {"gnu", "gpl-3.0-or-later"},
+    "Apache-2.0": {"apache"},
+    "Apache-1.1": {"apache"},
+    "GPL-3.0": {"gnu"},
+    "GPL-2.0": {"gnu"},
+    "LGPL-2.1": {"gnu", "lesser"},
+    "LGPL-3.0": {"gnu", "lesser"},
+    "AGPL-3.0": {"gnu", "affero"},
     "CC-BY-NC-4.0": {"by-nc", "attribution-noncommercial"},
+    "CC-BY-SA-4.0": {"by-sa", "attribution-sharealike"},
     "CC-BY-4.0": {"by", "attribution"},
-    "BSD-3-Clause": {"bsd"},
+    "CC-BY-3.0": {"by", "attribution"},
+    "BSD-3-Clause": {"bsd", "neither", "endorse"},
+    "BSD-2-Clause": {"bsd"},
+    "ISC": {"isc"},
     "MPL-2.0": {"mozilla"},
 }
+#: Words that a notice cannot have beyond its template's: they deny it or name another license.
+CONTRARY = {
+    "not", "never", "neither", "lesser", "library", "affero", "gnu", "apache", "mozilla", "mit", "bsd", "isc", "unlicense",
+    "by-nc", "by-sa", "by-nd", "by-nc-sa", "by-nc-nd", "noncommercial", "sharealike", "noderivatives",
+    "attribution-noncommercial", "attribution-sharealike", "attribution-noderivatives", "attribution-noncommercial-sharealike",
+}
+DENIED = re.compile(r"(?i)\b(?:not|never|neither|nor)\b|n['\u2019]t\b")
+#: Ends of a sentence or a paragraph.
+STOP = re.compile(r"[.!?;:](?=\s)|\n\W*\n")
 WORD = r"[^\W_]+(?:[-.'/][^\W_]+)*"
 TRIGGER_WORD = "licen[cs]|permission|copyright|redistribut|spdx"
 #: Texts that can hold a trigger; "free software" are two words.
@@ -120,7 +171,8 @@ class Template:
     def __init__(self, license: str, text: str):
         self.license, self.words = license, wording(text)
         self.distinct = set(self.words)
-        self.names = self.distinct & NAMES.get(license, set())
+        # numbers are versions, but for those of a list's items
+        self.names = self.distinct & NAMES.get(license, set()) | {w for w in self.distinct if re.search(r"\d", w) and not ("redistributions" in self.distinct and w.isdigit())}
         self.most = int(DIFFERENT * len(self.words))
         data = zstandard.ZstdCompressionDict(" ".join(self.words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.packer = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, dict_data=data)
@@ -191,6 +243,12 @@ def changes(wanted: list[str], words: list[str]) -> tuple[list[str], list[str]]:
     return missing[::-1], added[::-1]
 
 
+def _denied(text: str, start: int) -> bool:
+    """Whether the sentence denies what follows at ``start`` within four words."""
+    before = STOP.split(text[max(0, start - 80) : start])[-1]
+    return bool(DENIED.search(" ".join(before.split()[-4:])))
+
+
 class Matcher:
     def __init__(self, templates: dict[str, tuple[str, ...]]):
         self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
@@ -203,6 +261,8 @@ class Matcher:
         for words, starts, hits in spans(text, self.reach):
             for one in self._of(words, hits):
                 start = starts[one.pop("first")]
+                if _denied(text, start):
+                    continue
                 line, at = line + text.count("\n", at, start), start
                 out.append(one | {"block": line})
         return out
@@ -222,9 +282,11 @@ class Matcher:
         taken, out = bytearray(len(words)), []
         for _, apart, i, a, b, reduction in sorted(options):  # the largest reduction first
             if not any(taken[a:b]):
-                taken[a:b] = b"\1" * (b - a)
                 t = self.known[i]
                 missing, added = changes(t.words, words[a:b]) if apart else ([], [])
+                if t.names & set(missing) or CONTRARY & set(added):
+                    continue
+                taken[a:b] = b"\1" * (b - a)
                 out.append({"first": a, "license": t.license, "reduction": reduction, "missing": missing, "added": added})
         return sorted(out, key=lambda x: x["first"])
 

@@ -5,8 +5,9 @@ import random
 import textwrap
 
 import numpy as np
+import zstandard
 
-from quarry.llm import chat, decontaminate, language, licenses, neighbours, packing, substrings
+from quarry.llm import chat, decontaminate, language, licenses, neighbours, packing, quality, substrings
 from tests.llm.test_operators import documents
 
 
@@ -151,3 +152,88 @@ def test_rewrites_of_turns_far_back(spark):
 def test_chat_of_no_turns(spark):
     empty = spark.createDataFrame([], "conv_id long, turn int, role string, text string")
     assert chat.digest(chat.rendered(empty, context=chat.CONTEXT)).count() == 0
+
+
+def _marked(rnd, label, n):
+    words = [("fine", "bad")[label == 0] + str(i) for i in range(80)] + [f"word{i}" for i in range(80)]
+    return " ".join(rnd.choices(words, k=n))
+
+
+def test_quality_scores_by_brute_force(spark):
+    rnd = random.Random(11)
+    rows = [(i, _marked(rnd, i % 2, rnd.choice([30, 90, 2000]))) for i in range(60)] + [(None, "fine1 bad1"), (200, None), (201, ""), (0, "zzz"), (0, "zzz")]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2, "x") for i in range(40)] + [(3, 1, "y"), (None, 1, "z"), (41, 7, "z")], "doc_id long, quality int, text string")
+    model = quality.fit(docs, labels)
+    first = {}
+    for d, t in rows:
+        if d is not None and d < 40:
+            first[d] = min(t, first.get(d, t))
+    for label, known in ((1, model.good), (0, model.bad)):
+        own = [first[d] for d in first if d % 2 == label]
+        inside = [t for t in own if t.encode() in known]
+        assert 0 < len(inside) < len(own) and len(known) == sum(len(t.encode()) for t in inside) + len(inside) - 1  # whole texts alone
+    packers = [zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for d in (model.good, model.bad)]
+    got = sorted(((r.doc_id, r.score, r.predicted) for r in quality.scored(docs, model).collect()), key=str)
+    want = []
+    for d, t in rows:
+        raw = (t or "").encode()
+        good, bad = (sum(len(p.compress(raw[i : i + 256])) for i in range(0, len(raw), 256)) for p in packers)
+        score = 1 / (1 + np.exp(-np.clip(model.slope * (bad - good) / (good + bad + quality.STEADY) + model.offset, -30, 30))) if raw else model.prior
+        want.append((d, float(score), int(score >= 0.5)))
+    assert [(d, p) for d, _, p in got] == [(d, p) for d, _, p in sorted(want, key=str)]
+    assert np.allclose(sorted(x for _, x, _ in got), sorted(x for _, x, _ in want), rtol=1e-12)
+    assert np.mean([p == d % 2 for d, _, p in got if d is not None and 0 < d < 60]) > 0.9
+
+
+def test_language_sample_is_whole_rows_told_apart(spark):
+    long = "a" * 4000 + " zebra quiz"
+    rows = [(1, long, "xx")] * 300 + [(2, "only here", "xx"), (3, None, "xx"), (4, "", "xx"), (5, "lost", None), (None, "autre", "yy")]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["xx", "yy"]
+    x, y = model.phrases(["zebra quiz", "only here"])[:, 0]
+    assert (x, y) == (1, 1)
+
+
+def test_licenses_close_to_each_other(spark):
+    bsd2, bsd3 = (licenses.TEMPLATES[k] for k in ("BSD-2-Clause", "BSD-3-Clause"))
+    header = "This program is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+    notices = [
+        (bsd2[2], "BSD-2-Clause"),
+        (bsd3[2], "BSD-3-Clause"),
+        (header.format(";", "", ";", 2), "GPL-2.0"),
+        (header.format(":", "", ",", 3), "GPL-3.0"),
+        (header.format(";", "Lesser ", ";", "2.1").replace("program", "library"), "LGPL-2.1"),
+        (header.format(":", "Affero ", ",", 3), "AGPL-3.0"),
+        ("The Apache Software License, Version 1.1", "Apache-1.1"),
+        ("Licensed under the Apache License, Version 1.1.", "Apache-1.1"),
+        ("Licensed under CC BY 3.0.", "CC-BY-3.0"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+        ("This work is licensed under a Creative Commons Attribution 2.5 License.", None),
+        ("This was not released under the MIT License.", None),
+        ("This work is not licensed under the GNU General Public License, version 3.", None),
+        ("It isn't released under the MIT License.", None),
+        ("Do not remove this. Released under the MIT License.", "MIT"),
+        (licenses.TEMPLATES["ISC"][1], "ISC"),
+        ("SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0"),
+        ("SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1"),
+        ("SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"),
+        ("SPDX-License-Identifier: GPL-3.0-only", "GPL-3.0"),
+    ]
+    found = licenses.notices(documents(spark, list(enumerate(t for t, _ in notices)))).collect()
+    assert sorted((r.doc_id, r.license) for r in found) == [(i, k) for i, (_, k) in enumerate(notices) if k]
+
+
+def test_alignment_by_brute_force():
+    rnd = random.Random(13)
+    for _ in range(200):
+        a, b = ([rnd.choice("abc") for _ in range(rnd.randint(0, 6))] for _ in range(2))
+
+        def apart(i, j):
+            if not i or not j:
+                return i + j
+            return min(apart(i - 1, j) + 1, apart(i, j - 1) + 1, apart(i - 1, j - 1) + (a[i - 1] != b[j - 1]))
+
+        missing, added = licenses.changes(a, b)
+        assert max(len(missing), len(added)) <= apart(len(a), len(b)) <= len(missing) + len(added)
+        assert collections.Counter(a) - collections.Counter(missing) == collections.Counter(b) - collections.Counter(added)
