@@ -16,12 +16,13 @@ picks its own hash), so two equal windows pick the same key. Spark then
 
 1. brings equal keys together and keeps those found under two ids,
 2. takes the windows that picked such a key, and finds the smallest id of
-   each window, told apart by 95 bits of two hashes of its words,
+   each window, told apart by 80 bits of two hashes of its words,
 3. removes the words of windows whose smallest id is smaller than their own.
 
-Keys and windows belong to a (``doc_id``, ``tag``), the tag being 31 bits of the text's
-hash: rows that repeat an id with different texts have lists of their own, and
-equal rows share one list, so lists grow in proportion to the rows.
+Lists of keys and windows belong to a (``doc_id``, ``part``), the part being 14 bits of
+the text's hash, so that rows that repeat an id hardly share them: m of them carry
+m * (1 + m / 16384) lists between them, not m * m. A window names 31 bits of
+its text, and a row takes its own windows alone.
 
 Before both shuffles a task compares about half a million of its own rows: of a key
 or window that several of them hold only the smallest id is sent to meet other
@@ -47,6 +48,8 @@ from quarry.llm.words import SPACED, U64, Words, distinct_per_doc, first_of_key,
 
 WINDOW = 13
 ROUNDS = 2
+#: Bits of a text's tag that lists of keys go by.
+PART = (1 << 14) - 1
 
 
 class Symbols:
@@ -160,18 +163,24 @@ def _tag(text: Column | str = "text") -> Column:
 
 
 def _tagged(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null").withColumn("tag", _tag())
+    docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null").withColumn("tag", _tag())
+    return docs.withColumn("part", F.col("tag").bitwiseAND(F.lit(PART)))
 
 
 def removals(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, spots): every row that has a ``doc_id``, with the first words
-    of the windows to remove (null if none)."""
+    """(doc_id, text, tag, spots): every row that has a ``doc_id``, with the windows to
+    remove as ``tag << 32 | first word`` (null if none), those of other tags among them."""
     docs = _tagged(docs)
-    return docs.join(_spots(docs), ["doc_id", "tag"], "left").select("doc_id", "text", "spots")
+    return docs.join(_spots(docs), ["doc_id", "part"], "left").select("doc_id", "text", "tag", "spots")
+
+
+def _mask(doc: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """What a settled key is masked with, so that it goes to any task, not to its key's."""
+    return mix(doc.view(U64) ^ mix(part.view(U64)))
 
 
 def _spots(docs: DataFrame) -> DataFrame:
-    """(doc_id, tag, spots) of the documents that lose words."""
+    """(doc_id, part, spots) of the documents that lose words."""
 
     def picked_keys(batches):
         for batch in batches:
@@ -184,19 +193,19 @@ def _spots(docs: DataFrame) -> DataFrame:
         for key, doc, tag in flushed(picked_keys(batches)):
             low, several = first_of_key(key, doc)
             known = several & (doc != low)  # its key is shared already: it need not meet the others
-            route = np.where(known, mix(key ^ mix(doc.view(U64) ^ mix(tag.view(U64)))), key)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(route.view(np.int64)), pa.array(key.view(np.int64), mask=~known), pa.array(doc), pa.array(tag << 1 | several)],
-                ["route", "key", "doc_id", "mark"],
-            )
+            # lists of keys may be shared by texts of one id, so few bits of the tag do
+            part = tag & PART
+            route = np.where(known, key ^ _mask(doc, part), key)
+            mark = part << 2 | known.astype(np.int64) << 1 | several
+            yield pa.RecordBatch.from_arrays([pa.array(route.view(np.int64)), pa.array(doc), pa.array(mark)], ["route", "doc_id", "mark"])
 
     same = Window.partitionBy("route")
     lists = (
-        docs.mapInArrow(emit_keys, "route long, key long, doc_id long, mark long")  # mark: the tag, and whether several ids have the key
+        docs.mapInArrow(emit_keys, "route long, doc_id long, mark long")  # mark: part of the tag, and whether the key is masked and has several ids
         .withColumn("shared", (F.max(F.expr("mark & 1")).over(same) > 0) | (F.min("doc_id").over(same) < F.max("doc_id").over(same)))
         .where("shared")
-        .groupBy("doc_id", F.shiftright("mark", 1).alias("tag"))
-        .agg(F.collect_set(F.coalesce("key", "route")).alias("keys"))
+        .groupBy("doc_id", F.shiftright("mark", 2).alias("part"))
+        .agg(F.collect_set(F.expr("if(mark & 2 = 0, route, null)")).alias("keys"), F.collect_set(F.expr("if(mark & 2 = 2, route, null)")).alias("masked"))
     )
 
     def wanted_windows(batches):
@@ -204,16 +213,15 @@ def _spots(docs: DataFrame) -> DataFrame:
             for rows, w in word_batches(batch, SPACED, False):
                 at, key = keys(w)
                 doc, tags = w.doc[at], np.asarray(rows.column("tag"))
-                wanted = rows.column("keys")
-                flat = np.asarray(wanted.flatten(), np.int64).view(U64)
-                bound = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(wanted), np.int64))])
+                plain, masked = _lists(rows.column("keys")), _lists(rows.column("masked"))
+                masks = _mask(np.asarray(rows.column("doc_id")), tags & PART)
                 take = np.zeros(len(at), bool)
                 first = np.searchsorted(doc, np.arange(rows.num_rows + 1))
                 for d in range(rows.num_rows):
                     a, b = first[d], first[d + 1]
-                    take[a:b] = np.isin(key[a:b], flat[bound[d] : bound[d + 1]])
+                    take[a:b] = np.isin(key[a:b], np.concatenate([plain(d), masked(d) ^ masks[d]]))
                 at, doc = at[take], doc[take]
-                check = (gram_hash(w.hash, at, WINDOW, 13) >> U64(33)).astype(np.int64)
+                check = (gram_hash(w.hash, at, WINDOW, 13) >> U64(48)).astype(np.int64)
                 yield gram_hash(w.hash, at, WINDOW, 9), check, np.asarray(rows.column("doc_id"))[doc], tags[doc] << 32 | (at - w.first[doc])
 
     def emit_windows(batches):
@@ -226,21 +234,23 @@ def _spots(docs: DataFrame) -> DataFrame:
             )
 
     return (
-        docs.join(lists, ["doc_id", "tag"])
-        .select("doc_id", "tag", "text", "keys")
+        docs.join(lists, ["doc_id", "part"])
+        .select("doc_id", "tag", "text", "keys", "masked")
         .mapInArrow(emit_windows, "route long, check long, doc_id long, spot long")  # check: -1 if a smaller id is known
         .withColumn("low", F.min("doc_id").over(Window.partitionBy("route", "check")))
         .where("check < 0 or low < doc_id")
-        .groupBy("doc_id", F.shiftright("spot", 32).alias("tag"))
-        .agg(F.collect_set(F.expr("int(spot & 4294967295)")).alias("spots"))  # the first word is in the lower half
+        .groupBy("doc_id", F.expr(f"shiftright(spot, 32) & {PART}").alias("part"))
+        .agg(F.collect_set("spot").alias("spots"))
     )
 
 
-def _removed(rows: pa.RecordBatch, w: Words, column: str = "spots") -> np.ndarray:
+def _removed(rows: pa.RecordBatch, w: Words, column: str = "spots", tag: str = "tag") -> np.ndarray:
     """Whether each word goes."""
     spots = rows.column(column)
     counts = np.asarray(pc.fill_null(pc.list_value_length(spots), 0), np.int64)
-    at = w.first[np.repeat(np.arange(rows.num_rows), counts)] + np.asarray(spots.flatten(), np.int64)
+    flat, doc = np.asarray(spots.flatten(), np.int64), np.repeat(np.arange(rows.num_rows), counts)
+    own = flat >> 32 == np.asarray(rows.column(tag))[doc]
+    at = w.first[doc[own]] + (flat[own] & 0xFFFFFFFF)
     cover = np.zeros(len(w.hash) + 1, np.int64)
     np.add.at(cover, at, 1)
     np.add.at(cover, at + WINDOW, -1)
@@ -272,7 +282,7 @@ def digest(docs: DataFrame) -> DataFrame:
     found = removals(docs)
     # a union renames columns, after which Spark no longer shuffles the texts once for both joins
     if docs.where("doc_id is null").take(1):
-        found = found.union(docs.where("doc_id is null").select(F.col("doc_id").cast("long"), "text", F.lit(None).cast("array<long>").alias("spots")))
+        found = found.union(docs.where("doc_id is null").select(F.col("doc_id").cast("long"), "text", _tag().alias("tag"), F.lit(None).cast("array<long>").alias("spots")))
     return found.mapInArrow(lambda b: _each(b, make), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -280,13 +290,13 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with those words cut out of ``text``, each with the separators after
     it; other columns and texts that lose no word are unchanged. A row that
     loses all its words goes."""
-    columns, own, id_, tag = docs.columns, "_removed_windows", "_removed_id", "_removed_tag"
-    spots = _spots(_tagged(docs)).select(F.col("doc_id").alias(id_), F.col("tag").alias(tag), F.col("spots").alias(own))
+    schema, columns, own, id_, part, tag = docs.schema, docs.columns, "_removed_windows", "_removed_id", "_removed_part", "_removed_tag"
+    spots = _spots(_tagged(docs)).select(F.col("doc_id").alias(id_), F.col("part").alias(part), F.col("spots").alias(own))
 
     def run(batches):
         for batch in batches:
             for rows, w in word_batches(batch, SPACED, False):
-                gone = _removed(rows, w, own)
+                gone = _removed(rows, w, own, tag)
                 texts = rows.column("text").to_pylist()
                 keep = np.ones(rows.num_rows, bool)
                 for d in np.unique(w.doc[gone]).tolist():
@@ -301,8 +311,16 @@ def deduplicated(docs: DataFrame) -> DataFrame:
                 column = rows.schema.get_field_index("text")
                 yield rows.set_column(column, rows.schema.field(column), pa.array(texts, rows.schema.field(column).type)).select(columns).filter(pa.array(keep))
 
-    joined = docs.join(spots, (docs["doc_id"].cast("long") == F.col(id_)) & (_tag(docs["text"]) == F.col(tag)), "left").select(*[docs[c] for c in columns], own)
-    return joined.mapInArrow(run, docs.schema)
+    docs = docs.withColumn(tag, _tag())
+    joined = docs.join(spots, (docs["doc_id"].cast("long") == F.col(id_)) & (docs[tag].bitwiseAND(F.lit(PART)) == F.col(part)), "left").select(*[docs[c] for c in columns], tag, own)
+    return joined.mapInArrow(run, schema)
+
+
+def _lists(column: pa.Array):
+    """The list of a row, by the row's number, as unsigned numbers."""
+    flat = np.asarray(column.flatten(), np.int64).view(U64)
+    bound = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(column), np.int64))])
+    return lambda d: flat[bound[d] : bound[d + 1]]
 
 
 def _words(w: Words, keep: np.ndarray) -> list[bytes]:
