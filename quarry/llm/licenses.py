@@ -1,11 +1,15 @@
 """License notices by conditional compression.
 
 Candidates are the words of a text near a trigger word, across line breaks and
-comment marks. In them each template finds the spans that its words fit with
-few differences: a word missing, added or replaced is one, and words before the
-first and after the last fitting one do not count. A span is compressed alone
-and with its template as a raw zstandard dictionary; of spans that overlap, the
-one whose template takes most bytes off is the notice. Words are compared in
+comment marks. For each template they are cut into blocks, each twice as long as its
+longest span and overlapping the next by half, so that a notice lies whole in one. Each
+block is compressed alone and with the template as a raw zstandard dictionary; if the
+bytes taken off are ``REDUCTION`` of what the template costs alone, the template is an
+option for the block. Options are taken by the bytes taken off, the most first, and
+confirmed by the exact wording: the template must fit a span in or next to the block that holds a
+trigger, with few differences (a word missing, added or replaced is one, and words
+before the first and after the last fitting one do not count), and the span must not
+overlap a notice confirmed before. Words are compared in
 lower case without the marks around them, and the missing and added ones are
 reported. What tells licenses apart must agree exactly: a span is no notice of a
 license if it lacks one of the template's identifying words (its name, its version,
@@ -23,6 +27,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import deque
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -126,14 +131,15 @@ DENIED = re.compile(r"(?i)\b(?:not|never|neither|nor)\b|n['\u2019]t\b")
 #: Ends of a sentence or a paragraph.
 STOP = re.compile(r"[.!?;:](?=\s)|\n\W*\n")
 WORD = r"[^\W_]+(?:[-.'/][^\W_]+)*"
-TRIGGER_WORD = "licen[cs]|permission|copyright|redistribut|spdx"
+TRIGGER_WORD = "licen[cs]|permission|copyright|redistribut|spdx|cc0"
 #: Texts that can hold a trigger; "free software" are two words.
 TRIGGER = rf"(?i){TRIGGER_WORD}|free[\W_]+software"
-#: Least share of a block's compressed bytes that the template must take off.
+#: Bytes that a template must take off a block, as a share of its own compressed bytes.
 REDUCTION = 0.3
 #: Most differing words, as a share of the template's words.
 DIFFERENT = 0.2
-LEVEL = 3
+#: Lower levels store few literals raw, which blurs the sizes of short blocks.
+LEVEL = 12
 
 
 def wording(text: str) -> list[str]:
@@ -176,11 +182,17 @@ class Template:
         self.most = int(DIFFERENT * len(self.words))
         data = zstandard.ZstdCompressionDict(" ".join(self.words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.packer = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, dict_data=data)
+        self.cost = len(zstandard.ZstdCompressor(level=LEVEL, write_content_size=False).compress(" ".join(self.words).encode()))
         self.places, self.reversed = _places(self.words), _places(self.words[::-1])
 
-    def found(self, words: list[str], present: set[str]):
-        """(first, end, differences) of the spans of ``words`` that the template fits."""
-        if len(self.distinct & present) < len(self.distinct) - self.most:  # each difference loses one at most
+    @property
+    def longest(self) -> int:
+        """Words of the longest span that the template can fit."""
+        return len(self.words) + self.most
+
+    def found(self, words: list[str]):
+        """(differences, first, end) of the spans of ``words`` that the template fits."""
+        if len(self.distinct & set(words)) < len(self.distinct) - self.most:  # each difference loses one at most
             return
         size = len(self.words)
         apart = _differences(self.places, size, words, False)
@@ -190,8 +202,8 @@ class Template:
                 continue
             if next((x for x in apart[j + 1 : j + size] if x != d), size) < d:
                 continue
-            back = _differences(self.reversed, size, words[max(0, j + 1 - size - self.most) : j + 1][::-1], True)
-            yield j - back.index(d), j + 1, d
+            back = _differences(self.reversed, size, words[max(0, j + 1 - self.longest) : j + 1][::-1], True)
+            yield d, j - back.index(d), j + 1
 
 
 def _places(words: list[str]) -> dict[str, int]:
@@ -253,7 +265,7 @@ class Matcher:
     def __init__(self, templates: dict[str, tuple[str, ...]]):
         self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
         self.known = [Template(name, t) for name, texts in templates.items() for t in texts]
-        self.reach = max((len(t.words) + t.most for t in self.known), default=0)
+        self.reach = max((t.longest for t in self.known), default=0)
 
     def notices(self, text: str) -> list[dict]:
         """The notices of a text, in order; ``block`` is the line where one starts."""
@@ -267,33 +279,50 @@ class Matcher:
                 out.append(one | {"block": line})
         return out
 
-    def _of(self, words: list[str], hits: list[int]) -> list[dict]:
-        present, options = set(words), []
+    def ranked(self, words: list[str], hits: list[int]) -> list[tuple[int, int, int, int]]:
+        """(-bytes taken off, template, first, end) of the blocks that hold a hit and
+        that a template makes smaller, the most first."""
+        ends = list(accumulate(len(w.encode()) + 1 for w in words))
+        data = " ".join(words).encode()
+        options, alone = [], {}
         for i, t in enumerate(self.known):
-            for a, b, apart in t.found(words, present):
+            step = t.longest
+            # a hit lies in the block of its own step and in the one before
+            for k in sorted({k for hit in hits for k in (hit // step, hit // step - 1)}):
+                a, b = max(k * step, 0), min((k + 2) * step, len(words))
+                block = data[ends[a - 1] if a else 0 : ends[b - 1] - 1]
+                if (a, b) not in alone:
+                    alone[a, b] = len(self.plain.compress(block))
+                off = alone[a, b] - len(t.packer.compress(block))
+                if off >= REDUCTION * t.cost:
+                    options.append((-off, i, a, b))
+        return sorted(options)
+
+    def _of(self, words: list[str], hits: list[int]) -> list[dict]:
+        taken, out = bytearray(len(words)), []
+        for _, i, low, high in self.ranked(words, hits):
+            t = self.known[i]
+            low, high = max(low - t.longest, 0), high + t.longest  # a notice that the block cuts, whole
+            for apart, a, b in sorted(t.found(words[low:high])):
+                a, b = low + a, low + b
                 k = bisect_left(hits, a)
-                if k == len(hits) or hits[k] >= b or not t.names <= set(words[a:b]):
+                if k == len(hits) or hits[k] >= b or any(taken[a:b]) or not t.names <= set(words[a:b]):
                     continue
-                data = " ".join(words[a:b]).encode()
-                alone = len(self.plain.compress(data))
-                off = alone - len(t.packer.compress(data))
-                if off >= REDUCTION * alone:
-                    options.append((-off, apart, i, a, b, off / alone))
-        taken, out = bytearray(len(words)), []
-        for _, apart, i, a, b, reduction in sorted(options):  # the largest reduction first
-            if not any(taken[a:b]):
-                t = self.known[i]
                 missing, added = changes(t.words, words[a:b]) if apart else ([], [])
                 if t.names & set(missing) or CONTRARY & set(added):
                     continue
                 taken[a:b] = b"\1" * (b - a)
-                out.append({"first": a, "license": t.license, "reduction": reduction, "missing": missing, "added": added})
+                data = " ".join(words[a:b]).encode()
+                alone = len(self.plain.compress(data))
+                off = alone - len(t.packer.compress(data))
+                out.append({"first": a, "license": t.license, "reduction": off / alone, "missing": missing, "added": added})
         return sorted(out, key=lambda x: x["first"])
 
 
 def notices(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """Per notice: ``doc_id``, the line ``block`` (from 0) where it starts, its
-    ``license``, ``reduction`` and the words ``missing`` and ``added``."""
+    ``license``, ``reduction`` (the share of its compressed bytes that the template
+    takes off) and the words ``missing`` and ``added``."""
     templates = templates or TEMPLATES
 
     def run(batches):

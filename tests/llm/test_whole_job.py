@@ -238,3 +238,62 @@ def test_alignment_by_brute_force():
         missing, added = licenses.changes(a, b)
         assert max(len(missing), len(added)) <= apart(len(a), len(b)) <= len(missing) + len(added)
         assert collections.Counter(a) - collections.Counter(missing) == collections.Counter(b) - collections.Counter(added)
+
+
+def test_template_spans_by_brute_force():
+    rnd = random.Random(14)
+
+    def apart(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            row, last = [i + 1], row
+            for j, y in enumerate(b):
+                row.append(min(last[j] + (x != y), last[j + 1] + 1, row[j] + 1))
+        return row[-1]
+
+    for _ in range(60):
+        template = licenses.Template("none", " ".join(rnd.choice("abcdef") * 3 for _ in range(rnd.randint(5, 12))))
+        words = [rnd.choice("abcdefgh") * 3 for _ in range(25)]
+        at = rnd.randrange(25)
+        words[at:at] = [w for w in template.words if rnd.random() > 0.1]
+        found = list(template.found(words))
+        best = min(apart(template.words, words[a:b]) for a in range(len(words)) for b in range(a + 1, len(words) + 1))
+        assert bool(found) == (best <= template.most)
+        assert not found or min(found)[0] == best
+        for d, a, b in found:
+            assert d == apart(template.words, words[a:b]) == min(apart(template.words, words[k:b]) for k in range(b))
+
+
+def test_ranking_by_brute_force():
+    """Every block that holds a trigger against every template, compressed one by one."""
+    matcher = licenses.Matcher(licenses.TEMPLATES)
+    text = "int x; Released under the MIT License. Über den Fluß. " + licenses.TEMPLATES["BSD-3-Clause"][1] + " end of notice " * 20 + "see the license"
+    for words, _, hits in licenses.spans(text, matcher.reach):
+        want = set()
+        for i, t in enumerate(matcher.known):
+            for a in range(-t.longest, len(words), t.longest):
+                lo, hi = max(a, 0), min(a + 2 * t.longest, len(words))
+                if any(lo <= h < hi for h in hits):
+                    data = " ".join(words[lo:hi]).encode()
+                    off = len(matcher.plain.compress(data)) - len(t.packer.compress(data))
+                    if off >= licenses.REDUCTION * t.cost:
+                        want.add((-off, i, lo, hi))
+        got = matcher.ranked(words, hits)
+        assert got == sorted(got) and set(got) == want
+        assert matcher.known[got[0][1]].license == "BSD-3-Clause"
+
+
+def test_every_template_among_other_words_and_in_a_very_long_text():
+    rnd = random.Random(15)
+    other = lambda n: " ".join("".join(rnd.choices("bdglmnoprtu", k=rnd.randint(2, 9))) for _ in range(n))
+    matcher = licenses.Matcher(licenses.TEMPLATES)
+    for name, texts in licenses.TEMPLATES.items():
+        for text in texts:
+            got = matcher.notices(f"{other(30)}. {text} {other(30)}.")
+            assert [(x["license"], x["missing"], x["added"]) for x in got] == [(name, [], [])], text
+    filler = other(200_000)
+    long = f"{filler}\nReleased under the MIT License.\n{filler}\n{licenses.TEMPLATES['Apache-2.0'][-1]}"
+    assert len(long) > 2_000_000
+    assert [(x["license"], x["block"]) for x in matcher.notices(long)] == [("MIT", 1), ("Apache-2.0", 3)]
+    # a long text full of triggers
+    assert len(matcher.notices("Released under the MIT License. This copyright is ours. " * 300)) == 300
