@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import components, drop_written, restrict, written
+from quarry.llm.shared import HOT_ROWS, components, drop_written, join_counted, restrict, written
 from quarry.llm.words import SPACED, U64, Words, distinct_per_doc, first_of_key, flushed, gram_hash, mix, small_batches, word_batches
 
 SIZE = 5
@@ -280,8 +280,9 @@ def _met_before(key: int, x: list, y: list, i: np.ndarray, j: np.ndarray) -> np.
 
 
 def _across(members: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of different components inside a bucket part. A
-    pair of several buckets comes from the one with the smallest key."""
+    """Candidate pairs (a, b) of different components inside a bucket, which has
+    ``size`` members. A pair of several buckets comes from the one with the
+    smallest key."""
 
     def run(group):
         alone = group.column("i")[0] == group.column("j")[0]  # a part against itself
@@ -296,26 +297,27 @@ def _across(members: DataFrame) -> DataFrame:
         return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
 
     known = members.groupBy("id").agg(F.slice(F.sort_array(F.collect_set("key")), 1, KNOWN_KEYS).alias("keys"))
-    members = members.join(known, "id")
-    size = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-    dealt = members.join(size, "key").withColumn("part", F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts")))
+    dealt = members.join(known, "id").withColumn("parts", F.ceil(F.col("size") / BLOCK)).withColumn("part", F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts")))
     # block (i, j), i <= j: a part is the first side of blocks with all j from
     # its own on, and the second side of blocks with all i below its own
     firsts = F.transform(F.sequence("part", F.col("parts") - 1), lambda j: F.struct(F.col("part").alias("i"), j.alias("j"), F.lit(0).alias("side")))
     seconds = F.transform(F.filter(F.sequence(F.lit(0).cast("long"), "part"), lambda i: i < F.col("part")), lambda i: F.struct(i.alias("i"), F.col("part").alias("j"), F.lit(1).alias("side")))
     placed = dealt.withColumn("at", F.explode(F.concat(firsts, seconds))).select("key", "at.*", "id", "component", "n", "bits", "keys")
-    return placed.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    # rows that a join left by key would do for the grouping, and all blocks of
+    # a hot bucket would stay in one task
+    return placed.repartition("key", "i", "j").groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
-def linked(docs: DataFrame) -> DataFrame:
+def linked(docs: DataFrame, hot: int = HOT_ROWS) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, the
-    smallest ``doc_id`` reachable by links, itself included."""
+    smallest ``doc_id`` reachable by links, itself included. Copies, buckets and
+    hubs of more than ``hot`` rows are joined without shuffling these rows by them."""
     docs = docs.select(F.col("doc_id").cast("long"), "text").withColumn("row", F.xxhash64("doc_id", "text"))
     table = written(fingerprints(docs), "fingerprints")
     named = table.where("doc_id is not null and n > 0")
     # classes of equal sets; their members other than the smallest id leave the join
-    classes = named.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")).where("copies > 1")
-    same = written(named.join(classes, ["f1", "f2", "n"]).where("doc_id <> id").select("row", F.col("id").alias("a"), F.col("doc_id").alias("b")), "copies")
+    classes = written(named.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")).where("copies > 1"), "classes")
+    same = written(join_counted(named, classes, ["f1", "f2", "n"], "copies", hot).where("doc_id <> id").select("row", F.col("id").alias("a"), F.col("doc_id").alias("b")), "copies")
     alone = restrict(docs, same, "row", keep=False)
     members = written(_members(alone.select("doc_id", "text")), "members")
     stars = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
@@ -324,8 +326,8 @@ def linked(docs: DataFrame) -> DataFrame:
     # in a large group of near copies an id has many hubs
     near = written(_near(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), bits), "pairs")
     links = written(_verified(near, docs).union(same.select("a", "b")).distinct(), "links")
-    found = components(links)
-    scratch = [same, members, bits, near, links, found]
+    found = components(links, hot=hot)
+    scratch = [classes, same, members, bits, near, links, found]
     apart = stars.join(near, ["a", "b"], "left_anti")
     for end in "ab":
         apart = apart.join(found.select(F.col("id").alias(end), F.col("component").alias(f"c{end}")), end, "left")
@@ -333,14 +335,15 @@ def linked(docs: DataFrame) -> DataFrame:
     more = written(_near(apart, bits), "pairs")
     near = near.union(more)
     links = written(links.union(_verified(near.join(links, ["a", "b"], "left_anti"), docs)).distinct(), "links")
-    found = components(links)
+    found = components(links, hot=hot)
     scratch += [more, links, found]
     # buckets that still hold several components
     placed = members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")).distinct()
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"))
-    mixed = mixed.where("x <> y and size > 2").select("key")
-    near = written(_across(placed.join(mixed, "key").join(bits, "id")).join(near, ["a", "b"], "left_anti"), "pairs")
-    found = components(links.union(_verified(near, docs)))
+    mixed = written(mixed.where("x <> y and size > 2").select("key", "size"), "mixed")
+    scratch.append(mixed)
+    near = written(_across(join_counted(placed, mixed, ["key"], "size", hot).join(bits, "id")).join(near, ["a", "b"], "left_anti"), "pairs")
+    found = components(links.union(_verified(near, docs)), hot=hot)
     # the result reads the fingerprints and these components alone
     for one in [*scratch, near]:
         drop_written(one)

@@ -6,12 +6,14 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Most ids that are sent to every executor; 2 million longs are 16 MB. Beyond
 #: it the same filter runs as a shuffle join.
 BROADCAST_IDS = 2_000_000
+#: A key of more rows than this is joined by broadcasting what is known of it.
+HOT_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,29 +63,51 @@ def restrict(df: DataFrame, ids: DataFrame, on: str, keep: bool = True, limit: i
     return df.join(F.broadcast(ids) if small else ids, on, "left_semi" if keep else "left_anti")
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def join_counted(rows: DataFrame, facts: DataFrame, on: list[str], size: str, hot: int = HOT_ROWS) -> DataFrame:
+    """``rows`` with the columns of ``facts``, which holds ``on`` once, with the number
+    ``size`` of its rows. Keys of more than ``hot`` rows are broadcast (they
+    are fewer than the rows by that factor), so that such rows stay where they are;
+    the others meet their facts in a shuffle. ``facts`` is read up to four times."""
+    large = facts.where(F.col(size) > hot)
+    if not large.take(1):
+        return rows.join(facts, on)
+    large = F.broadcast(large)
+    rest = rows.join(large.select(*on), on, "left_anti").join(facts.where(F.col(size) <= hot), on)
+    return rows.join(large, on).unionByName(rest)
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b", hot: int = HOT_ROWS) -> DataFrame:
     """(id, component): the smallest id reachable over ``edges``, for every id
     that has one.
 
     Alternates the large-star and small-star steps: each is one grouped
     minimum and one join, so a vertex with very many neighbours is never
-    gathered. Rounds grow with the logarithm of the longest path. The
+    gathered, and if it has more than ``hot`` its rows meet their minimum without a
+    shuffle. Rounds grow with the logarithm of the longest path. The
     edges of every round are a written table; the superseded one is deleted.
     """
     spark = edges.sparkSession
     now = written(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges"
     )
-    before = None
+    before, many = None, now.count()
+
+    def with_low(rows: DataFrame, low: Column) -> DataFrame:
+        lows = rows.groupBy("u").agg(low.alias("m"), F.count("*").alias("size"))
+        if 2 * many <= hot:  # no vertex can have more rows
+            return rows.join(lows, "u")
+        lows = written(lows, "lows")
+        scratch.append(lows)
+        return join_counted(rows, lows, ["u"], "size", hot)
+
     while True:
+        scratch: list[DataFrame] = []
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = (
-            both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            with_low(both, F.least(F.min("v"), F.first("u"))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         )
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
-            large.join(low, "u")
+            with_low(large, F.min("v"))
             .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.*")
             .where("u <> v")
@@ -91,8 +115,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         )
         after = written(small, "edges")
         state = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        drop_written(now)
-        now = after
+        for one in [now, *scratch]:
+            drop_written(one)
+        now, many = after, state[0]
         if before == state:
             break
         before = state

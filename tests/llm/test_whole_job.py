@@ -2,13 +2,17 @@
 
 import collections
 import random
+import re
 import textwrap
 
 import numpy as np
 import zstandard
 
-from quarry.llm import chat, decontaminate, language, licenses, neighbours, packing, quality, substrings
-from tests.llm.test_operators import documents
+from pyspark.sql import functions as F
+
+from quarry.llm import chat, decontaminate, jaccard_join, language, licenses, neighbours, packing, quality, substrings
+from quarry.llm.shared import components, join_counted
+from tests.llm.test_operators import documents, near_copies
 
 
 def test_wrapped_embedded_and_commented_notices(spark):
@@ -297,3 +301,34 @@ def test_every_template_among_other_words_and_in_a_very_long_text():
     assert [(x["license"], x["block"]) for x in matcher.notices(long)] == [("MIT", 1), ("Apache-2.0", 3)]
     # a long text full of triggers
     assert len(matcher.notices("Released under the MIT License. This copyright is ours. " * 300)) == 300
+
+
+def test_jaccard_hot_keys_take_the_other_joins(spark):
+    rows = [(i, t) for i, (_, t) in enumerate(near_copies(11) * 2)]
+    docs = documents(spark, rows)
+    want = sorted(tuple(r) for r in jaccard_join.linked(docs).collect())
+    assert len({c for _, _, c in want}) < len(want) / 2
+    assert sorted(tuple(r) for r in jaccard_join.linked(docs, hot=1).collect()) == want
+
+
+def test_components_of_hubs_and_paths(spark):
+    edges = [(7, i) for i in range(8, 40)] + [(i, i + 1) for i in range(50, 90)] + [(3, 39), (100, 100), (39, 3)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    want = {**{i: 3 for i in [3, *range(7, 40)]}, **{i: 50 for i in range(50, 91)}}
+    for hot in (1, 5, 1_000_000):
+        assert {r.id: r.component for r in components(df, hot=hot).collect()} == want
+
+
+def test_join_counted_leaves_hot_rows_where_they_are(spark):
+    rows = spark.createDataFrame([(i % 7 if i % 3 else None, i) for i in range(100)], "k long, v long")
+    facts = rows.groupBy("k").agg(F.count("*").alias("size"), F.min("v").alias("low")).where("k is not null")
+    want = sorted(tuple(r) for r in rows.join(facts, "k").select("k", "v", "size", "low").collect())
+    for hot in (0, 9, 1000):
+        got = join_counted(rows, facts, ["k"], "size", hot)
+        assert sorted(tuple(r) for r in got.select("k", "v", "size", "low").collect()) == want
+
+
+def test_blocks_of_a_hot_bucket_are_spread(spark):
+    members = spark.createDataFrame([], "key long, id long, component long, size long, n long, bits binary")
+    plan = jaccard_join._across(members)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(key#\d+L?, i#\d+L?, j#\d+L?", plan)
