@@ -94,7 +94,11 @@ class Model:
     """One table for all languages: an entry holds the next state's row and, in
     its lowest bit, whether a phrase ended before this character. ``keys`` and
     ``values`` hold such entries of the characters beyond the table's width,
-    ``fresh`` those of a phrase that starts with one."""
+    ``fresh`` those of a phrase that starts with one.
+
+    The transitions alone are kept and sent (``state``, ``char``, ``to``: at most three a
+    character of the samples, where the table has ``LETTERS`` and one more a state); a
+    worker makes the tables of them when it first parses."""
 
     def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
@@ -103,34 +107,46 @@ class Model:
         self.width = LETTERS + 1
         self.letters = {c: i + 1 for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0])))}
         self.size = len(self.letters) + 1
-        tables, self.roots, at = [], [], 0
-        keys, values = [], []
-        # an automaton has fewer than two states a character
-        kind = np.int32 if sum(2 * len(t) + 2 for t in joined.values()) * self.width * 2 < 2**31 else np.int64
-        self.fresh = np.zeros((len(self.languages), self.size), kind)
-        for n, k in enumerate(self.languages):
+        self.sizes, state, char, to = [], [], [], []  # a part each language
+        for k in self.languages:
             step = transitions([self.letters[c] for c in joined[k]])
-            t = _table(step, self.width)
-            fresh = np.maximum(t[0], 0)  # after a phrase's end; a character that the language lacks starts none
-            t, fresh = t.astype(np.int64), fresh.astype(np.int64)
-            value = np.where(t >= 0, (at + t) * self.width * 2, (at + fresh) * self.width * 2 + 1)
-            tables.append(value.astype(kind))
-            self.fresh[n] = at * self.width * 2 + 1
-            for c, to in step[0].items():
-                self.fresh[n, c] = (at + to) * self.width * 2 + 1
-            for i, row in enumerate(step):
-                for c, to in row.items():
-                    if c >= self.width:
-                        keys.append((at + i) * self.size + c)
-                        values.append((at + to) * self.width * 2)
+            each = np.fromiter(map(len, step), np.int64, len(step))
+            state.append(np.repeat(np.arange(len(step), dtype=np.int32), each))
+            char.append(np.fromiter((c for row in step for c in row), np.int32, each.sum()))
+            to.append(np.fromiter((x for row in step for x in row.values()), np.int32, each.sum()))
+            self.sizes.append(len(step))
+        self.state, self.char, self.to = state, char, to
+        self.table = None
+
+    def __getstate__(self):
+        return {k: self.__dict__[k] for k in ("languages", "width", "letters", "size", "sizes", "state", "char", "to")} | {"table": None}
+
+    def _expand(self) -> None:
+        row = self.width * 2
+        kind = np.int32 if sum(self.sizes) * row < 2**31 else np.int64
+        table = np.empty((sum(self.sizes), self.width), kind)
+        self.fresh = np.zeros((len(self.languages), max(self.size, self.width)), kind)
+        self.roots, keys, values, at = [], [], [], 0
+        for n, (count, state, char, to) in enumerate(zip(self.sizes, self.state, self.char, self.to)):
+            first = state == 0
+            # after a phrase's end; a character that the language lacks starts none
+            self.fresh[n] = at * row + 1
+            self.fresh[n, char[first]] = (at + to[first].astype(np.int64)) * row + 1
+            table[at : at + count] = self.fresh[n, : self.width]
+            state, to = at + state.astype(np.int64), (at + to.astype(np.int64)) * row
+            dense = char < self.width
+            table[state[dense], char[dense]] = to[dense]
+            keys.append(state[~dense] * self.size + char[~dense])
+            values.append(to[~dense])
             self.roots.append(at * self.width)
-            at += len(t)
-        self.table = np.concatenate(tables).ravel() if tables else np.empty(0, kind)
-        order = np.argsort(np.array(keys, np.int64))
-        self.keys, self.values = np.array(keys, np.int64)[order], np.array(values, kind)[order]
+            at += count
+        keys, values = (np.concatenate([*x, np.empty(0, np.int64)]) for x in (keys, values))
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order].astype(kind)
         self.code = np.zeros(0x110000, np.int32)  # of each code point; 0 is unknown
         for c, i in self.letters.items():
             self.code[ord(c)] = i
+        self.table = table.ravel()
 
     def _rare(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """Entries of characters beyond the table's width."""
@@ -140,6 +156,8 @@ class Model:
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """Phrases of each text (row) in each language (column)."""
+        if self.table is None:
+            self._expand()
         points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         codes = self.code[points]
         rare = codes >= self.width

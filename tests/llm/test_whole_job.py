@@ -1,6 +1,7 @@
 """Inputs that an operator once treated in part, or wrongly."""
 
 import collections
+import pickle
 import random
 import re
 import textwrap
@@ -81,6 +82,20 @@ def test_phrases_of_rare_characters():
             assert n == want
 
 
+def test_a_sent_language_model_is_small_and_parses_alike():
+    """What is broadcast are the transitions: some 26 bytes a character of the samples, not a
+    table with a column for each letter (400 bytes a character before)."""
+    rnd = random.Random(8)
+    words = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyzäöü", k=rnd.randint(2, 9))) for _ in range(400)]
+    samples = {k: [" ".join(rnd.choices(words[i : i + 300], k=3000))] for i, k in ((0, "a"), (100, "b"))}
+    model = language.Model(samples)
+    texts = [" ".join(rnd.choices(words, k=50)) for _ in range(20)]
+    want = model.phrases(texts)
+    sent = pickle.dumps(model)
+    assert len(sent) < 40 * sum(len(t) for x in samples.values() for t in x)
+    assert (pickle.loads(sent).phrases(texts) == want).all()
+
+
 def test_clean_judges_each_row_by_broadcast_and_by_join(spark):
     passage = "the quick brown fox jumps over the lazy dog and runs away home"
     items = spark.createDataFrame([(1, passage), (None, "lonely")], "item_id long, text string")
