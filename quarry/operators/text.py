@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.functions import token_bytes
 from quarry.functions.text import (
     WHITESPACE,
     as_byte_chars,
@@ -81,6 +83,38 @@ def token_offsets(
     return _piece_offsets(pieces, before, F.lit(0), word_col, keep, off_col)
 
 
+def _dealt_documents(df: DataFrame, doc_col: str, text_col: str) -> DataFrame:
+    """``(doc, text)`` with the text as bytes, dealt out by ``doc``."""
+    docs = df.select(F.col(doc_col).alias("doc"), F.col(text_col).cast("binary").alias("text"))
+    return docs.repartition("doc")
+
+
+def inverted_index_documents(
+    df: DataFrame,
+    doc_col: str = "doc",
+    text_col: str = "text",
+    word_col: str = "word",
+    out: str = "postings",
+) -> DataFrame:
+    """``(word, doc, postings)``: the rows of :func:`inverted_index` over
+    :func:`token_offsets`, a row for each word of each document. A document is
+    one row, so its postings are brought together where it is read: no row a
+    token is shuffled or sorted."""
+    docs = _dealt_documents(df, doc_col, text_col)
+    docs = docs.withColumn("name", F.col("doc").cast("string").cast("binary"))
+
+    def run(batches):
+        for batch in batches:
+            for word, at, off in token_bytes.tokens(batch, "text"):
+                name = batch.column("name").take(pa.array(at))
+                for some, words, lists in token_bytes.grouped(name, word, off, at):
+                    yield pa.RecordBatch.from_arrays([words, batch.column("doc").take(pa.array(at[some])), lists], ["word", "doc", "postings"])
+
+    kind = docs.schema["doc"].dataType.simpleString()
+    found = docs.mapInArrow(run, f"word binary, doc {kind}, postings binary")
+    return found.select(F.col("word").cast("string").alias(word_col), F.col("doc").alias(doc_col), F.col("postings").cast("string").alias(out))
+
+
 def _piece_offsets(pieces, before, base, word_col, keep, off_col) -> DataFrame:
     """Word and byte offset of each ``blanks + token`` piece: ``base`` plus the
     bytes of the earlier pieces (window ``before``) plus its own blanks."""

@@ -19,8 +19,8 @@ from quarry.operators.text import (
     BLOCK_BYTES,
     explode_list,
     explode_tokens,
-    inverted_index,
     inverted_index_blocks,
+    inverted_index_documents,
     list_contains,
     token_offsets,
 )
@@ -41,8 +41,7 @@ def inverted_index_postings(docs: DataFrame, doc: str = "doc", text: str = "text
 def inverted_index_lines(docs: DataFrame, doc: str = "doc", text: str = "text") -> DataFrame:
     """``(word, doc, postings)``: ``doc:off`` pairs per word and document.
     Documents that share a name (files of several folders) give a row each."""
-    postings = token_offsets(docs, doc, text, row_col="__row")
-    return inverted_index(postings, doc_col=doc, keys=["__row"]).drop("__row")
+    return inverted_index_documents(docs, doc, text)
 
 
 def inverted_index_files(lines_with_offsets: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
