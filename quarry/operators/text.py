@@ -59,28 +59,35 @@ def token_offsets(
     first byte inside its document's text (SRC-7, decision D8). ``row_col`` adds a
     column that tells documents of one name apart.
 
-    The text is cut into pieces of "blanks, then one token", one piece per
-    token. A token's offset is the running byte length of the pieces before
-    it (WIN-1) plus the length of its own leading blanks. The documents are
-    hash-partitioned on ``doc`` *before* the pieces are exploded, so the
-    window needs no exchange of its own and the shuffle moves compact text,
-    not one row per token. A window group is one row, so documents that share a
+    The documents are dealt out by ``doc`` as compact text, and every task finds
+    the positions in one pass over its texts (:mod:`quarry.functions.token_bytes`):
+    no row a token is shuffled or sorted. A document is one row, so documents that share a
     name are counted apart; the id that tells them apart lives inside a task.
     """
-    docs = df.select(F.col(doc_col), F.col(text_col)).repartition(F.col(doc_col))
-    docs = docs.withColumn("row", F.monotonically_increasing_id())
-    pieces = docs.select(
-        F.col(doc_col),
-        "row",
-        F.posexplode(gap_token_pieces(as_byte_chars(text_col))).alias("pos", "piece"),
-    )
-    before = (
-        Window.partitionBy(doc_col, "row")
-        .orderBy("pos")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    docs = _dealt_documents(df, doc_col, text_col)
+    if row_col:
+        docs = docs.withColumn("row", F.monotonically_increasing_id())
+    kept = ["doc", "row"] if row_col else ["doc"]
+
+    def run(batches):
+        for batch in batches:
+            for word, at, off in token_bytes.tokens(batch, "text"):
+                for lo in range(0, len(off), token_bytes.ROWS):
+                    hi = lo + token_bytes.ROWS
+                    rows = pa.array(at[lo:hi])
+                    yield pa.RecordBatch.from_arrays(
+                        [word[lo:hi].cast(pa.binary()), *(batch.column(c).take(rows) for c in kept), pa.array(off[lo:hi], pa.int64())],
+                        ["word", *kept, "off"],
+                    )
+
+    kind = docs.schema["doc"].dataType.simpleString()
+    found = docs.mapInArrow(run, f"word binary, doc {kind}, {'row bigint, ' if row_col else ''}off bigint")
+    return found.select(
+        F.col("word").cast("string").alias(word_col),
+        F.col("doc").alias(doc_col),
+        *([F.col("row").alias(row_col)] if row_col else []),
+        F.col("off").alias(off_col),
     )
-    keep = [F.col(doc_col)] + ([F.col("row").alias(row_col)] if row_col else [])
-    return _piece_offsets(pieces, before, F.lit(0), word_col, keep, off_col)
 
 
 def _dealt_documents(df: DataFrame, doc_col: str, text_col: str) -> DataFrame:

@@ -33,6 +33,14 @@ def docs(spark):
     return spark.createDataFrame(TEXTS, "doc bigint, raw binary").selectExpr("doc", "cast(raw as string) as text")
 
 
+def test_postings_have_no_sort(spark, docs):
+    df = P.inverted_index_postings(docs)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan
+    got = sorted((str(r.doc), bytes(r.w), r.off) for r in df.selectExpr("doc", "cast(word as binary) as w", "off").collect())
+    assert got == sorted((str(d), w, off) for d, t in TEXTS for w, off in positions(t))
+
+
 def test_lines_have_no_sort(spark, docs):
     df = P.inverted_index_lines(docs)
     plan = df._jdf.queryExecution().executedPlan().toString()
