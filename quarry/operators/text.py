@@ -3,21 +3,16 @@ and the inverted index (PRJ-2, PRJ-3, FLT-1, SRC-7, WIN-1, AGG-8)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from quarry.functions import token_bytes
-from quarry.functions.text import (
-    WHITESPACE,
-    as_byte_chars,
-    from_byte_chars,
-    gap_token_pieces,
-    sep_regex,
-    strip_leading_blanks,
-)
+from quarry.functions.text import WHITESPACE, sep_regex
 
 
 def explode_tokens(
@@ -122,20 +117,6 @@ def inverted_index_documents(
     return found.select(F.col("word").cast("string").alias(word_col), F.col("doc").alias(doc_col), F.col("postings").cast("string").alias(out))
 
 
-def _piece_offsets(pieces, before, base, word_col, keep, off_col) -> DataFrame:
-    """Word and byte offset of each ``blanks + token`` piece: ``base`` plus the
-    bytes of the earlier pieces (window ``before``) plus its own blanks."""
-    word = strip_leading_blanks("piece")
-    earlier = F.coalesce(F.sum(F.length("piece")).over(before), F.lit(0))
-    return pieces.select(
-        from_byte_chars(word).alias(word_col),
-        *keep,
-        (base + earlier + F.length("piece") - F.length(word))
-        .cast("bigint")
-        .alias(off_col),
-    )
-
-
 def file_token_offsets(
     lines: DataFrame,
     word_col: str = "word",
@@ -147,25 +128,25 @@ def file_token_offsets(
     token's byte offset in its file, for files too large for one row. ``keep``
     names columns carried along (``path`` tells files of one name apart).
 
-    Inside a line, a token's offset is the running byte length of the
-    ``blanks + token`` pieces before it plus its own blanks; the window groups
-    by line inside the ``(path, block)`` partitioning the lines already have,
-    so no further shuffle happens."""
-    carried = [c for c in keep if c not in (doc_col, "path", "block")]
-    pieces = lines.select(
-        F.col(doc_col),
-        "path",
-        "block",
-        *carried,
-        F.col("off").alias("line_off"),
-        F.posexplode(gap_token_pieces(as_byte_chars("value"))).alias("pos", "piece"),
-    )
-    before = (
-        Window.partitionBy("path", "block", "line_off")
-        .orderBy("pos")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return _piece_offsets(pieces, before, F.col("line_off"), word_col, [doc_col, *[c for c in keep if c != doc_col]], off_col)
+    A token's offset is its line's plus its place in the line, found where the line
+    is read: nothing is shuffled or sorted."""
+    kept = list(dict.fromkeys([doc_col, *keep]))
+    sent = lines.select(*kept, F.col("off").alias("line off"), F.col("value").cast("binary").alias("line text"))
+
+    def run(batches):
+        for batch in batches:
+            line = np.asarray(batch.column("line off"))
+            for word, at, off in token_bytes.tokens(batch, "line text"):
+                for lo in range(0, len(off), token_bytes.ROWS):
+                    hi = lo + token_bytes.ROWS
+                    rows = pa.array(at[lo:hi])
+                    yield pa.RecordBatch.from_arrays(
+                        [word[lo:hi].cast(pa.binary()), *(batch.column(c).take(rows) for c in kept), pa.array(line[at[lo:hi]] + off[lo:hi], pa.int64())],
+                        [word_col, *kept, off_col],
+                    )
+
+    schema = StructType([StructField(word_col, BinaryType()), *(lines.schema[c] for c in kept), StructField(off_col, LongType())])
+    return sent.mapInArrow(run, schema).withColumn(word_col, F.col(word_col).cast("string"))
 
 
 def inverted_index_postings(
@@ -227,7 +208,9 @@ def inverted_index_blocks(
     line. Rows depend on the files alone, not on the splits they are read in.
 
     The lines lie hash-partitioned on their split, and nearly every posting
-    block lies inside one split: those are aggregated where they are. Only the blocks
+    block lies inside one split: a split's lines are read in order, and a block's rows
+    are made as soon as the tokens have passed it, so that a task holds a
+    block's tokens and about a megabyte of lines. Only the blocks
     cut by the border of two splits (at most two of ``block_bytes`` a split)
     meet in a shuffle; a line goes through the tokeniser twice only if it
     touches such a block.
@@ -248,9 +231,9 @@ def inverted_index_blocks(
         found = file_token_offsets(some, word_col, doc_col, "off", ["path", *split])
         return found.withColumn("posting_block", start(F.col("off")))
 
-    def rows(found: DataFrame, *keys: str) -> DataFrame:
+    def rows(found: DataFrame) -> DataFrame:
         doc = F.col(doc_col).cast("string")
-        grouped = found.groupBy(*keys, "path", doc_col, "posting_block", word_col)
+        grouped = found.groupBy("path", doc_col, "posting_block", word_col)
         return grouped.agg(_posting_list(doc, F.collect_list("off")).alias(out)).select(
             word_col, doc_col, "path", "posting_block", out
         )
@@ -258,4 +241,65 @@ def inverted_index_blocks(
     own = inside(F.col("posting_block"), F.col("posting_block"))
     end = F.col("off") + F.octet_length("value")
     touching = lines.where(~inside(start(F.col("off")), start(end)))
-    return rows(tokens_of(lines).where(own), "block").union(rows(tokens_of(touching).where(~own)))
+    whole = _whole_blocks(lines, block_bytes, doc_col).select(
+        F.col("word").cast("string").alias(word_col),
+        F.col("doc").alias(doc_col),
+        "path",
+        "posting_block",
+        F.col("postings").cast("string").alias(out),
+    )
+    return whole.union(rows(tokens_of(touching).where(~own)))
+
+
+def _whole_blocks(lines: DataFrame, block_bytes: int, doc_col: str) -> DataFrame:
+    """``(word, doc, path, posting_block, postings)`` of the posting blocks that lie
+    inside their split."""
+
+    def made(held: pa.Table, path: pa.Scalar) -> Iterator[pa.RecordBatch]:
+        if not held.num_rows:
+            return
+        word, doc, name, off = (c.combine_chunks() for c in held.columns)
+        off = np.asarray(off)
+        place = off - off % block_bytes
+        for some, words, lists in token_bytes.grouped(name, word, off, token_bytes.codes(name), place):
+            yield pa.RecordBatch.from_arrays(
+                [words, doc.take(pa.array(some)), pa.repeat(path, len(some)), pa.array(place[some]), lists],
+                ["word", "doc", "path", "posting_block", "postings"],
+            )
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            line = np.asarray(batch.column("off"))
+            first, end = batch.column("block_from")[0].as_py(), batch.column("block_to")[0].as_py()
+            last = np.iinfo(np.int64).max if end is None else end - block_bytes
+            for word, at, off in token_bytes.tokens(batch, "value"):
+                off = line[at] + off
+                place = off - off % block_bytes
+                own = pa.array((place >= first) & (place <= last))
+                found = pa.table({"word": word, "doc": batch.column("doc").take(pa.array(at)), "name": batch.column("name").take(pa.array(at)), "off": off})
+                held = found.filter(own) if held is None else pa.concat_tables([held, found.filter(own)])
+                off = np.asarray(held.column("off"))
+                if len(off):
+                    if (off[1:] <= off[:-1]).any():
+                        raise ValueError(f"lines of {key[0]} did not come in order")
+                    passed = int(np.searchsorted(off, off[-1] - off[-1] % block_bytes))
+                    yield from made(held.slice(0, passed), key[0])
+                    held = held.slice(passed)
+        if held is not None:
+            yield from made(held, key[0])
+
+    sent = lines.select(
+        "path",
+        "block",
+        "block_from",
+        "block_to",
+        "off",
+        F.col(doc_col).alias("doc"),
+        F.col(doc_col).cast("string").cast("binary").alias("name"),
+        F.col("value").cast("binary").alias("value"),
+    )
+    kind = sent.schema["doc"].dataType.simpleString()
+    # a group's lines reach it in the order of their task
+    ordered = sent.sortWithinPartitions("path", "block", "off").groupBy("path", "block")
+    return ordered.applyInArrow(run, f"word binary, doc {kind}, path string, posting_block bigint, postings binary")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.functions import token_bytes
 from quarry.plans import programs as P
@@ -79,3 +80,26 @@ def test_slices_and_runs(monkeypatch, chunk):
         of.setdefault((i, w), []).append(f"{i}:{off}")
     assert lists == {k: " ".join(v).encode() for k, v in of.items()}
     assert np.array_equal(token_bytes.runs(np.array([1, 1, 2])), [0, 2, 3])
+
+
+def test_file_index_sorts_lines_not_tokens(spark, tmp_path):
+    """Posting blocks inside a split are made as its lines are read: no window or aggregate
+    gets a row a token, but for the blocks that a split's border cuts."""
+    from quarry.sources.text import read_lines_with_offsets
+
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a/t.txt").write_bytes(b"".join(t + b"\n" for _, t in TEXTS if t) * 50)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        df = P.inverted_index_files(read_lines_with_offsets(spark, str(tmp_path / "a")).withColumn("file", F.lit(7)), 100)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert "posexplode" not in plan and plan.count("functions=[collect_list(") == 1
+    want = {}
+    for w, off in positions((tmp_path / "a/t.txt").read_bytes()):
+        want.setdefault((w, off - off % 100), []).append(f"7:{off}")
+    got = df.selectExpr("cast(word as binary) as w", "file", "posting_block", "postings").collect()
+    assert {(bytes(r.w), r.posting_block): r.postings.split(" ") for r in got} == want
+    assert len(got) == len(want) and {r.file for r in got} == {7}
