@@ -9,14 +9,19 @@ Texts are bytes, so that what is no valid UTF-8 keeps its place.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 
 from quarry.functions.text import WHITESPACE_CHARS
 
+# these functions travel by value: executors need no copy of the repository
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Bytes of text that are looked at together; a longer text is looked at alone.
 CHUNK = 1 << 20
 #: Rows of one batch that goes back to the JVM, and tokens of the rows built together.

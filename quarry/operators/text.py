@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from quarry.functions import token_bytes
 from quarry.functions.text import WHITESPACE, sep_regex
+from quarry.functions.token_bytes import ROWS, codes, grouped, tokens
 
 
 def explode_tokens(
@@ -66,9 +66,9 @@ def token_offsets(
 
     def run(batches):
         for batch in batches:
-            for word, at, off in token_bytes.tokens(batch, "text"):
-                for lo in range(0, len(off), token_bytes.ROWS):
-                    hi = lo + token_bytes.ROWS
+            for word, at, off in tokens(batch, "text"):
+                for lo in range(0, len(off), ROWS):
+                    hi = lo + ROWS
                     rows = pa.array(at[lo:hi])
                     yield pa.RecordBatch.from_arrays(
                         [word[lo:hi].cast(pa.binary()), *(batch.column(c).take(rows) for c in kept), pa.array(off[lo:hi], pa.int64())],
@@ -107,9 +107,9 @@ def inverted_index_documents(
 
     def run(batches):
         for batch in batches:
-            for word, at, off in token_bytes.tokens(batch, "text"):
+            for word, at, off in tokens(batch, "text"):
                 name = batch.column("name").take(pa.array(at))
-                for some, words, lists in token_bytes.grouped(name, word, off, at):
+                for some, words, lists in grouped(name, word, off, at):
                     yield pa.RecordBatch.from_arrays([words, batch.column("doc").take(pa.array(at[some])), lists], ["word", "doc", "postings"])
 
     kind = docs.schema["doc"].dataType.simpleString()
@@ -136,9 +136,9 @@ def file_token_offsets(
     def run(batches):
         for batch in batches:
             line = np.asarray(batch.column("line off"))
-            for word, at, off in token_bytes.tokens(batch, "line text"):
-                for lo in range(0, len(off), token_bytes.ROWS):
-                    hi = lo + token_bytes.ROWS
+            for word, at, off in tokens(batch, "line text"):
+                for lo in range(0, len(off), ROWS):
+                    hi = lo + ROWS
                     rows = pa.array(at[lo:hi])
                     yield pa.RecordBatch.from_arrays(
                         [word[lo:hi].cast(pa.binary()), *(batch.column(c).take(rows) for c in kept), pa.array(line[at[lo:hi]] + off[lo:hi], pa.int64())],
@@ -233,8 +233,8 @@ def inverted_index_blocks(
 
     def rows(found: DataFrame) -> DataFrame:
         doc = F.col(doc_col).cast("string")
-        grouped = found.groupBy("path", doc_col, "posting_block", word_col)
-        return grouped.agg(_posting_list(doc, F.collect_list("off")).alias(out)).select(
+        by_block = found.groupBy("path", doc_col, "posting_block", word_col)
+        return by_block.agg(_posting_list(doc, F.collect_list("off")).alias(out)).select(
             word_col, doc_col, "path", "posting_block", out
         )
 
@@ -261,7 +261,7 @@ def _whole_blocks(lines: DataFrame, block_bytes: int, doc_col: str) -> DataFrame
         word, doc, name, off = (c.combine_chunks() for c in held.columns)
         off = np.asarray(off)
         place = off - off % block_bytes
-        for some, words, lists in token_bytes.grouped(name, word, off, token_bytes.codes(name), place):
+        for some, words, lists in grouped(name, word, off, codes(name), place):
             yield pa.RecordBatch.from_arrays(
                 [words, doc.take(pa.array(some)), pa.repeat(path, len(some)), pa.array(place[some]), lists],
                 ["word", "doc", "path", "posting_block", "postings"],
@@ -273,7 +273,7 @@ def _whole_blocks(lines: DataFrame, block_bytes: int, doc_col: str) -> DataFrame
             line = np.asarray(batch.column("off"))
             first, end = batch.column("block_from")[0].as_py(), batch.column("block_to")[0].as_py()
             last = np.iinfo(np.int64).max if end is None else end - block_bytes
-            for word, at, off in token_bytes.tokens(batch, "value"):
+            for word, at, off in tokens(batch, "value"):
                 off = line[at] + off
                 place = off - off % block_bytes
                 own = pa.array((place >= first) & (place <= last))

@@ -103,3 +103,34 @@ def test_file_index_sorts_lines_not_tokens(spark, tmp_path):
     got = df.selectExpr("cast(word as binary) as w", "file", "posting_block", "postings").collect()
     assert {(bytes(r.w), r.posting_block): r.postings.split(" ") for r in got} == want
     assert len(got) == len(want) and {r.file for r in got} == {7}
+
+
+def test_functions_run_without_the_repository(spark, tmp_path, monkeypatch):
+    """What tasks run is sent whole: executors need not import this package."""
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    kind, sent = type(spark.range(1)), []
+    run_map = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, f, schema, *a, **b: sent.append(f) or run_map(self, f, schema, *a, **b))
+    docs = spark.createDataFrame([("d", "a b a")], "doc string, text string")
+    P.inverted_index_postings(docs), P.inverted_index_lines(docs)
+    assert len(sent) == 2
+    (tmp_path / "f").write_bytes(b"".join(len(x).to_bytes(8, "big") + x for x in map(cloudpickle.dumps, sent)))
+    code = """
+import pickle, sys
+import pyarrow as pa
+batch = pa.RecordBatch.from_pydict({"doc": ["d"], "text": [b"a b a"], "name": [b"d"]})
+data = open(sys.argv[1], "rb").read()
+while data:
+    n = int.from_bytes(data[:8], "big")
+    print([b.num_rows for b in pickle.loads(data[8 : 8 + n])([batch])])
+    data = data[8 + n :]
+assert "quarry" not in sys.modules
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code, str(tmp_path / "f")], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert out.stdout.split() == ["[3]", "[2]"], out.stderr
