@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import HOT_ROWS, components, drop_written, join_counted, restrict, written
+from quarry.llm.shared import HOT_ROWS, components, drop_written, join_counted, restrict, shuffles_dropped, written
 from quarry.llm.words import SPACED, U64, Words, distinct_per_doc, first_of_key, flushed, gram_hash, mix, small_batches, word_batches
 
 SIZE = 5
@@ -312,6 +312,11 @@ def linked(docs: DataFrame, hot: int = HOT_ROWS) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, the
     smallest ``doc_id`` reachable by links, itself included. Copies, buckets and
     hubs of more than ``hot`` rows are joined without shuffling these rows by them."""
+    with shuffles_dropped(docs.sparkSession):
+        return _linked(docs, hot)
+
+
+def _linked(docs: DataFrame, hot: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), "text").withColumn("row", F.xxhash64("doc_id", "text"))
     table = written(fingerprints(docs), "fingerprints")
     named = table.where("doc_id is not null and n > 0")
@@ -356,6 +361,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of linked documents: the one with the
     smallest ``doc_id`` (of rows that repeat it, one). Rows without a
     ``doc_id`` stay."""
+    with shuffles_dropped(docs.sparkSession):
+        return _one_of_each(docs)
+
+
+def _one_of_each(docs: DataFrame) -> DataFrame:
     result = linked(docs)
     gone = result.where("component_id <> doc_id").select("doc_id").distinct()
     kept = restrict(docs, gone, "doc_id", keep=False)

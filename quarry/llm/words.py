@@ -42,15 +42,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-_POWERS: list[tuple[np.ndarray, np.ndarray]] = []  # of the last size asked for
+class _Powers:
+    """Powers of the step and its inverse, of the last size asked for. Kept in a process and
+    never sent: functions that tasks run are pickled with the modules they use, and
+    these arrays made 17 MB of each once the driver had split a text itself."""
 
+    def __init__(self):
+        self.up = self.down = np.empty(0, U64)
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS[0][0]) < n:
-        up, down = np.full(n, _STEP, U64), np.full(n, _STEP_INV, U64)
-        up[0] = down[0] = 1
-        _POWERS[:] = [(np.cumprod(up, dtype=U64), np.cumprod(down, dtype=U64))]
-    return _POWERS[0]
+    def __reduce__(self):
+        return _Powers, ()
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            up, down = np.full(n, _STEP, U64), np.full(n, _STEP_INV, U64)
+            up[0] = down[0] = 1
+            self.up, self.down = np.cumprod(up, dtype=U64), np.cumprod(down, dtype=U64)
+        return self.up, self.down
+
+
+_POWERS = _Powers()
 
 
 @dataclass
@@ -115,7 +126,7 @@ def split(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray, lower:
     while lo < len(start):
         hi = max(lo + 1, int(np.searchsorted(end, start[lo] + CHUNK, "right")))
         a, b = int(start[lo]), int(end[hi - 1])
-        up, down = _powers(max(CHUNK, b - a))
+        up, down = _POWERS.of(max(CHUNK, b - a))
         total = np.zeros(b - a + 1, U64)
         np.cumsum(table[data[a:b]] * up[: b - a], out=total[1:])
         s, e = start[lo:hi] - a, end[lo:hi] - a

@@ -5,14 +5,16 @@ import pickle
 import random
 import re
 import textwrap
+import time
 
 import numpy as np
 import zstandard
 
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontaminate, jaccard_join, language, licenses, neighbours, packing, quality, substrings
-from quarry.llm.shared import components, join_counted
+from quarry.llm import chat, decontaminate, jaccard_join, language, licenses, neighbours, packing, quality, substrings, words
+from quarry.llm.shared import CLEANUP, components, join_counted
 from tests.llm.test_operators import documents, near_copies
 
 
@@ -347,3 +349,36 @@ def test_blocks_of_a_hot_bucket_are_spread(spark):
     members = spark.createDataFrame([], "key long, id long, component long, size long, n long, bits binary")
     plan = jaccard_join._across(members)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\(key#\d+L?, i#\d+L?, j#\d+L?", plan)
+
+
+def test_the_join_leaves_no_shuffle_files(spark):
+    """Its many small queries drop their shuffle files as they end."""
+
+    def shuffles():
+        kept = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString(",")
+        return set(re.findall(r"shuffle_(\d+)_\d+_\d+\.data", kept))
+
+    before, set_to = shuffles(), spark.conf.get(CLEANUP)
+    rnd = random.Random(9)
+    words = [f"w{i}" for i in range(50)]
+    texts = [" ".join(rnd.choices(words, k=40)) for _ in range(30)]
+    docs = documents(spark, [(i, texts[i % 30]) for i in range(60)])
+    result = jaccard_join.linked(docs)
+    for _ in range(50):  # files go in the background
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(CLEANUP) == set_to
+    assert all(r.component_id == r.doc_id % 30 for r in result.collect())
+    assert [r.component_id for r in result.collect()] == [r.component_id for r in result.collect()]
+
+
+def test_functions_sent_stay_small_after_the_driver_split_a_text():
+    """What the driver keeps of its own work does not travel with every function."""
+    words.split(np.frombuffer(b"a b c", np.uint8), np.array([0, 5]), words.SPACED, False)
+    for sent in (words.word_batches, substrings.keys, jaccard_join.shingles):
+        assert len(cloudpickle.dumps(sent)) < 100_000
+    again = cloudpickle.loads(cloudpickle.dumps(words.split))
+    texts = np.frombuffer(b"some words", np.uint8), np.array([0, 10]), words.SPACED, False
+    assert (again(*texts).hash == words.split(*texts).hash).all()
